@@ -1,4 +1,4 @@
 """Every operator bound to the supplied tables, with the SQL it is checked against."""
 
 from farelens.registry.base import REGISTRY, Entry  # noqa: F401
-from farelens.registry import extraction, preparation  # noqa: F401
+from farelens.registry import extraction, indicators, preparation, series  # noqa: F401

@@ -173,7 +173,7 @@ def q04(spark, d):
 _OCC = """
   CAST(sum(l_linenumber * 8) AS BIGINT) AS OCUPACION, count(*) AS CORRIDAS,
   round(sum((100 + p_size * 10) * l_linenumber * 8)::DOUBLE /
-        sum((100 + p_size * 10) * (24 + 3 * (l_suppkey % 5)))::DOUBLE, 10) AS FOP"""
+        sum((100 + p_size * 10) * (24 + 3 * (l_suppkey % 5)))::DOUBLE, 8) AS FOP"""
 _OCC_KEYS = """
   CASE WHEN l_partkey % 11 <> 0 THEN 'E' || CAST(l_partkey % 4 AS VARCHAR) END AS EMPRESA,
   CAST(year(FECHA_CORRIDA) AS VARCHAR) AS ANIO, strftime(FECHA_CORRIDA, '%Y-%m') AS ANIO_MES,
@@ -188,15 +188,15 @@ SELECT {_OCC_KEYS}, {_OCC} FROM star
 WHERE {_YEARS} AND l_partkey % 11 <> 0 AND l_partkey % 4 IN (0, 2) GROUP BY ALL""")
 def q05(spark, d):
     return rounded(P.daily_occupancy(
-        B.occupancy_raw(spark, d), ["E0", "E2"], B.YEAR_FROM), "FOP", digits=10)
+        B.occupancy_raw(spark, d), ["E0", "E2"], B.YEAR_FROM), "FOP", digits=8)
 
 
 @entry("q06_daily_occupancy_income", f"""
-SELECT {_OCC_KEYS}, {_OCC}, round({_INCOME} / {_KM_TOTAL}, 10) AS FIK
+SELECT {_OCC_KEYS}, {_OCC}, round({_INCOME} / {_KM_TOTAL}, 12) AS FIK
 FROM star WHERE {_YEARS} GROUP BY ALL""")
 def q06(spark, d):
-    return rounded(P.daily_occupancy_income(
-        B.occupancy_raw(spark, d), B.YEAR_FROM), "FOP", "FIK", digits=10)
+    df = P.daily_occupancy_income(B.occupancy_raw(spark, d), B.YEAR_FROM)
+    return rounded(rounded(df, "FOP", digits=8), "FIK", digits=12)
 
 
 _BRANCH = """
@@ -247,11 +247,11 @@ SELECT 'E' || CAST(l_partkey % 4 AS VARCHAR) AS EMPRESA, {_ACCOUNT_KEYS},
   round(CASE WHEN year(FECHA_CORRIDA) < 1999 AND count(*) FILTER (l_orderkey % 6 = 5) = 0
     THEN NULL ELSE sum(CASE WHEN l_orderkey % 6 IN (3, 4, 5) THEN VENTA_BRUTA ELSE 0 END) END, 2)
     AS ING_ABO,
-  round(sum(VENTA_BRUTA) / sum(100 + p_size * 10), 10) AS FIK
+  round(sum(VENTA_BRUTA) / sum(100 + p_size * 10), 12) AS FIK
 FROM star WHERE {_YEARS} GROUP BY EMPRESA, FECHA_CORRIDA""")
 def q11(spark, d):
     df = P.accounting_channels(B.accounting_raw(spark, d), B.YEAR_FROM)
-    return rounded(rounded(df, "ING_TAQ", "ING_ABO", "INGRESO", digits=2), "FIK", digits=10)
+    return rounded(rounded(df, "ING_TAQ", "ING_ABO", "INGRESO", digits=2), "FIK", digits=12)
 
 
 @entry("q12_budget_by_kind", """
