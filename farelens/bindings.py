@@ -6,9 +6,10 @@ sources, so the extracts run on them unchanged.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+from functools import wraps
 
-from farelens.functions.columns import cents
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Nine continuous routes out of the 25 region pairs.
 ROUTES = [
@@ -20,253 +21,262 @@ YEAR_FROM = "1996"
 BASE_YEAR = 1998
 CLIENT_TYPES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 COMPANIES = ["E0", "E1", "E2", "E3"]
-_PASSENGERS = ["AD", "AD", "AD", "ES", "NI", "PF", "ZB", "QQ"]
-_OPERATIONS = ["AM", "BM", "CE", "CS", "NE", "NS", "ZZ"]
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _mod(name: str, n: int) -> Column:
-    return F.pmod(F.col(name), F.lit(n))
-
-
-def _two(value: Column) -> Column:
-    return F.lpad(value.cast("string"), 2, "0")
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+Source = Callable[[SparkSession, str], DataFrame]
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def once(build: Source) -> Source:
+    """Build each plan once per application; nothing is computed or cached by it."""
+    @wraps(build)
+    def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (build.__name__, spark.sparkContext.applicationId, id(spark), sf_dir)
+        if key not in _PLANS:
+            _PLANS[key] = build(spark, sf_dir)
+        return _PLANS[key]
+    return plan
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+@once
 def _star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with part and both ends of the route."""
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    ends = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    origin = ends.select(F.col("n_nationkey").alias("s_nationkey"), F.col("r_name").alias("ORIGEN"))
-    destination = ends.select(F.col("n_nationkey").alias("c_nationkey"),
-                              F.col("r_name").alias("DESTINO"))
+    ends = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
+    origin = ends.selectExpr("n_nationkey AS s_nationkey", "r_name AS ORIGEN")
+    destination = ends.selectExpr("n_nationkey AS c_nationkey", "r_name AS DESTINO")
     suppliers = table(spark, sf_dir, "supplier").join(origin, "s_nationkey")
     customers = table(spark, sf_dir, "customer").join(destination, "c_nationkey")
-    orders = table(spark, sf_dir, "orders").join(
-        customers, F.col("o_custkey") == F.col("c_custkey"))
-    cv = _mod("l_partkey", 6)
-    sale = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    orders = table(spark, sf_dir, "orders").join(customers, F.expr("o_custkey = c_custkey"))
     return (
         table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .withColumns({
-            "TRANSACCION": F.col("l_partkey") * 10 + F.col("l_linenumber"),
-            "FECHA_CORRIDA": F.to_date("l_shipdate"),
-            "FECHA_OPERACION": F.date_sub(
-                F.to_date("l_shipdate"),
-                F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13, F.lit(120)).cast("int")),
-            "CV_CORRIDA": cv.cast("string"),
-            "HORA_PUNTO": F.concat(_two(cv * 4 + 1), F.lit(":30:00")),
-            "VENTA_BRUTA": cents(sale * (1 + F.col("l_tax")) / 50),
-            "IVA_BRUTO": cents(sale * F.col("l_tax") / 50),
-        })
+        .join(orders, F.expr("l_orderkey = o_orderkey"))
+        .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
+        .join(suppliers, F.expr("l_suppkey = s_suppkey"))
+        .selectExpr(
+            "*",
+            "l_partkey * 10 + l_linenumber AS TRANSACCION",
+            "CAST(l_shipdate AS DATE) AS FECHA_CORRIDA",
+            "date_sub(CAST(l_shipdate AS DATE), "
+            "CAST(pmod(l_orderkey * 7 + l_linenumber * 13, 120) AS INT)) AS FECHA_OPERACION",
+            "CAST(pmod(l_partkey, 6) AS STRING) AS CV_CORRIDA",
+            "lpad(CAST(pmod(l_partkey, 6) * 4 + 1 AS STRING), 2, '0') || ':30:00' AS HORA_PUNTO",
+            "floor(l_extendedprice * (1 - l_discount) * (1 + l_tax) / 50 * 100 + 0.5D) / 100 "
+            "AS VENTA_BRUTA",
+            "floor(l_extendedprice * (1 - l_discount) * l_tax / 50 * 100 + 0.5D) / 100 "
+            "AS IVA_BRUTO",
+        )
     )
 
 
+@once
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticket sales under their source names."""
-    returned = F.col("l_returnflag") == "R"
-    lead = F.datediff("FECHA_CORRIDA", "FECHA_OPERACION")
-    service = F.when(F.col("p_type") == "LARGE", "Large dos pisos").when(
-        F.col("p_type") != "SMALL", F.col("p_type"))
-    discount = F.when(F.col("o_orderpriority") == "1-URGENT", "ADULTO").when(
-        F.col("o_orderpriority") == "2-HIGH", "PROMOCION ESPECIAL").otherwise(
-        F.col("o_orderpriority"))
-    promo = F.floor(F.col("l_discount") * 100 + F.lit(0.5)).cast("double")
-    return _star(spark, sf_dir).select(
-        F.col("l_orderkey").alias("OPERACION"),
+    return _star(spark, sf_dir).selectExpr(
+        "l_orderkey AS OPERACION",
         "TRANSACCION",
-        F.col("FECHA_OPERACION").alias("FFECHAOPERACION"),
-        F.concat(_two(_mod("l_orderkey", 24)), F.lit(":"), _two(_mod("l_partkey", 60)),
-                 F.lit(":00")).alias("HHORAOPERACION"),
-        F.weekday("FECHA_OPERACION").cast("string").alias("NOMBRE DIA"),
-        F.col("o_orderstatus").alias("AREA_VENTA"),
-        service.alias("ANOMBRECLASESERVICIO"),
+        "FECHA_OPERACION AS FFECHAOPERACION",
+        "lpad(CAST(pmod(l_orderkey, 24) AS STRING), 2, '0') || ':' || "
+        "lpad(CAST(pmod(l_partkey, 60) AS STRING), 2, '0') || ':00' AS HHORAOPERACION",
+        "CAST(weekday(FECHA_OPERACION) AS STRING) AS `NOMBRE DIA`",
+        "o_orderstatus AS AREA_VENTA",
+        "CASE WHEN p_type = 'LARGE' THEN 'Large dos pisos' WHEN p_type <> 'SMALL' THEN p_type END "
+        "AS ANOMBRECLASESERVICIO",
         "ORIGEN", "DESTINO",
-        F.col("CV_CORRIDA").alias("CLAVE CORRIDA"),
+        "CV_CORRIDA AS `CLAVE CORRIDA`",
         "FECHA_CORRIDA",
-        F.col("HORA_PUNTO").alias("H SALIDA BOLETO"),
-        _pick(_PASSENGERS, _mod("c_custkey", 8)).alias("TIPO PASAJERO"),
-        F.col("c_mktsegment").alias("TIPO_CLIENTE"),
-        _pick(_OPERATIONS, _mod("l_suppkey", 7)).alias("TIPO_OPERACION"),
-        F.when(_mod("l_orderkey", 17) != 0,
-               F.when(lead > 30, "SI").otherwise("NO")).alias("VENTA_ANTICIPADA"),
-        F.replace("c_name", F.lit("#"), F.lit(" ")).alias("NOMBRE_PASAJERO"),
-        F.col("l_quantity").cast("int").alias("NUMERO ASIENTO"),
-        F.when(promo > 0, promo).alias("% PROMOCION"),
-        discount.alias("DESCRIPCION_DESCUENTO"),
-        F.when(returned, 1).otherwise(0).alias("BOLETOS_CANCELADOS"),
-        F.lit(1).alias("BOLETOS_VENDIDOS"),
-        F.when(returned, F.col("VENTA_BRUTA")).otherwise(0.0).alias("CANCELACION"),
-        F.when(returned, F.col("IVA_BRUTO")).otherwise(0.0).alias("IVA_CANCELADO"),
-        F.col("IVA_BRUTO").alias("IVA_VENDIDO"),
-        F.col("VENTA_BRUTA").alias("VENTA"),
-        F.year("FECHA_OPERACION").cast("string").alias("ANIO"),
+        "HORA_PUNTO AS `H SALIDA BOLETO`",
+        "get(array('AD', 'AD', 'AD', 'ES', 'NI', 'PF', 'ZB', 'QQ'), "
+        "CAST(pmod(c_custkey, 8) AS INT)) AS `TIPO PASAJERO`",
+        "c_mktsegment AS TIPO_CLIENTE",
+        "get(array('AM', 'BM', 'CE', 'CS', 'NE', 'NS', 'ZZ'), "
+        "CAST(pmod(l_suppkey, 7) AS INT)) AS TIPO_OPERACION",
+        "CASE WHEN pmod(l_orderkey, 17) = 0 THEN NULL "
+        "WHEN datediff(FECHA_CORRIDA, FECHA_OPERACION) > 30 THEN 'SI' ELSE 'NO' END "
+        "AS VENTA_ANTICIPADA",
+        "replace(c_name, '#', ' ') AS NOMBRE_PASAJERO",
+        "CAST(l_quantity AS INT) AS `NUMERO ASIENTO`",
+        "nullif(CAST(floor(l_discount * 100 + 0.5D) AS DOUBLE), 0) AS `% PROMOCION`",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'ADULTO' WHEN '2-HIGH' "
+        "THEN 'PROMOCION ESPECIAL' ELSE o_orderpriority END AS DESCRIPCION_DESCUENTO",
+        "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS BOLETOS_CANCELADOS",
+        "1 AS BOLETOS_VENDIDOS",
+        "CASE WHEN l_returnflag = 'R' THEN VENTA_BRUTA ELSE 0D END AS CANCELACION",
+        "CASE WHEN l_returnflag = 'R' THEN IVA_BRUTO ELSE 0D END AS IVA_CANCELADO",
+        "IVA_BRUTO AS IVA_VENDIDO",
+        "VENTA_BRUTA AS VENTA",
+        "CAST(year(FECHA_OPERACION) AS STRING) AS ANIO",
     )
 
 
+@once
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip-leg occupancy under its source names."""
-    km = F.lit(100.0) + F.col("p_size") * 10
-    return _star(spark, sf_dir).select(
-        F.col("FECHA_CORRIDA").alias("ANIO-MES-DIA"),
-        F.col("CV_CORRIDA").alias("CORRIDA"),
-        F.when(_mod("l_suppkey", 23) != 0,
-               _mod("l_suppkey", 2).cast("string")).alias("CLAVEASIGNACION"),
-        F.col("ORIGEN").alias("CV ORIGEN CORRIDA"),
-        F.col("DESTINO").alias("CV DESTINO CORRIDA"),
-        F.concat(_two(F.col("CV_CORRIDA").cast("int") * 4), F.lit(":15:00.000")).alias(
-            "HORA SALIDA ORIGEN RUTA"),
-        (km + F.col("l_linenumber") * 50).alias("NKILOMETROSACUMULADOSRUTAS"),
-        F.col("ORIGEN").alias("CLAVE TRAMO ORIGEN"),
-        F.col("DESTINO").alias("CLAVE TRAMO DESTINO"),
-        F.col("HORA_PUNTO").alias("HORA SALIDA PUNTO"),
-        F.weekday("FECHA_CORRIDA").cast("string").alias("NOMDIA"),
-        F.when(_mod("l_partkey", 11) != 0, F.concat(
-            F.lit("E"), _mod("l_partkey", 4).cast("string"))).alias("EMPRESA SERVICIO"),
-        F.when(_mod("l_partkey", 13) != 0, F.col("p_type")).alias("TIPO CORRIDA"),
-        F.when(_mod("l_suppkey", 5) != 0, F.col("p_brand")).alias("TIPO AUTOBUS"),
-        F.col("p_retailprice").alias("TARIFABASETRAMO"),
-        cents(F.col("p_retailprice") * 0.16).alias("NIVATARIFABASETRAMO"),
-        cents(F.col("l_extendedprice") / 50).alias("INGRESOS"),
-        cents(F.col("l_extendedprice") * F.col("l_tax") / 50).alias("IVA"),
-        km.alias("KILOMETROS_TRAMOS"),
-        (F.lit(24) + _mod("l_suppkey", 5) * 3).cast("int").alias("NCAPACIDADASIENTOTRAMO"),
-        F.col("p_size").alias("DISPONIBILIDAD_TRAMO"),
-        (F.col("l_linenumber") * 5).alias("OCUPACIONPUNTO"),
-        (F.col("l_linenumber") * 8).alias("OCUPACION_TRAMO"),
-        cents(F.col("p_retailprice") * F.col("p_size") / 10).alias("INGRESO TEORICO_TRAMO"),
-        _mod("l_linenumber", 3).alias("PASAJEROS BAJAN EN ORIGEN"),
-        F.col("l_linenumber").alias("PASAJEROS SUBEN EN ORIGEN"),
-        F.year("FECHA_CORRIDA").cast("string").alias("ANIO"),
+    return _star(spark, sf_dir).selectExpr(
+        "FECHA_CORRIDA AS `ANIO-MES-DIA`",
+        "CV_CORRIDA AS CORRIDA",
+        "CASE WHEN pmod(l_suppkey, 23) <> 0 THEN CAST(pmod(l_suppkey, 2) AS STRING) END "
+        "AS CLAVEASIGNACION",
+        "ORIGEN AS `CV ORIGEN CORRIDA`",
+        "DESTINO AS `CV DESTINO CORRIDA`",
+        "lpad(CAST(pmod(l_partkey, 6) * 4 AS STRING), 2, '0') || ':15:00.000' "
+        "AS `HORA SALIDA ORIGEN RUTA`",
+        "100D + p_size * 10 + l_linenumber * 50 AS NKILOMETROSACUMULADOSRUTAS",
+        "ORIGEN AS `CLAVE TRAMO ORIGEN`",
+        "DESTINO AS `CLAVE TRAMO DESTINO`",
+        "HORA_PUNTO AS `HORA SALIDA PUNTO`",
+        "CAST(weekday(FECHA_CORRIDA) AS STRING) AS NOMDIA",
+        "CASE WHEN pmod(l_partkey, 11) <> 0 THEN 'E' || CAST(pmod(l_partkey, 4) AS STRING) END "
+        "AS `EMPRESA SERVICIO`",
+        "CASE WHEN pmod(l_partkey, 13) <> 0 THEN p_type END AS `TIPO CORRIDA`",
+        "CASE WHEN pmod(l_suppkey, 5) <> 0 THEN p_brand END AS `TIPO AUTOBUS`",
+        "p_retailprice AS TARIFABASETRAMO",
+        "floor(p_retailprice * 0.16D * 100 + 0.5D) / 100 AS NIVATARIFABASETRAMO",
+        "floor(l_extendedprice / 50 * 100 + 0.5D) / 100 AS INGRESOS",
+        "floor(l_extendedprice * l_tax / 50 * 100 + 0.5D) / 100 AS IVA",
+        "100D + p_size * 10 AS KILOMETROS_TRAMOS",
+        "CAST(24 + pmod(l_suppkey, 5) * 3 AS INT) AS NCAPACIDADASIENTOTRAMO",
+        "p_size AS DISPONIBILIDAD_TRAMO",
+        "l_linenumber * 5 AS OCUPACIONPUNTO",
+        "l_linenumber * 8 AS OCUPACION_TRAMO",
+        "floor(p_retailprice * p_size / 10 * 100 + 0.5D) / 100 AS `INGRESO TEORICO_TRAMO`",
+        "pmod(l_linenumber, 3) AS `PASAJEROS BAJAN EN ORIGEN`",
+        "l_linenumber AS `PASAJEROS SUBEN EN ORIGEN`",
+        "CAST(year(FECHA_CORRIDA) AS STRING) AS ANIO",
     )
 
 
+@once
 def loyalty_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loyalty records of one ticket in three."""
-    card = F.when(_mod("l_partkey", 4) != 0, F.concat(
-        F.lit("T"), _mod("l_suppkey", 9).cast("string")))
-    mail = F.when((_mod("l_orderkey", 5) != 0) & (_mod("c_custkey", 7) != 0), F.concat(
-        F.when(_mod("l_orderkey", 4) == 0, "alt.").otherwise(""),
-        F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@correo.com")))
-    return (
-        _star(spark, sf_dir)
-        .where(F.pmod(F.col("l_orderkey") + F.col("l_partkey"), F.lit(3)) == 0)
-        .select(
-            "TRANSACCION",
-            F.col("FECHA_OPERACION").alias("FECHA OPERACION"),
-            F.col("FECHA_CORRIDA").alias("FECHA SALIDA INICIO"),
-            "ORIGEN", "DESTINO",
-            card.alias("TERMINAL"),
-            F.when(card.isNull(), F.col("VENTA_BRUTA")).alias("EFECTIVO"),
-            mail.alias("EMAIL"),
-            F.year("FECHA_OPERACION").cast("string").alias("ANIO"),
-        )
+    return _star(spark, sf_dir).where("pmod(l_orderkey + l_partkey, 3) = 0").selectExpr(
+        "TRANSACCION",
+        "FECHA_OPERACION AS `FECHA OPERACION`",
+        "FECHA_CORRIDA AS `FECHA SALIDA INICIO`",
+        "ORIGEN", "DESTINO",
+        "CASE WHEN pmod(l_partkey, 4) <> 0 THEN 'T' || CAST(pmod(l_suppkey, 9) AS STRING) END "
+        "AS TERMINAL",
+        "CASE WHEN pmod(l_partkey, 4) = 0 THEN VENTA_BRUTA END AS EFECTIVO",
+        "CASE WHEN pmod(l_orderkey, 5) <> 0 AND pmod(c_custkey, 7) <> 0 THEN "
+        "CASE WHEN pmod(l_orderkey, 4) = 0 THEN 'alt.' ELSE '' END || "
+        "lower(replace(c_name, '#', '.')) || '@correo.com' END AS EMAIL",
+        "CAST(year(FECHA_OPERACION) AS STRING) AS ANIO",
     )
 
 
+@once
 def operations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Active operations, the left side of the contact extract."""
-    return _star(spark, sf_dir).select(
-        F.col("l_orderkey").alias("NCLAVEOPERACION"),
-        F.col("TRANSACCION").alias("NCLAVETRANSACCION"),
-        F.concat(F.lit("55"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias(
-            "ATELEFONOPASAJERO"),
-        F.col("ORIGEN").alias("ACLAVEOFICINAORIGEN"),
-        F.col("DESTINO").alias("ACLAVEOFICINADESITINO"),
-        F.col("FECHA_OPERACION").alias("FFECHAOPERACION"),
-        F.concat(_two(_mod("l_orderkey", 24)), F.lit(":00:00")).alias("HHORAOPERACION"),
-        F.col("FECHA_CORRIDA").alias("FFECHASALIDAINICIO"),
-        _pick(_OPERATIONS, _mod("l_suppkey", 7)).alias("ACLAVETIPOOPERACION"),
-        _mod("l_linenumber", 2).alias("NCLAVEOPERACIONVP"),
+    return _star(spark, sf_dir).selectExpr(
+        "l_orderkey AS NCLAVEOPERACION",
+        "TRANSACCION AS NCLAVETRANSACCION",
+        "'55' || lpad(CAST(c_custkey AS STRING), 8, '0') AS ATELEFONOPASAJERO",
+        "ORIGEN AS ACLAVEOFICINAORIGEN",
+        "DESTINO AS ACLAVEOFICINADESITINO",
+        "FECHA_OPERACION AS FFECHAOPERACION",
+        "lpad(CAST(pmod(l_orderkey, 24) AS STRING), 2, '0') || ':00:00' AS HHORAOPERACION",
+        "FECHA_CORRIDA AS FFECHASALIDAINICIO",
+        "get(array('AM', 'BM', 'CE', 'CS', 'NE', 'NS', 'ZZ'), "
+        "CAST(pmod(l_suppkey, 7) AS INT)) AS ACLAVETIPOOPERACION",
+        "pmod(l_linenumber, 2) AS NCLAVEOPERACIONVP",
     )
 
 
+@once
 def complements_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contact complements of operations, present for two in three."""
-    return _star(spark, sf_dir).where(_mod("l_partkey", 3) != 0).select(
-        F.col("l_orderkey").alias("NCLAVEOPERACION"),
-        F.col("TRANSACCION").alias("NCLAVETRANSACCION"),
-        F.when(_mod("l_orderkey", 5) != 0, F.lower(
-            F.replace("c_name", F.lit("#"), F.lit(".")))).alias("ACORREOELECTRONICO"),
-        F.when(_mod("c_custkey", 2) == 0, F.col("c_custkey").cast("string")).alias(
-            "AIDMEMBRESIACRM"),
+    return _star(spark, sf_dir).where("pmod(l_partkey, 3) <> 0").selectExpr(
+        "l_orderkey AS NCLAVEOPERACION",
+        "TRANSACCION AS NCLAVETRANSACCION",
+        "CASE WHEN pmod(l_orderkey, 5) <> 0 THEN lower(replace(c_name, '#', '.')) END "
+        "AS ACORREOELECTRONICO",
+        "CASE WHEN pmod(c_custkey, 2) = 0 THEN CAST(c_custkey AS STRING) END AS AIDMEMBRESIACRM",
     )
 
 
+@once
 def occupancy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily occupancy source of the projections."""
-    raw = trips_raw(spark, sf_dir)
-    return raw.select(
-        F.col("EMPRESA SERVICIO").alias("EMPRESA"), "ANIO",
-        F.date_format("ANIO-MES-DIA", "yyyy-MM").alias("ANIO_MES"),
-        F.col("ANIO-MES-DIA").alias("FECHA"),
+    return trips_raw(spark, sf_dir).selectExpr(
+        "`EMPRESA SERVICIO` AS EMPRESA", "ANIO",
+        "date_format(`ANIO-MES-DIA`, 'yyyy-MM') AS ANIO_MES",
+        "`ANIO-MES-DIA` AS FECHA",
         "OCUPACION_TRAMO",
-        (F.col("KILOMETROS_TRAMOS") * F.col("OCUPACION_TRAMO")).alias("KM_OCUPACION"),
-        (F.col("KILOMETROS_TRAMOS") * F.col("NCAPACIDADASIENTOTRAMO")).alias("KM_CAPACIDAD"),
-        "INGRESOS", F.col("NKILOMETROSACUMULADOSRUTAS").alias("KMS"),
-        F.lit(1).alias("CUENTACORRIDA"),
-        F.col("PASAJEROS SUBEN EN ORIGEN").alias("PAX_SUBEN"),
+        "KILOMETROS_TRAMOS * OCUPACION_TRAMO AS KM_OCUPACION",
+        "KILOMETROS_TRAMOS * NCAPACIDADASIENTOTRAMO AS KM_CAPACIDAD",
+        "INGRESOS", "NKILOMETROSACUMULADOSRUTAS AS KMS",
+        "1 AS CUENTACORRIDA",
+        "`PASAJEROS SUBEN EN ORIGEN` AS PAX_SUBEN",
     )
 
 
+@once
 def branch_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily branch sales source of the projections."""
-    kind = F.when(_mod("l_suppkey", 3) == 0, "BOLETOS").when(
-        _mod("l_suppkey", 3) == 1, "PACK").otherwise("CARGA")
-    return _star(spark, sf_dir).select(
-        F.concat(F.lit("E"), _mod("l_partkey", 4).cast("string")).alias("EMPRESA"),
-        F.year("FECHA_OPERACION").cast("string").alias("ANIO"),
-        F.col("FECHA_OPERACION").alias("FECHA"),
-        kind.alias("TIPO_OPERACION"),
-        F.col("VENTA_BRUTA").alias("VENTA"),
-        F.lit(1).alias("BOLETOS"),
+    return _star(spark, sf_dir).selectExpr(
+        "'E' || CAST(pmod(l_partkey, 4) AS STRING) AS EMPRESA",
+        "CAST(year(FECHA_OPERACION) AS STRING) AS ANIO",
+        "FECHA_OPERACION AS FECHA",
+        "get(array('BOLETOS', 'PACK', 'CARGA'), CAST(pmod(l_suppkey, 3) AS INT)) "
+        "AS TIPO_OPERACION",
+        "VENTA_BRUTA AS VENTA",
+        "1 AS BOLETOS",
     )
 
 
+@once
 def accounting_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accounting-day source: the amount of a ticket lands in one of six channels."""
-    def channel(n: int) -> Column:
-        # The last channel is unknown, not zero, before 1999.
-        missing = F.lit(None).cast("double") if n == 5 else F.lit(0.0)
-        return F.when(_mod("l_orderkey", 6) == n, F.col("VENTA_BRUTA")).otherwise(
-            F.when(F.year("FECHA_CORRIDA") < 1999, missing).otherwise(0.0))
-
-    names = ["BOLETOS_TAQUILLA", "INTERCIA_EXT", "INTERCIA_INT", "A_BORDO", "MANUALES", "PORTATIL"]
-    return _star(spark, sf_dir).select(
-        F.concat(F.lit("E"), _mod("l_partkey", 4).cast("string")).alias("EMPRESA"),
-        F.year("FECHA_CORRIDA").cast("string").alias("ANIO"),
-        F.date_format("FECHA_CORRIDA", "yyyy-MM").alias("ANIO_MES"),
-        F.col("FECHA_CORRIDA").alias("FECHA"),
-        F.col("VENTA_BRUTA").alias("IMPORTE"),
-        (F.lit(100.0) + F.col("p_size") * 10).alias("KMS"),
-        F.lit(1).alias("CANTIDAD"),
-        F.lit(1).alias("VIAJES"),
-        *[channel(n).alias(name) for n, name in enumerate(names)],
+    """Accounting-day source: the amount of a ticket lands in one of six channels.
+
+    The last channel is unknown, not zero, before 1999 where it has no amount.
+    """
+    names = ["BOLETOS_TAQUILLA", "INTERCIA_EXT", "INTERCIA_INT", "A_BORDO", "MANUALES"]
+    return _star(spark, sf_dir).selectExpr(
+        "'E' || CAST(pmod(l_partkey, 4) AS STRING) AS EMPRESA",
+        "CAST(year(FECHA_CORRIDA) AS STRING) AS ANIO",
+        "date_format(FECHA_CORRIDA, 'yyyy-MM') AS ANIO_MES",
+        "FECHA_CORRIDA AS FECHA",
+        "VENTA_BRUTA AS IMPORTE",
+        "100D + p_size * 10 AS KMS",
+        "1 AS CANTIDAD",
+        "1 AS VIAJES",
+        *[f"CASE WHEN pmod(l_orderkey, 6) = {n} THEN VENTA_BRUTA ELSE 0D END AS {name}"
+          for n, name in enumerate(names)],
+        "CASE WHEN pmod(l_orderkey, 6) = 5 THEN VENTA_BRUTA "
+        "WHEN year(FECHA_CORRIDA) < 1999 THEN NULL ELSE 0D END AS PORTATIL",
     )
 
 
+@once
 def budget_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Budget source of the projections."""
-    return _star(spark, sf_dir).select(
-        F.concat(F.lit("E"), _mod("l_partkey", 4).cast("string")).alias("EMPRESA"),
-        F.col("FECHA_OPERACION").alias("FECHA"),
-        _pick(["BOLETOS", "PACK"], _mod("l_suppkey", 2)).alias("TIPO_OPERACION"),
-        F.col("VENTA_BRUTA").alias("VENTA"),
-        F.lit(1).alias("BOLETOS"),
-        (F.col("p_size") * 30).alias("PRESUPUESTO_MENSUAL"),
-        F.col("p_retailprice").alias("PRESUPUESTO"),
-        F.col("l_linenumber").alias("PASAJEROS"),
-        (F.lit(100.0) + F.col("p_size") * 10).alias("KMS"),
-        F.lit(1).alias("SERVICIOS"),
+    return _star(spark, sf_dir).selectExpr(
+        "'E' || CAST(pmod(l_partkey, 4) AS STRING) AS EMPRESA",
+        "FECHA_OPERACION AS FECHA",
+        "get(array('BOLETOS', 'PACK'), CAST(pmod(l_suppkey, 2) AS INT)) AS TIPO_OPERACION",
+        "VENTA_BRUTA AS VENTA",
+        "1 AS BOLETOS",
+        "p_size * 30 AS PRESUPUESTO_MENSUAL",
+        "p_retailprice AS PRESUPUESTO",
+        "l_linenumber AS PASAJEROS",
+        "100D + p_size * 10 AS KMS",
+        "1 AS SERVICIOS",
     )

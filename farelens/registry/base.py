@@ -47,21 +47,25 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 
+@B.once
 def sales(spark: SparkSession, d: str) -> DataFrame:
     found = extracts.extract_sales(B.sales_raw(spark, d), B.ROUTES, B.YEAR_FROM)
     return extracts.for_routes(found, B.ROUTES)
 
 
+@B.once
 def trips(spark: SparkSession, d: str) -> DataFrame:
     found = extracts.extract_trips(B.trips_raw(spark, d), B.ROUTES, B.YEAR_FROM)
     return extracts.for_routes(found, B.ROUTES)
 
 
+@B.once
 def loyalty(spark: SparkSession, d: str) -> DataFrame:
     found = extracts.extract_loyalty(B.loyalty_raw(spark, d), B.ROUTES, B.YEAR_FROM)
     return extracts.for_routes(found, B.ROUTES)
 
 
+@B.once
 def combined(spark: SparkSession, d: str) -> DataFrame:
     return prep.combine(sales(spark, d), trips(spark, d), loyalty(spark, d))
 
