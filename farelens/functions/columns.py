@@ -29,7 +29,8 @@ def cents(amount: Column) -> Column:
 
 
 def half_even(value: str | Column, digits: int) -> Column:
-    return F.bround(col(value), digits)
+    """Round to nearest, ties to even, on the scaled binary value."""
+    return F.rint(col(value) * float(10 ** digits)) / float(10 ** digits)
 
 
 def parse_date(name: str | Column) -> Column:
