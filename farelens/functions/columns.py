@@ -76,6 +76,13 @@ def sample_skewness(x: str | Column) -> Column:
     return F.skewness(col(x)) * F.try_divide(F.sqrt(n * (n - 1)), n - 2)
 
 
+def correlation(x: str | Column, y: str | Column) -> Column:
+    """Pearson correlation over the pairs known on both sides, NULL if either is constant."""
+    a, b = col(x).cast("double"), col(y).cast("double")
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return safe_div(F.covar_pop(a, b), spread)
+
+
 def total(x: str | Column) -> Column:
     """Sum that is 0, not NULL, for a group without known values."""
     value = F.sum(col(x))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from farelens.functions.columns import route_key, safe_div, total
+from farelens.functions.columns import correlation, route_key, safe_div, total
 from farelens.functions.fixed import WEEKDAY_NAMES
 from farelens.operators.regression import ols
 
@@ -89,11 +89,10 @@ def top_predictors(df: DataFrame, target: str = "demanda_real", k: int = 3,
                    group: Sequence[str] = ()) -> DataFrame:
     """The ``k`` columns with the highest (signed) correlation with ``target``."""
     wide = df.groupBy(*group).agg(*[
-        F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c)
-        for c in candidates])
+        correlation(c, target).alias(c) for c in candidates])
     pairs = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("corr"))
                       for c in candidates])
-    known = F.filter(pairs, lambda p: p["corr"].isNotNull() & ~F.isnan(p["corr"]))
+    known = F.filter(pairs, lambda p: p["corr"].isNotNull())
     # Descending by correlation, ties by name: a short array per group, sorted in place.
     ranked = F.array_sort(F.transform(known, lambda p: F.struct(
         (-p["corr"]).alias("neg"), p["variable"].alias("variable"), p["corr"].alias("corr"))))

@@ -202,9 +202,17 @@ def change_points(df: DataFrame, series: Sequence[str], order: str, value: str,
     return df.groupBy(*series).applyInPandas(label, out)
 
 
-def mixture_labels(df: DataFrame, value: str, k: int = 3, seed: int = 42) -> DataFrame:
-    """Gaussian-mixture component of each value; the model is fitted by Spark ML."""
+def mixture_labels(df: DataFrame, value: str, k: int = 3, seed: int = 42,
+                   restarts: int = 4) -> DataFrame:
+    """Gaussian-mixture component of each value, fitted by Spark ML.
+
+    The fit starts from random rows, so it is repeated from ``restarts`` seeds and the
+    most likely model is kept.
+    """
     rows = VectorAssembler(inputCols=[value], outputCol="__v", handleInvalid="skip").transform(df)
-    model = GaussianMixture(featuresCol="__v", predictionCol="Segmento_GMM", k=k, seed=seed,
-                            maxIter=50).fit(rows)
-    return model.transform(rows).drop("__v", "probability")
+    rows = rows.persist()
+    learner = GaussianMixture(featuresCol="__v", predictionCol="Segmento_GMM", k=k, maxIter=50)
+    models = [learner.copy({learner.seed: seed + i}).fit(rows) for i in range(restarts)]
+    rows.unpersist()
+    best = max(models, key=lambda m: m.summary.logLikelihood)
+    return best.transform(rows).drop("__v", "probability")

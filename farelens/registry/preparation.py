@@ -217,6 +217,15 @@ def p19(spark, d):
     return S.known_mail(full, sample=sales(spark, d)).select(*ID, "EMAIL")
 
 
+@entry("o07_keep_first", """
+SELECT NOMBRE_PASAJERO, EMAIL AS EMAIL_KNOWN FROM tickets WHERE EMAIL IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY NOMBRE_PASAJERO
+  ORDER BY FECHA_OPERACION, OPERACION, TRANSACCION, NUM_ASIENTO, EMAIL) = 1""")
+def o07(spark, d):
+    """First mail of each passenger name, in a stated order of rows."""
+    return S.known_mails(tickets(spark, d))
+
+
 @entry("p20_placeholder_mail", """
 SELECT OPERACION, TRANSACCION, NUM_ASIENTO,
   replace(lower(NOMBRE_PASAJERO), ' ', '.') || '@ejemplo.com' AS EMAIL FROM sales""")
