@@ -48,43 +48,66 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
 
 
 @B.once
-def sales(spark: SparkSession, d: str) -> DataFrame:
+def extracted_sales(spark: SparkSession, d: str) -> DataFrame:
     found = extracts.extract_sales(B.sales_raw(spark, d), B.ROUTES, B.YEAR_FROM)
     return extracts.for_routes(found, B.ROUTES)
 
 
 @B.once
-def trips(spark: SparkSession, d: str) -> DataFrame:
+def extracted_trips(spark: SparkSession, d: str) -> DataFrame:
     found = extracts.extract_trips(B.trips_raw(spark, d), B.ROUTES, B.YEAR_FROM)
     return extracts.for_routes(found, B.ROUTES)
 
 
 @B.once
-def loyalty(spark: SparkSession, d: str) -> DataFrame:
+def extracted_loyalty(spark: SparkSession, d: str) -> DataFrame:
     found = extracts.extract_loyalty(B.loyalty_raw(spark, d), B.ROUTES, B.YEAR_FROM)
     return extracts.for_routes(found, B.ROUTES)
 
 
-@B.once
+_STORED: dict[tuple, tuple[str, T.StructType]] = {}
+
+
+def stored(name: str, build: Query, spark: SparkSession, d: str,
+           partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """A base table written once per application to the shared folder and read from there.
+
+    Later filters and column lists reach its parquet scan.  Rebalancing keeps the files
+    of even size, also where one partition value holds most of the rows.
+    """
+    key = (name, spark.sparkContext.applicationId, d)
+    if key not in _STORED:
+        frame = build(spark, d)
+        path = scratch_path(spark, name)
+        write_table(frame.hint("rebalance", *partition_by), path, partition_by=partition_by)
+        _STORED[key] = (path, frame.schema)
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
+
+
+def sales(spark: SparkSession, d: str) -> DataFrame:
+    return stored("sales", extracted_sales, spark, d)
+
+
+def trips(spark: SparkSession, d: str) -> DataFrame:
+    return stored("trips", extracted_trips, spark, d)
+
+
+def loyalty(spark: SparkSession, d: str) -> DataFrame:
+    return stored("loyalty", extracted_loyalty, spark, d)
+
+
 def combined(spark: SparkSession, d: str) -> DataFrame:
     return prep.combine(sales(spark, d), trips(spark, d), loyalty(spark, d))
 
 
-_STORED: dict[tuple[str, str], tuple[str, T.StructType]] = {}
+def derived(spark: SparkSession, d: str) -> DataFrame:
+    return prep.derive(combined(spark, d))
 
 
 def tickets(spark: SparkSession, d: str) -> DataFrame:
     """The analysis frame: one row per sold ticket, with every derived column.
 
-    It is the shared base of all indicators and models, so it is written once per
-    application to the shared folder, partitioned by travel year, and read from there:
-    year filters prune, other filters and column lists reach the parquet scan.
+    It is partitioned by travel year, so year filters prune.
     """
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _STORED:
-        frame = prep.derive(combined(spark, d))
-        path = scratch_path(spark, "tickets")
-        write_table(frame.hint("rebalance", "ANIO"), path, partition_by=["ANIO"])
-        _STORED[key] = (path, frame.schema)
-    path, schema = _STORED[key]
-    return spark.read.schema(schema).parquet(path)
+    return stored("tickets", derived, spark, d, ("ANIO",))

@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 from farelens import bindings as B
 from farelens import schemas
 from farelens.functions.fixed import GOOD_HOURS, GOOD_MONTHS, GOOD_SEATS, GOOD_WEEKDAYS
-from farelens.registry.base import entry, loyalty, rounded, sales, trips
+from farelens.registry.base import (
+    entry, extracted_loyalty, extracted_sales, extracted_trips, loyalty, rounded, sales, trips,
+)
 from farelens.session import scratch_path
 from farelens.sources import extracts, projections as P, readers
 
@@ -119,13 +121,10 @@ def s08(spark, d):
     return spark.read.parquet(path).where(F.col("ANIO") == 1999)
 
 
-_Q01 = [c for c in schemas.SALES.names]
-
-
 @entry("q01_sales_extract", """
 SELECT * REPLACE (round(VENTA, 4) AS VENTA) FROM sales""")
 def q01(spark, d):
-    return rounded(sales(spark, d), "VENTA", digits=4).select(*_Q01)
+    return rounded(extracted_sales(spark, d), "VENTA", digits=4).select(*schemas.SALES.names)
 
 
 @entry("s10_route_parameters", f"""
@@ -143,12 +142,12 @@ def s10(spark, d):
 
 @entry("q02_trip_extract", "SELECT * FROM trips")
 def q02(spark, d):
-    return trips(spark, d)
+    return extracted_trips(spark, d)
 
 
 @entry("q03_loyalty_extract", "SELECT * FROM loyalty")
 def q03(spark, d):
-    return loyalty(spark, d)
+    return extracted_loyalty(spark, d)
 
 
 @entry("q04_contact_extract", f"""
