@@ -32,11 +32,11 @@ def z_score(df: DataFrame, cols: Sequence[str], stats: DataFrame | None = None)
     one = row.select(F.struct(*row.columns)).scalar()
 
     def scaled(c: str) -> Column:
-        centred = F.col(c) - one[f"{c}__mean"]
-        return F.when(one[f"{c}__sd"] == 0, centred).otherwise(
-            safe_div(centred, one[f"{c}__sd"]))
+        deviation = F.col("__one")[f"{c}__sd"]
+        centred = F.col(c) - F.col("__one")[f"{c}__mean"]
+        return F.when(deviation == 0, centred).otherwise(safe_div(centred, deviation))
 
-    return df.withColumns({c: scaled(c) for c in cols})
+    return df.withColumn("__one", one).withColumns({c: scaled(c) for c in cols}).drop("__one")
 
 
 def min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -45,11 +45,11 @@ def min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                            *[F.max(c).alias(f"{c}__hi") for c in cols])).scalar()
 
     def scaled(c: str) -> Column:
-        width = ends[f"{c}__hi"] - ends[f"{c}__lo"]
+        low, high = F.col("__ends")[f"{c}__lo"], F.col("__ends")[f"{c}__hi"]
         return F.when(F.col(c).isNotNull(), F.coalesce(
-            safe_div(F.col(c) - ends[f"{c}__lo"], width), F.lit(0.0)))
+            safe_div(F.col(c) - low, high - low), F.lit(0.0)))
 
-    return df.withColumns({c: scaled(c) for c in cols})
+    return df.withColumn("__ends", ends).withColumns({c: scaled(c) for c in cols}).drop("__ends")
 
 
 def hash_split(df: DataFrame, row_id: Sequence[str], frac: float = 0.8,

@@ -110,9 +110,10 @@ def repair_seats(df: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """
     limits = fleet_capacity(df if pairs is None else pairs)
     seat, capacity = F.col("NUM_ASIENTO"), F.col("CAPACIDAD_ASIENTOS_TRAMO")
-    return df.where(seat <= limits["before"]).withColumn(
+    known = df.withColumn("__limits", limits)
+    return known.where(seat <= F.col("__limits.before")).withColumn(
         "CAPACIDAD_ASIENTOS_TRAMO",
-        F.when(seat > capacity, limits["after"]).otherwise(capacity))
+        F.when(seat > capacity, F.col("__limits.after")).otherwise(capacity)).drop("__limits")
 
 
 def combine(sales: DataFrame, trips: DataFrame, loyalty: DataFrame,

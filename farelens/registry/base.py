@@ -47,6 +47,13 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 
+def settled(df: DataFrame, name: str, digits: int = 6) -> DataFrame:
+    """Round half up with a small allowance: exact ties of money ratios go up whatever the
+    last bit of the sums is."""
+    unit = float(10 ** digits)
+    return df.withColumn(name, F.floor(F.col(name) * unit + 0.5001) / unit)
+
+
 @B.once
 def extracted_sales(spark: SparkSession, d: str) -> DataFrame:
     found = extracts.extract_sales(B.sales_raw(spark, d), B.ROUTES, B.YEAR_FROM)

@@ -68,26 +68,26 @@ def elasticities(spark, d):
 
 
 @entry("a10_trip_means", """
-SELECT ORIGEN_DESTINO, FECHA_CORRIDA, CV_CORRIDA, round(TARIFA_BASE_TRAMO, 7) AS TARIFA_BASE_TRAMO,
-  round(INGRESO_TRANSP, 7) AS INGRESO_TRANSP, round(PAX_SUBEN, 7) AS PAX_SUBEN,
-  round(DISPONIBILIDAD_TRAMO, 7) AS DISPONIBILIDAD_TRAMO,
-  round(OCUPACION_TRAMO, 7) AS OCUPACION_TRAMO FROM trip_mean""")
+SELECT ORIGEN_DESTINO, FECHA_CORRIDA, CV_CORRIDA, round(TARIFA_BASE_TRAMO, 5) AS TARIFA_BASE_TRAMO,
+  round(INGRESO_TRANSP, 5) AS INGRESO_TRANSP, round(PAX_SUBEN, 5) AS PAX_SUBEN,
+  round(DISPONIBILIDAD_TRAMO, 5) AS DISPONIBILIDAD_TRAMO,
+  round(OCUPACION_TRAMO, 5) AS OCUPACION_TRAMO FROM trip_mean""")
 def a10(spark, d):
     names = ["TARIFA_BASE_TRAMO", "INGRESO_TRANSP", "PAX_SUBEN", "DISPONIBILIDAD_TRAMO",
              "OCUPACION_TRAMO"]
     df = E.trip_means(S.elasticity_set(tickets(spark, d))).select(
         "ORIGEN_DESTINO", "FECHA_CORRIDA", "CV_CORRIDA", *names)
-    return rounded(df, *names, digits=7)
+    return rounded(df, *names, digits=5)
 
 
 @entry("a11_route_day_sums", """
 SELECT ORIGEN_DESTINO, FECHA_CORRIDA, round(INGRESO_TEORICO, 5) AS INGRESO_TEORICO,
-  round(INGRESO_TRANSP, 7) AS INGRESO_TRANSP, round(Q, 7) AS Q,
-  round(DISPONIBILIDAD_TRAMO, 7) AS DISPONIBILIDAD_TRAMO FROM elas""")
+  round(INGRESO_TRANSP, 5) AS INGRESO_TRANSP, round(Q, 5) AS Q,
+  round(DISPONIBILIDAD_TRAMO, 5) AS DISPONIBILIDAD_TRAMO FROM elas""")
 def a11(spark, d):
     df = E.route_day_sums(E.trip_means(S.elasticity_set(tickets(spark, d))))
     return rounded(rounded(df, "INGRESO_TEORICO", digits=5), "INGRESO_TRANSP", "Q",
-                   "DISPONIBILIDAD_TRAMO", digits=7)
+                   "DISPONIBILIDAD_TRAMO", digits=5)
 
 
 @entry("e01_route_day_elasticity", """
@@ -118,10 +118,10 @@ _GRID = ["precio_unitario", "ingreso_real", "CAPACIDAD_ASIENTOS_TRAMO", "DIAS_AN
 
 
 @entry("a21_demand_grid", f"""
-SELECT * REPLACE ({", ".join(f"round({c}, 7) AS {c}" for c in _GRID)}) FROM grid""")
+SELECT * REPLACE ({", ".join(f"round({c}, 5) AS {c}" for c in _GRID)}) FROM grid""")
 def a21(spark, d):
     df = E.demand_grid(tickets(spark, d), ["ORIGEN_DESTINO"])
-    return rounded(longs(df, "mes", "dia", "hora"), *_GRID, digits=7)
+    return rounded(longs(df, "mes", "dia", "hora"), *_GRID, digits=5)
 
 
 _CORRS = ", ".join(
@@ -196,11 +196,11 @@ def _curve(spark, d):
 
 
 @entry("e07_revenue_curve", f"""
-SELECT ORIGEN_DESTINO, punto, round(precio, 7) AS precio, round(ingreso, 7) AS ingreso
+SELECT ORIGEN_DESTINO, punto, round(precio, 5) AS precio, round(ingreso, 5) AS ingreso
 FROM ({_CURVE})""")
 def e07(spark, d):
     df = longs(_curve(spark, d).select("ORIGEN_DESTINO", "punto", "precio", "ingreso"), "punto")
-    return rounded(df, "precio", "ingreso", digits=7)
+    return rounded(df, "precio", "ingreso", digits=5)
 
 
 @entry("o08_best_price", f"""
@@ -219,15 +219,16 @@ def e08(spark, d):
                    "ingreso_maximo")
 
 
-_DAYS = ["Prom_Ocupacion", "Dias_Anticip", "Tarif_Base_Tramo", "Dif_Tarifa", "Costo_Prom_Boleto"]
+_DAYS = ["Prom_Ocupacion", "Dias_Anticip", "Tarif_Base_Tramo", "Costo_Prom_Boleto"]
 
 
 @entry("a22_daily_base", f"""
-SELECT * REPLACE ({", ".join(f"round({c}, 7) AS {c}" for c in _DAYS)},
-  round(Tot_Venta, 2) AS Tot_Venta) FROM days""")
+SELECT * REPLACE ({", ".join(f"round({c}, 6) AS {c}" for c in _DAYS)},
+  round(Dif_Tarifa, 8) AS Dif_Tarifa, round(Tot_Venta, 2) AS Tot_Venta) FROM days""")
 def a22(spark, d):
     df = longs(E.daily_base(tickets(spark, d)), "ANIO")
-    return rounded(rounded(df, *_DAYS, digits=7), "Tot_Venta", digits=2)
+    df = rounded(rounded(df, *_DAYS), "Dif_Tarifa", digits=8)
+    return rounded(df, "Tot_Venta", digits=2)
 
 
 @entry("a23_fare_deflator", "SELECT ANIO, round(deflator, 8) AS deflator FROM fare_defl")
@@ -244,12 +245,12 @@ def a24(spark, d):
 
 @entry("j12_deflated_days", """
 SELECT FECHA_OPERACION, ANIO, NOMBRE_DIA_CORRIDA, round(deflator, 8) AS deflator,
-  round(Costo_Prom_Boleto / deflator, 7) AS PRECIO_AJUST
+  round(Costo_Prom_Boleto / deflator, 5) AS PRECIO_AJUST
 FROM days LEFT JOIN fare_defl USING (ANIO)""")
 def j12(spark, d):
     df = E.adjusted_days(tickets(spark, d), "tarifa_base", BASE_YEAR).select(
         "FECHA_OPERACION", "ANIO", "NOMBRE_DIA_CORRIDA", "deflator", "PRECIO_AJUST")
-    return rounded(rounded(longs(df, "ANIO"), "deflator", digits=8), "PRECIO_AJUST", digits=7)
+    return rounded(rounded(longs(df, "ANIO"), "deflator", digits=8), "PRECIO_AJUST", digits=5)
 
 
 @entry("e09_loglog_slope", """

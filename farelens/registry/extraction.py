@@ -9,7 +9,8 @@ from farelens import bindings as B
 from farelens import schemas
 from farelens.functions.fixed import GOOD_HOURS, GOOD_MONTHS, GOOD_SEATS, GOOD_WEEKDAYS
 from farelens.registry.base import (
-    entry, extracted_loyalty, extracted_sales, extracted_trips, loyalty, rounded, sales, trips,
+    entry, extracted_loyalty, extracted_sales, extracted_trips, loyalty, rounded, sales, settled,
+    trips,
 )
 from farelens.session import scratch_path
 from farelens.sources import extracts, projections as P, readers
@@ -191,11 +192,11 @@ def q05(spark, d):
 
 
 @entry("q06_daily_occupancy_income", f"""
-SELECT {_OCC_KEYS}, {_OCC}, round({_INCOME} / {_KM_TOTAL}, 12) AS FIK
+SELECT {_OCC_KEYS}, {_OCC}, floor({_INCOME} / {_KM_TOTAL} * 1e6 + 0.5001::DOUBLE) / 1e6 AS FIK
 FROM star WHERE {_YEARS} GROUP BY ALL""")
 def q06(spark, d):
     df = P.daily_occupancy_income(B.occupancy_raw(spark, d), B.YEAR_FROM)
-    return rounded(rounded(df, "FOP", digits=8), "FIK", digits=12)
+    return settled(rounded(df, "FOP", digits=8), "FIK")
 
 
 _BRANCH = """
@@ -246,11 +247,11 @@ SELECT 'E' || CAST(l_partkey % 4 AS VARCHAR) AS EMPRESA, {_ACCOUNT_KEYS},
   round(CASE WHEN year(FECHA_CORRIDA) < 1999 AND count(*) FILTER (l_orderkey % 6 = 5) = 0
     THEN NULL ELSE sum(CASE WHEN l_orderkey % 6 IN (3, 4, 5) THEN VENTA_BRUTA ELSE 0 END) END, 2)
     AS ING_ABO,
-  round(sum(VENTA_BRUTA) / sum(100 + p_size * 10), 12) AS FIK
+  floor(sum(VENTA_BRUTA) / sum(100 + p_size * 10) * 1e6 + 0.5001::DOUBLE) / 1e6 AS FIK
 FROM star WHERE {_YEARS} GROUP BY EMPRESA, FECHA_CORRIDA""")
 def q11(spark, d):
     df = P.accounting_channels(B.accounting_raw(spark, d), B.YEAR_FROM)
-    return rounded(rounded(df, "ING_TAQ", "ING_ABO", "INGRESO", digits=2), "FIK", digits=12)
+    return settled(rounded(df, "ING_TAQ", "ING_ABO", "INGRESO", digits=2), "FIK")
 
 
 @entry("q12_budget_by_kind", """
