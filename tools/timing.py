@@ -40,7 +40,7 @@ def main() -> None:
             found = []
             for _ in range(runs):
                 start = time.perf_counter()
-                con.execute(entry.sql).fetch_arrow_table()
+                con.execute(entry.sql).to_arrow_table()
                 found.append(time.perf_counter() - start)
             theirs = statistics.median(found)
         rows = entry.query(spark, sf_dir).count()
