@@ -94,7 +94,7 @@ def customer_route_fik(df: DataFrame) -> DataFrame:
     daily = df.dropna(subset=[*keys, "FECHA_CORRIDA"]).groupBy(*keys, "FECHA_CORRIDA").agg(
         F.count(F.lit(1)).alias("n"), F.sum("VENTA").alias("venta"))
     joined = spread_join(daily, daily_route_income(df), ["FECHA_CORRIDA", "ORIGEN_DESTINO"],
-                         "left", ["EMAIL"])
+                         "left", ["EMAIL"], sample=df)
     weight = F.when(F.col("FIK_DIARIO").isNotNull(), F.col("n"))
     return joined.groupBy(*keys).agg(
         F.sum("n").alias("TOTAL_VIAJES"),

@@ -41,12 +41,17 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
 
     Left rows of a hot key go to slices chosen by a hash of ``row_id`` (the same slice
     if a task is rerun); the matching right rows are repeated once per slice.  Cold keys
-    stay in slice 0 and are not repeated.  ``sample`` names a cheaper frame with the
-    same keys to look for hot ones, by default ``left`` itself.
+    stay in slice 0 and are not repeated.  Right rows with an unknown key match nothing
+    and are left out; for semi- and anti-joins one right row per key is enough.
+    ``sample`` names a cheaper frame with the same keys to look for hot ones, by default
+    ``left`` itself.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} would repeat or lose right rows")
     keys = list(on)
+    right = right.dropna(subset=keys)
+    if how in ("left_semi", "left_anti"):
+        right = right.select(*keys).distinct()
     slices = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(sample if sample is not None else left, keys, share)
     is_hot = F.array_contains(hot, F.xxhash64(*keys))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,12 +63,16 @@ def test_shared_folder_is_set_once_and_lineage_is_cut(spark):
     assert df.collect() == df.collect()
 
 
-def test_named_checkpoint_folder_is_used(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        assert scratch_path(spark, "x").startswith(f"file://{tmp_path}/x-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_named_checkpoint_folder_is_used():
+    """The setting is fixed when a session starts, so a stand-in session carries it."""
+    seen = []
+    stand_in = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: "hdfs://shared/ckpt"),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: seen[-1] + "/app" if seen else None,
+                                     setCheckpointDir=seen.append))
+    assert shared_dir(stand_in) == "hdfs://shared/ckpt" and seen == ["hdfs://shared/ckpt"]
+    assert scratch_path(stand_in, "x").startswith("hdfs://shared/ckpt/x-")
+    assert len(seen) == 1
 
 
 def occupancy(spark, rows):
