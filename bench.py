@@ -39,7 +39,7 @@ def timed(query, spark, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = build_session(f"local[{cpus}]", int(cpus), "farelens-bench", "16g")
     found: dict[str, float] = {}
     # The shared ticket table is built once and timed on its own.
