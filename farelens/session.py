@@ -49,13 +49,17 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and scratch tables, readable by every executor.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset, as in
-    local tests, is a folder of our own used.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local master may leave it
+    unset; a folder of our own is then used.  Executors of a cluster would each write such a
+    folder on their own disk, hence the error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
         if named is None:
+            if not spark.sparkContext.master.startswith("local") or (
+                    spark.sparkContext.master.startswith("local-cluster")):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             named = "file://" + tempfile.mkdtemp(prefix="farelens-")
         spark.sparkContext.setCheckpointDir(named)
         current = spark.sparkContext.getCheckpointDir()
