@@ -36,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
         UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
     ), sized AS (
-        SELECT *, 16 + length(replace(replace(replace(replace(
+        SELECT *, 15 + length(replace(replace(replace(replace(
                       role, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'), chr(10), '&#10;'))
                   + length(replace(replace(replace(
                       text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')) AS chars,
