@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farelens.llm import chat
+from farelens.llm import chat, quality, urls
 from farelens.session import tune
 
 QUERIES: dict = {}
@@ -63,3 +63,126 @@ def op7_chat_format(spark: SparkSession, d: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)],
                                   "conv_id long, turn long, role string, text string")
     return chat.read_back(chat.prefix_targets(turns.unionByName(extra)))
+
+
+# The rules that the url query judges by.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
+             ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+_HOST = r"translate(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), '%s', '%s')" % (
+    urls.UPPER, urls.LOWER)
+_PATH = r"regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+_REST = r"regexp_extract({0}, '(?s)^.*?://[^/?#]*([^#]*)', 1)"
+
+
+@query("op1_url_filter", sql=rf"""
+    WITH RECURSIVE rules(verdict, h, p) AS (
+        VALUES {", ".join(str(r) for r in URL_RULES)}
+    ), tags AS (
+        SELECT url, unnest(list_filter(
+            regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>'),
+            lambda x: regexp_matches(x, '(?is)\brel\s*=\s*["'']?canonical\b'
+                                   '|http-equiv\s*=\s*["'']?refresh\b'))) AS tag
+        FROM pages WHERE contains(url, '://')
+    ), raw AS (
+        SELECT url, replace(regexp_extract(tag,
+            '(?is)(?:\bhref\s*=|\burl\s*=)\s*["'']?\s*([^"''>\s]+)', 1), '&amp;', '&') AS t,
+            regexp_extract(url, '(?s)^(.*?)://', 1) AS s, {_HOST.format("url")} AS h,
+            regexp_extract({_PATH.format("url")}, '(?s)^(.*/)', 1) AS f
+        FROM tags
+    ), edges AS (
+        SELECT url AS a, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+            WHEN starts_with(t, '//') THEN s || ':' || t
+            WHEN starts_with(t, '/') THEN s || '://' || h || t
+            ELSE s || '://' || h || CASE WHEN f = '' THEN '/' ELSE f END || t END AS b
+        FROM raw WHERE t <> ''
+    ), ends AS (
+        SELECT {_HOST.format("a")} || {_REST.format("a")} AS a,
+               {_HOST.format("b")} || {_REST.format("b")} AS b
+        FROM edges WHERE {_HOST.format("a")} <> '' AND {_HOST.format("b")} <> ''
+    ), near AS (
+        SELECT a, b FROM ends UNION SELECT b, a FROM ends
+    ), reach AS (
+        SELECT a, a AS b FROM near
+        UNION SELECT r.a, n.b FROM reach r JOIN near n ON r.b = n.a
+    ), judged AS (
+        SELECT DISTINCT ON (u.url) u.url, h || p AS rule, verdict
+        FROM (SELECT url FROM pages UNION SELECT '://' || b FROM reach) u JOIN rules
+          ON ({_HOST.format("u.url")} = h OR ends_with({_HOST.format("u.url")}, '.' || h))
+         AND starts_with({_PATH.format("u.url")}, p)
+        ORDER BY u.url, length(h || p) DESC, length(h) DESC, verdict
+    ), passed AS (
+        SELECT r.a, min(j.verdict) AS verdict
+        FROM reach r JOIN judged j ON j.url = '://' || r.b GROUP BY r.a
+    )
+    SELECT page_id, coalesce({_HOST.format("p.url")}, '') AS host,
+           coalesce({_PATH.format("p.url")}, '') AS path, j.rule,
+           coalesce(j.verdict, c.verdict, 'allow') AS verdict,
+           j.rule IS NULL AND c.verdict IS NOT NULL AS inherited
+    FROM pages p LEFT JOIN judged j ON j.url = p.url
+    LEFT JOIN passed c ON c.a = {_HOST.format("p.url")} || {_REST.format("p.url")}
+""")
+def op1_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    """All page urls, judged by rules and by the aliases their html links to."""
+    pages = table(spark, d, "pages")
+    return urls.judge(pages, urls.links(pages), URL_RULES)
+
+
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+_CLOSING = "".join(quality.CLOSING).replace("'", "''").replace(")", "\\)")
+
+
+@query("op10_quality_rules", sql=rf"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS ws
+        FROM documents
+    ), w AS (
+        SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS word FROM d
+    ), triples AS (
+        SELECT doc_id, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS t
+        FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+    ), twice AS (
+        SELECT doc_id, i FROM triples WHERE t IS NOT NULL
+        QUALIFY count(*) OVER (PARTITION BY doc_id, t) > 1
+    ), repeated AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+        FROM twice, (VALUES (0), (1), (2)) AS s(k) GROUP BY doc_id
+    ), split AS (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d
+    ), measured AS (
+        SELECT *, {_WORDS.format("line")} AS lw,
+               length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols,
+               row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS again
+        FROM split
+    ), ruled AS (
+        SELECT doc_id, len(lw) AS n, again,
+            again OR (symbols >= 2 AND symbols * 3 >= len(lw))
+            OR (len(list_filter(lw, lambda x: regexp_matches(x, '[!?][!?]$'))) >= 2
+                AND len(list_filter(lw, lambda x: regexp_matches(x, '[!?][!?]$'))) * 2 >= len(lw))
+            OR (len(lw) < 4 AND NOT regexp_matches(lw[len(lw)], '[{_CLOSING}]$'))
+            OR (len(lw) >= 4 AND NOT regexp_matches(line, '[.,;:!?]'))
+            OR (len(lw) >= 10 AND len(list_distinct(lw)) * 3 <= len(lw))
+            OR regexp_matches(translate(line, '{urls.UPPER}', '{urls.LOWER}'),
+                              '{"|".join(quality.PHRASES)}') AS fails
+        FROM measured WHERE len(lw) > 0
+    ), lines AS (
+        SELECT doc_id, count(*) FILTER (again) AS n_dup_lines,
+               CAST(coalesce(sum(n) FILTER (fails), 0) AS BIGINT) AS n_lost_words
+        FROM ruled GROUP BY doc_id
+    ), joined AS (
+        SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+               length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+               coalesce(n_dup_lines, 0) AS n_dup_lines,
+               coalesce(n_repeat_words, 0) AS n_repeat_words,
+               coalesce(n_lost_words, 0) AS n_lost_words
+        FROM d LEFT JOIN repeated USING (doc_id) LEFT JOIN lines USING (doc_id)
+    )
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+           AND 100 * n_lost_words <= 50 * n_words AS kept
+    FROM joined
+""")
+def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    """All documents, judged line first."""
+    return quality.judge(table(spark, d, "documents")).drop("clean_text")
