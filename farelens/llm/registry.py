@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farelens.llm import chat, quality, urls
+from farelens.llm import chat, exact, quality, urls
 from farelens.session import tune
 
 QUERIES: dict = {}
@@ -186,3 +186,17 @@ _CLOSING = "".join(quality.CLOSING).replace("'", "''").replace(")", "\\)")
 def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     """All documents, judged line first."""
     return quality.judge(table(spark, d, "documents")).drop("clean_text")
+
+
+@query("op6_exact_dedup", sql=r"""
+    WITH d AS (
+        SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
+        FROM documents
+    )
+    SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+           doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+    FROM d WINDOW g AS (PARTITION BY t)
+""")
+def op6_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """All documents, with the row of equal text that stays."""
+    return exact.judge(table(spark, d, "documents"))
