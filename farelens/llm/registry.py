@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from farelens.llm import chat, exact, quality, urls
+from farelens.llm import chat, exact, packing, quality, urls
 from farelens.session import tune
 
+# The installed vocabulary files; every executor has the same ones.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -200,3 +204,9 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
 def op6_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     """All documents, with the row of equal text that stays."""
     return exact.judge(table(spark, d, "documents"))
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, d: str) -> DataFrame:
+    """All documents, packed into sequences of 4096 tokens."""
+    return packing.pack(table(spark, d, "documents"), WORD_BPE)
