@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from farelens.llm import chat, exact, packing, quality, urls
+from farelens.llm import chat, exact, packing, quality, toxicity, urls
 from farelens.session import tune
 
 # The installed vocabulary files; every executor has the same ones.
@@ -210,3 +210,9 @@ def op6_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 def op4_packing(spark: SparkSession, d: str) -> DataFrame:
     """All documents, packed into sequences of 4096 tokens."""
     return packing.pack(table(spark, d, "documents"), WORD_BPE)
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """All documents, scored by classifiers fitted on the rows that are not held out."""
+    return toxicity.judge(table(spark, d, "documents"), table(spark, d, "labels"))
