@@ -34,14 +34,14 @@ def components(edges: DataFrame) -> DataFrame:
         choice = store(choice.select(
             "u", F.least("best", rank("u"))["node"].alias("into")), "choice")
         chosen.append(choice)
-        ends = choice.withColumnsRenamed({"u": "v", "into": "v_into"})
+        ends = choice.select(F.col("u").alias("v"), F.col("into").alias("v_into"))
         half = store(graph.join(choice, "u").select("v", F.col("into").alias("u")), "half")
         graph = distinct(half.join(ends, "v").select("u", F.col("v_into").alias("v")))
     if not chosen:
         return edges.select(F.col("u").alias("node"), F.col("u").alias("component")).limit(0)
     found = chosen.pop()
     for choice in reversed(chosen):
-        later = found.withColumnsRenamed({"u": "into", "into": "root"})
+        later = found.select(F.col("u").alias("into"), F.col("into").alias("root"))
         found = choice.join(later, "into", "left").select(
             "u", F.coalesce("root", "into").alias("into"))
         found = store(found, "roots")

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from farelens.llm import golomb
-from farelens.llm.tables import store, unused
+from farelens.llm.tables import sift, store, unused
 
 BITS = 48
 CHUNK = 1 << 18  # hashes a sender holds before it sends
@@ -95,35 +95,23 @@ def mark(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
          filter_bits: int = 1 << 23) -> tuple[DataFrame, str]:
     """``docs`` with a struct ``keep_id, group_size, kept, text`` (the normalised one) in a
     further column, and that column's name."""
-    name, key, word, mask = (unused(docs, x) for x in ("copies", "key", "word", "mask"))
+    name, key, row = (unused(docs, x) for x in ("copies", "key", "row"))
     hashed = F.xxhash64(normalised(text)).bitwiseAND((1 << BITS) - 1)
     owners = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    place = F.col("h").bitwiseAND(filter_bits - 1)
-    # At most filter_bits / 64 rows of two numbers.
-    hit_words = (
-        suspects(docs.select(hashed.alias("h")), owners)
-        .select(place.alias("place"))
-        .groupBy(F.shiftright("place", 6).alias(word))
-        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias(mask)))
-    hit_words = F.broadcast(store(hit_words, "suspects"))
-    own_place = F.col(key).bitwiseAND(filter_bits - 1)
-    found = docs.withColumn(key, hashed)
-    bit = F.expr(f"shiftleft(1L, CAST(`{key}` & 63 AS INT))")
-    found = found.join(hit_words, F.shiftright(own_place, 6) == F.col(word), "left")
-    hit = F.coalesce(F.col(mask).bitwiseAND(bit) != 0, F.lit(False))
-    alone = found.where(~hit).select(*docs.columns, F.struct(
+    found, hit = sift(docs, hashed, suspects(docs.select(hashed.alias("h")), owners), filter_bits)
+    alone = found.where(~F.col(hit)).select(*docs.columns, F.struct(
         F.col(doc_id).alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), normalised(text).alias("text")).alias(name))
     met = found.where(hit).select(*docs.columns, normalised(text).alias(key),
-                                  F.monotonically_increasing_id().alias(mask))
+                                  F.monotonically_increasing_id().alias(row))
     met = store(met, "met")
     groups = store(met.groupBy(key).agg(
         F.min(F.struct(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("id"),
-                       F.col(mask).alias("row"))).alias(name),
-        F.count(F.lit(1)).alias(word)), "groups")
+                       F.col(row).alias("row"))).alias(name),
+        F.count(F.lit(1)).alias(hit)), "groups")
     decided = met.join(groups, key).select(*docs.columns, F.struct(
-        F.col(name)["id"].alias("keep_id"), F.col(word).alias("group_size"),
-        (F.col(mask) == F.col(name)["row"]).alias("kept"), F.col(key).alias("text")).alias(name))
+        F.col(name)["id"].alias("keep_id"), F.col(hit).alias("group_size"),
+        (F.col(row) == F.col(name)["row"]).alias("kept"), F.col(key).alias("text")).alias(name))
     return alone.unionByName(decided), name
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from farelens.llm import chat, exact, packing, quality, toxicity, urls
+from farelens.llm import chat, exact, minhash, packing, quality, toxicity, urls
 from farelens.session import tune
 
 # The installed vocabulary files; every executor has the same ones.
@@ -206,6 +206,41 @@ def op6_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact.judge(table(spark, d, "documents"))
 
 
+@query("op3_minhash_dedup", sql=rf"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, {_WORDS.format(f"translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}')")} AS ws
+        FROM documents
+    ), w AS (
+        SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS word, len(ws) AS n FROM d
+    ), windows AS (
+        SELECT doc_id, n, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o
+               || ' ' || lead(word, 3) OVER o || ' ' || lead(word, 4) OVER o AS s
+        FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+    ), shingles AS (
+        SELECT DISTINCT doc_id, s FROM windows WHERE s IS NOT NULL
+        UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND 4
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+    ), common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+        FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id
+    ), near AS (
+        SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+        WHERE 100 * c >= 75 * (x.n + y.n - c)
+    ), reach AS (
+        SELECT a, a AS b FROM near UNION SELECT r.a, n.b FROM reach r JOIN near n ON r.b = n.a
+    ), label AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles,
+           coalesce(least, d.doc_id) AS component_id,
+           coalesce(least, d.doc_id) = d.doc_id AS kept
+    FROM d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN label ON a = d.doc_id
+""")
+def op3_minhash_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """All documents, with the group of near copies that each belongs to."""
+    return minhash.judge(table(spark, d, "documents"))
+
+
 @query("op4_packing")
 def op4_packing(spark: SparkSession, d: str) -> DataFrame:
     """All documents, packed into sequences of 4096 tokens."""

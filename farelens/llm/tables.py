@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from farelens.session import scratch_path
 
@@ -56,3 +56,24 @@ def edit_texts(docs: DataFrame, edit: Callable[[str | None], tuple[bool, str | N
             yield out.filter(pa.array([keep for keep, _ in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def sift(docs: DataFrame, key: Column, wanted: DataFrame, bits: int = 1 << 23,
+         ) -> tuple[DataFrame, str]:
+    """``docs`` with a boolean column (its name is returned too) that is true wherever the
+    long ``key`` is among the single column of ``wanted``, and for a few rows more.
+
+    The wanted keys become a filter of ``bits`` bits (a power of two), sent as at most
+    ``bits / 64`` small rows whatever the size of the data.  It has no false negatives, so
+    rows without the mark need no further look and no shuffle.
+    """
+    hit, word, mask = (unused(docs, x) for x in ("hit", "word", "mask"))
+    place = wanted.select(F.col(wanted.columns[0]).bitwiseAND(bits - 1).alias("place"))
+    words = store(place.groupBy(F.shiftright("place", 6).alias(word)).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias(mask)), "filter")
+    own = key.bitwiseAND(bits - 1)
+    found = docs.withColumn(hit, own).join(
+        F.broadcast(words), F.shiftright(F.col(hit), 6) == F.col(word), "left")
+    bit = F.expr(f"shiftleft(1L, CAST(`{hit}` & 63 AS INT))")
+    return found.select(*docs.columns, F.coalesce(
+        F.col(mask).bitwiseAND(bit) != 0, F.lit(False)).alias(hit)), hit
