@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from farelens.llm import chat, exact, minhash, packing, quality, toxicity, urls
+from farelens.llm import chat, exact, minhash, packing, quality, substrings, toxicity, urls
 from farelens.session import tune
 
 # The installed vocabulary files; every executor has the same ones.
@@ -251,3 +251,29 @@ def op4_packing(spark: SparkSession, d: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, d: str) -> DataFrame:
     """All documents, scored by classifiers fitted on the rows that are not held out."""
     return toxicity.judge(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op8_substring_dedup", sql=rf"""
+    WITH d AS (
+        SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents
+    ), w AS (
+        SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS word FROM d
+    ), windows AS (
+        SELECT doc_id, i, {" || ' ' || ".join(f"lead(word, {k}) OVER o" for k in range(13))} AS s
+        FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+    ), later AS (
+        SELECT doc_id, i FROM windows WHERE s IS NOT NULL
+        QUALIFY min(doc_id) OVER (PARTITION BY s) < doc_id
+    ), gone AS (
+        SELECT DISTINCT doc_id, i + k AS i FROM later, range(13) AS r(k)
+    ), kept AS (
+        SELECT w.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY w.i) AS t
+        FROM w ANTI JOIN gone ON gone.doc_id = w.doc_id AND gone.i = w.i GROUP BY w.doc_id
+    )
+    SELECT d.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed,
+           sha256(coalesce(t, '')) AS kept_sha256
+    FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+""")
+def op8_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """All documents, with the words that repeat a window of a smaller id taken out."""
+    return substrings.judge(table(spark, d, "documents"))
