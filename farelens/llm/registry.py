@@ -5,11 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from farelens.llm import chat, exact, minhash, packing, quality, substrings, toxicity, urls
+from farelens.llm import (
+    chat, exact, minhash, packing, quality, sentencepieces, substrings, toxicity, urls, warc,
+)
 from farelens.session import tune
 
 # The installed vocabulary files; every executor has the same ones.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -277,3 +280,16 @@ def op2_toxicity(spark: SparkSession, d: str) -> DataFrame:
 def op8_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     """All documents, with the words that repeat a window of a smaller id taken out."""
     return substrings.judge(table(spark, d, "documents"))
+
+
+@query("op5_warc_derivatives")
+def op5_warc_derivatives(spark: SparkSession, d: str) -> DataFrame:
+    """All pages as responses, with a metadata and a conversion record of each."""
+    return warc.derive(warc.responses(table(spark, d, "pages")))
+
+
+@query("op9_sentencepiece")
+def op9_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    """All documents as piece ids."""
+    return sentencepieces.encode(table(spark, d, "documents"),
+                                 sentencepieces.read_model(PIECE_BPE))
