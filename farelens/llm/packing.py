@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from farelens.llm.wordpieces import WordIds
+from farelens.llm.wordpieces import word_ids
 
 
 class Piece(NamedTuple):
@@ -177,7 +177,7 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 2, size: int = 4096,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def windows() -> Iterator[Window]:
-            words, packer = WordIds(tokenizer), Packer(size, most_open)
+            words, packer = word_ids(tokenizer), Packer(size, most_open)
             for b in batches:
                 for at in range(0, b.num_rows, 128):
                     part = b.slice(at, 128)

@@ -2,21 +2,40 @@
 
 For a tokenizer whose units never cross white space, a text's ids are the ids of its words
 one after the other (``tests/llm/test_packing.py`` holds this against the tokenizer itself).
-Texts repeat words, so each task encodes a word once while it remembers it; the memory is
-emptied when it has ``MOST`` words.
+Texts repeat words, so a worker encodes a word once while it remembers it, over all tasks that
+it runs; the memory is emptied when it has ``MOST`` words.
 """
 
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 import numpy as np
 
 MOST = 1 << 20
 
 
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """The worker's own memory for a tokenizer file."""
+    return WordIds(path)
+
+
+def split(text: str | None) -> list[bytes]:
+    """The words of a text, A-Z lowered where the tokenizer lowers them alike.
+
+    With a combining mark (UTF-8 lead bytes CC and CD) a capital may lack the composed form
+    that its small letter has, so such texts are left to the tokenizer.
+    """
+    data = (text or "").encode()
+    if b"\xcc" not in data and b"\xcd" not in data:
+        data = data.lower()
+    return data.split()
+
+
 class WordIds:
-    """Ids below 65,536 of texts, by the tokenizer file at ``path``."""
+    """Ids below 65,536 of texts, by a tokenizer file that lowers its input."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already fill the cores
@@ -25,23 +44,31 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
+        if "abc" not in self.tokenizer.normalizer.normalize_str("ABC"):
+            raise ValueError("the tokenizer does not lower its input")
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) > MOST:
             self.known.clear()
         new = [w for w in words if w not in self.known]
+        # A full stop or comma after a letter is a unit of its own.
+        ended = {w for w in new if w[-1:] in b".," and w[-2:-1].isalpha()}
+        plain = {w[:-1] if w in ended else w for w in new} | {b".", b","}
+        plain = [w for w in plain if w not in self.known]
         found = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in new], add_special_tokens=False)
-        for word, one in zip(new, found):
+            [w.decode() for w in plain], add_special_tokens=False)
+        for word, one in zip(plain, found):
             self.known[word] = np.array(one.ids, "<u2").tobytes()
+        for word in ended:
+            self.known[word] = self.known[word[:-1]] + self.known[word[-1:]]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; a null text has none."""
         out: list[np.ndarray] = []
         for start in range(0, len(texts), 128):
-            split = [(x or "").encode().split() for x in texts[start:start + 128]]
-            self.learn(set().union(*split))
+            block = [split(x) for x in texts[start:start + 128]]
+            self.learn(set().union(*block))
             get = self.known.__getitem__
-            out += [np.frombuffer(b"".join(map(get, words)), "<u2") for words in split]
+            out += [np.frombuffer(b"".join(map(get, words)), "<u2") for words in block]
         return out

@@ -55,7 +55,7 @@ def test_placement_minimises_the_squares(lengths, n):
 def test_ids_are_the_tokenizers(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
     odd = ["", None, "don't  WON'T x　y", "á é <|endoftext|>b", "x\x0b\x0cy 12,34",
-           "Σίσυφος İ", "‍ emoji 👩‍👩‍👧", "re 'll 're'", "long" * 3000]
+           "Σίσυφος İ", "‍ emoji 👩‍👩‍👧", "re 'll 're'", "long" * 3000, "J\u030c T\u0308 A\u030a ABC\u0331", "I\u0307K"]
     texts = [r.text for r in docs[:300]] + odd
     expected = Tokenizer.from_file(PATH).encode_batch(
         [x or "" for x in texts], add_special_tokens=False)
