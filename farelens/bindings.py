@@ -6,11 +6,14 @@ sources, so the extracts run on them unchanged.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from farelens.sources.stored import stored
+
 # Nine continuous routes out of the 25 region pairs.
 ROUTES = [
     ("AFRICA", "AMERICA"), ("AMERICA", "AFRICA"), ("ASIA", "AFRICA"), ("EUROPE", "AFRICA"),
@@ -22,6 +25,24 @@ BASE_YEAR = 1998
 CLIENT_TYPES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 COMPANIES = ["E0", "E1", "E2", "E3"]
 
+# Lead times: a ticket is sold one day earlier for each of these numbers that its hash (0 to
+# 9972) reaches.  Four phases follow each other, each with its share of the tickets, its days
+# and the rate by which its sales fall per day.
+LEAD_PHASES = [(0.36, 4, 0.5), (0.30, 4, 0.5), (0.30, 10, 0.3), (0.04, 22, 0.1)]
+
+
+def _lead_steps() -> list[int]:
+    steps, done = [], 0.0
+    for share, days, rate in LEAD_PHASES:
+        weights = [math.exp(-rate * day) for day in range(days)]
+        for weight in weights:
+            done += share * weight / sum(weights)
+            steps.append(round(done * 9973))
+    return steps[:-1]
+
+
+LEAD_STEPS = _lead_steps()
+
 TABLES = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -56,9 +77,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-@once
 def _star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with part and both ends of the route."""
+    """Line items with part and both ends of the route, joined once and stored."""
+    return stored("star", _joined_star, spark, sf_dir)
+
+
+def _joined_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
     origin = ends.selectExpr("n_nationkey AS s_nationkey", "r_name AS ORIGEN")
@@ -75,8 +99,8 @@ def _star(spark: SparkSession, sf_dir: str) -> DataFrame:
             "*",
             "l_partkey * 10 + l_linenumber AS TRANSACCION",
             "CAST(l_shipdate AS DATE) AS FECHA_CORRIDA",
-            "date_sub(CAST(l_shipdate AS DATE), "
-            "CAST(pmod(l_orderkey * 7 + l_linenumber * 13, 120) AS INT)) AS FECHA_OPERACION",
+            f"date_sub(CAST(l_shipdate AS DATE), size(filter(array({', '.join(map(str, LEAD_STEPS))}), "
+            "t -> t <= pmod(l_orderkey * 15485863 + l_linenumber * 17, 9973)))) AS FECHA_OPERACION",
             "CAST(pmod(l_partkey, 6) AS STRING) AS CV_CORRIDA",
             "lpad(CAST(pmod(l_partkey, 6) * 4 + 1 AS STRING), 2, '0') || ':30:00' AS HORA_PUNTO",
             "floor(l_extendedprice * (1 - l_discount) * (1 + l_tax) / 50 * 100 + 0.5D) / 100 "
@@ -166,9 +190,9 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @once
 def loyalty_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loyalty records of one ticket in three."""
-    return _star(spark, sf_dir).where("pmod(l_orderkey + l_partkey, 3) = 0").selectExpr(
-        "TRANSACCION",
+    """Loyalty records; two in three belong to transactions that nobody sold."""
+    return _star(spark, sf_dir).selectExpr(
+        "IF(pmod(l_orderkey + l_partkey, 3) = 0, TRANSACCION, -TRANSACCION) AS TRANSACCION",
         "FECHA_OPERACION AS `FECHA OPERACION`",
         "FECHA_CORRIDA AS `FECHA SALIDA INICIO`",
         "ORIGEN", "DESTINO",
@@ -202,10 +226,10 @@ def operations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @once
 def complements_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contact complements of operations, present for two in three."""
-    return _star(spark, sf_dir).where("pmod(l_partkey, 3) <> 0").selectExpr(
+    """Contact complements; one in three belongs to an operation that does not exist."""
+    return _star(spark, sf_dir).selectExpr(
         "l_orderkey AS NCLAVEOPERACION",
-        "TRANSACCION AS NCLAVETRANSACCION",
+        "IF(pmod(l_partkey, 3) <> 0, TRANSACCION, -TRANSACCION) AS NCLAVETRANSACCION",
         "CASE WHEN pmod(l_orderkey, 5) <> 0 THEN lower(replace(c_name, '#', '.')) END "
         "AS ACORREOELECTRONICO",
         "CASE WHEN pmod(c_custkey, 2) = 0 THEN CAST(c_custkey AS STRING) END AS AIDMEMBRESIACRM",

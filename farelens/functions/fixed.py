@@ -15,17 +15,18 @@ PASSENGER_DISCOUNT = {
 # Fare uplift percent by customer cluster.
 CLUSTER_UPLIFT = {0: 5, 1: 3, 2: 7, 3: 13, 4: 0}
 
-# Months, hours, weekdays (Monday is 0) and, by bus capacity, seats in high demand.
-GOOD_MONTHS = [1, 3, 4, 5, 7, 8]
-GOOD_HOURS = [1, 8, 10, 12, 14, 22, 23]
-GOOD_WEEKDAYS = [0, 4, 6]
+# Months, hours, weekdays (Monday is 0) and, by bus capacity, seats in high demand, in the
+# order of the rule file.
+GOOD_MONTHS = [4, 8, 1, 3, 7, 5]
+GOOD_HOURS = [23, 22, 1, 12, 8, 14, 10]
+GOOD_WEEKDAYS = [6, 0, 4]
 GOOD_SEATS = {
-    24: [1, 2, 3, 11, 12, 14, 15, 17, 19, 20, 21, 23, 24],
-    27: [2, 3, 5, 6, 8, 9, 11, 12, 14, 15, 17, 18, 20, 23, 26],
-    30: [5, 6, 7, 8, 9, 11, 12, 13, 14, 15, 16, 17, 20, 23, 26, 30],
-    33: [2, 5, 6, 8, 9, 11, 12, 14, 15, 19, 20, 22, 23, 25, 26, 28, 30, 31],
-    35: [2, 3, 4, 5, 6, 8, 9, 10, 11, 12, 13, 14, 15, 19, 20, 22, 23, 26, 30],
-    36: [1, 2, 3, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21],
+    36: [3, 9, 2, 12, 8, 15, 11, 6, 13, 18, 5, 14, 7, 17, 1, 10, 21, 20, 16, 19],
+    35: [3, 9, 2, 6, 5, 12, 8, 11, 15, 23, 14, 20, 22, 19, 13, 30, 10, 26, 4],
+    33: [11, 22, 8, 9, 23, 5, 12, 14, 20, 19, 15, 25, 6, 26, 28, 31, 30, 2],
+    30: [8, 9, 7, 30, 23, 11, 13, 12, 6, 15, 5, 17, 14, 20, 26, 16],
+    27: [11, 8, 14, 15, 12, 9, 5, 3, 2, 18, 17, 6, 26, 20, 23],
+    24: [1, 20, 14, 23, 2, 15, 12, 3, 11, 21, 19, 17, 24],
 }
 
 # Client types the fare model knows, and the two deck classes.

@@ -6,9 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from farelens.operators.joins import join_small
-from farelens.operators.prep import TICKET
-
 
 def classify_day_hour(df: DataFrame, day: str = "NOMBRE_DIA_CORRIDA", hour: str = "HORA_DECIMAL",
                       value: str = "FOP_PROM") -> DataFrame:
@@ -56,9 +53,12 @@ def classify_months(df: DataFrame, pax: str = "PAX_SUBEN", year: str = "ANIO",
     return df.join(month_classes(df, pax, year, month).drop("score"), month, "left")
 
 
-def attach(df: DataFrame, dim: DataFrame, on: Sequence[str], cols: Sequence[str],
-           row_id: Sequence[str] = TICKET) -> DataFrame:
-    """Left join of classes, keys cast to the types of ``df`` (to text where they cannot be)."""
+def attach(df: DataFrame, dim: DataFrame, on: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Left join of classes, keys cast to the types of ``df`` (to text where they cannot be).
+
+    The engine broadcasts the classes where their measured size allows and else splits skewed
+    partitions.
+    """
     types = dict(df.dtypes)
     keys = [F.col(k).try_cast(types[k]).alias(k) for k in on]
-    return join_small(df, dim.select(*keys, *cols), on, "left", row_id)
+    return df.join(dim.select(*keys, *cols), list(on), "left")

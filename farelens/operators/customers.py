@@ -199,7 +199,7 @@ def box_cox_powers(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
 
 
 def choose_transforms(df: DataFrame, cols: Sequence[str], threshold: float = 1.5) -> list[dict]:
-    """The transformation each column gets, with its skewness before and after.
+    """The transformation each column gets, its skewness before and after, and the gain.
 
     Columns at or above ``threshold`` take the candidate of least skewness; columns with
     fewer than two known values are left alone.
@@ -224,8 +224,11 @@ def choose_transforms(df: DataFrame, cols: Sequence[str], threshold: float = 1.5
         if is_skewed(c) and options:
             chosen = min(options, key=lambda m: abs(options[m]))
             skew = options[chosen]
+        before = row["ninguna"]
+        gain = None if before is None else abs(before) - abs(skew)
         plan.append({"columna": c, "metodo": chosen, "potencia": powers.get(c),
-                     "skew_antes": row["ninguna"], "skew_despues": skew})
+                     "skew_antes": before, "skew_despues": skew, "mejora": gain,
+                     "mejora_pct": gain / abs(before) * 100 if before else None})
     return plan
 
 

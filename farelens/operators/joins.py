@@ -6,14 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from farelens.session import materialise
-
-# A key is hot when it owns more than this share of the rows, so at most 200 are.
-HOT_SHARE = 0.005
+# Smallest share of the rows that makes a key hot; bounds the list of hot keys.
+LEAST_SHARE = 1 / 2000
 _SLICE = "__slice"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Column:
+def hot_share(partitions: int) -> float:
+    """A key is hot when it would fill a quarter of an even shuffle partition by itself."""
+    return max(LEAST_SHARE, 1 / (4 * partitions))
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> Column:
     """Hashes of the keys owning more than ``share`` of the rows, as one array value.
 
     A frequent-items sketch finds them in a single pass with partial aggregation; the
@@ -36,7 +39,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Co
 
 def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
                 row_id: Sequence[str], sample: DataFrame | None = None,
-                share: float = HOT_SHARE) -> DataFrame:
+                share: float | None = None) -> DataFrame:
     """Equi-join whose hot left keys are divided over all tasks.
 
     Left rows of a hot key go to slices chosen by a hash of ``row_id`` (the same slice
@@ -44,7 +47,7 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
     stay in slice 0 and are not repeated.  Right rows with an unknown key match nothing
     and are left out; for semi- and anti-joins one right row per key is enough.
     ``sample`` names a cheaper frame with the same keys to look for hot ones, by default
-    ``left`` itself.
+    ``left`` itself; ``share`` is by default ``hot_share`` of the shuffle partitions.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} would repeat or lose right rows")
@@ -53,24 +56,10 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
     if how in ("left_semi", "left_anti"):
         right = right.select(*keys).distinct()
     slices = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(sample if sample is not None else left, keys, share)
+    hot = hot_keys(sample if sample is not None else left, keys, share or hot_share(slices))
     is_hot = F.array_contains(hot, F.xxhash64(*keys))
     by_row = F.pmod(F.xxhash64(*row_id), F.lit(slices)).cast("int")
     spread_left = left.withColumn(_SLICE, F.when(is_hot, by_row).otherwise(F.lit(0)))
     last = F.when(is_hot, F.lit(slices - 1)).otherwise(F.lit(0))
     spread_right = right.withColumn(_SLICE, F.explode(F.sequence(F.lit(0), last)))
     return spread_left.join(spread_right, keys + [_SLICE], how).drop(_SLICE)
-
-
-def join_small(base: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left",
-               row_id: Sequence[str] | None = None, max_rows: int = 200_000) -> DataFrame:
-    """Join with a derived dimension that should be small, after counting it.
-
-    The dimension is computed once and counted.  Up to ``max_rows`` it is broadcast, so
-    the large side is not shuffled; beyond that the join is a shuffle join with hot
-    keys spread.
-    """
-    dim = materialise(dim)
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return base.join(F.broadcast(dim), list(on), how)
-    return spread_join(base, dim, on, how, row_id or base.columns)

@@ -117,10 +117,14 @@ def repair_seats(df: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
 
 
 def combine(sales: DataFrame, trips: DataFrame, loyalty: DataFrame,
-            order: Sequence[str] = ("KMS_ACUM_CORRIDA",)) -> DataFrame:
-    """Sales x trip x loyalty, parsed, labelled and with seats repaired."""
-    legs = collapse_trips(trips, order)
-    joined = join_trips(sales, legs)
+            order: Sequence[str] = ("KMS_ACUM_CORRIDA",),
+            joined: DataFrame | None = None) -> DataFrame:
+    """Sales x trip x loyalty, parsed, labelled and with seats repaired.
+
+    The join of sales and trips is read twice; ``joined`` is that join where it is stored.
+    """
+    if joined is None:
+        joined = join_trips(sales, collapse_trips(trips, order))
     tickets = join_loyalty(joined, loyalty, sales)
     # The loyalty join neither adds nor drops (capacity, seat) pairs, so the limits come
     # from the narrower join below it.

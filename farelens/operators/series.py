@@ -142,7 +142,8 @@ def decay_segments(df: DataFrame, series: Sequence[str] = (), x: str = "DIAS_ANT
     """Greedy segments of exponential decay along ``x``, longest acceptable first.
 
     Adds the segment number, its class and the fitted log value; rows after the last
-    acceptable segment stay without.  ``df`` has one row per series and ``x``.
+    acceptable segment stay without, and so do rows without a positive value, which have no
+    log and are left out of the fits.  ``df`` has one row per series and ``x``.
     """
     keyed = df.where(F.col(x) >= 0)
     out = T.StructType(keyed.schema.fields + [
@@ -152,8 +153,11 @@ def decay_segments(df: DataFrame, series: Sequence[str] = (), x: str = "DIAS_ANT
 
     def label(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(x).reset_index(drop=True)
-        labels, fitted = _decay_labels(
-            pdf[x].to_numpy(float), np.log(pdf[y].to_numpy(float)), max_segments, rmse0, r2_0)
+        values = pdf[y].to_numpy(float, na_value=np.nan)
+        known = np.flatnonzero(values > 0)
+        labels, fitted = np.full(len(pdf), np.nan), np.full(len(pdf), np.nan)
+        labels[known], fitted[known] = _decay_labels(
+            pdf[x].to_numpy(float)[known], np.log(values[known]), max_segments, rmse0, r2_0)
         return pdf.assign(y_pred=fitted,
                           Clasif_venta_anticip_code=pd.array(labels, dtype="Int32"))
 

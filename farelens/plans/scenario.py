@@ -10,13 +10,15 @@ from farelens.functions.columns import safe_div
 from farelens.operators.fares import passenger_discount
 from farelens.operators.prep import TICKET
 
+# A ticket repeats once per assignment of its trip.
+ASSIGNED_TICKET = (*TICKET, "CV_ASIGN")
+
 
 def align_results(fares: DataFrame, clusters: DataFrame,
-                  row_id: Sequence[str] = TICKET) -> DataFrame:
+                  row_id: Sequence[str] = ASSIGNED_TICKET) -> DataFrame:
     """Quoted fare and cluster of the same ticket, matched by its identity.
 
-    ``row_id`` must identify a row on both sides (add the assignment where a ticket
-    repeats over several); rows missing on either side drop out.
+    ``row_id`` must identify a row on both sides; rows missing on either side drop out.
     """
     extra = [c for c in clusters.columns if c in row_id or c not in fares.columns]
     return fares.join(clusters.select(*extra), list(row_id))

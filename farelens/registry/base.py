@@ -6,14 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
 
 from farelens import bindings as B
 from farelens.operators import prep
 from farelens.registry import oracle
-from farelens.session import scratch_path, tune
+from farelens.session import tune
 from farelens.sources import extracts
-from farelens.sources.readers import write_table
+from farelens.sources.stored import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,26 +71,6 @@ def extracted_loyalty(spark: SparkSession, d: str) -> DataFrame:
     return extracts.for_routes(found, B.ROUTES)
 
 
-_STORED: dict[tuple, tuple[str, T.StructType]] = {}
-
-
-def stored(name: str, build: Query, spark: SparkSession, d: str,
-           partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """A base table written once per application to the shared folder and read from there.
-
-    Later filters and column lists reach its parquet scan.  Rebalancing keeps the files
-    of even size, also where one partition value holds most of the rows.
-    """
-    key = (name, spark.sparkContext.applicationId, d)
-    if key not in _STORED:
-        frame = build(spark, d)
-        path = scratch_path(spark, name)
-        write_table(frame.hint("rebalance", *partition_by), path, partition_by=partition_by)
-        _STORED[key] = (path, frame.schema)
-    path, schema = _STORED[key]
-    return spark.read.schema(schema).parquet(path)
-
-
 def sales(spark: SparkSession, d: str) -> DataFrame:
     return stored("sales", extracted_sales, spark, d)
 
@@ -104,8 +83,14 @@ def loyalty(spark: SparkSession, d: str) -> DataFrame:
     return stored("loyalty", extracted_loyalty, spark, d)
 
 
+def _sales_trips(spark: SparkSession, d: str) -> DataFrame:
+    return prep.join_trips(sales(spark, d), prep.collapse_trips(trips(spark, d)))
+
+
 def combined(spark: SparkSession, d: str) -> DataFrame:
-    return prep.combine(sales(spark, d), trips(spark, d), loyalty(spark, d))
+    """The sales x trips join is stored, as the seat limits and the tickets both read it."""
+    joined = stored("sales_trips", _sales_trips, spark, d)
+    return prep.combine(sales(spark, d), trips(spark, d), loyalty(spark, d), joined=joined)
 
 
 def derived(spark: SparkSession, d: str) -> DataFrame:

@@ -10,6 +10,7 @@ from farelens.operators import customers as C, features as X
 from farelens.plans import datasets as S
 from farelens.registry import oracle
 from farelens.registry.base import entry, rounded, tickets
+from farelens.sources.stored import stored
 from farelens.registry.preparation import ID, _ID, _UPLIFTS
 from farelens.session import materialise, scratch_path
 from farelens.sources.readers import load_model, save_model
@@ -64,7 +65,8 @@ SELECT EMAIL, CAST(SBol_Vend % 5 AS INTEGER) AS "Cluster" FROM cust_metrics WHER
 
 
 def train(spark, d):
-    return S.customer_train_set(tickets(spark, d))
+    """The customer training set, stored, as most entries here start from it."""
+    return stored("customer_train", lambda s, x: S.customer_train_set(tickets(s, x)), spark, d)
 
 
 def features(spark, d):
@@ -197,9 +199,9 @@ def m11_candidates(spark, d):
 def m11_choice(spark, d):
     """Transformation chosen for each column, Box-Cox included."""
     metrics = materialise(C.customer_metrics(train(spark, d)))
-    plan = C.choose_transforms(metrics, _SKEWED, threshold=0.5)
+    plan = C.choose_transforms(metrics, _SKEWED)
     schema = ("columna string, metodo string, potencia double, skew_antes double, "
-              "skew_despues double")
+              "skew_despues double, mejora double, mejora_pct double")
     return spark.createDataFrame(plan, schema)
 
 

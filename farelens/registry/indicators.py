@@ -239,10 +239,10 @@ def j03(spark, d):
     seats = classify.classify_seats(kpis.seat_demand(scope(spark, d)))
     text = seats.withColumns({k: F.col(k).cast("string") for k in keys})
     df = tickets(spark, d).select(*ID, "CAPACIDAD_ASIENTOS_TRAMO")
-    return classify.attach(df, text, keys, ["Clasif_asiento"], ID)
+    return classify.attach(df, text, keys, ["Clasif_asiento"])
 
 
-_CLASSED = """
+CLASSED = """
 FROM tickets LEFT JOIN seat_class USING (CAPACIDAD_ASIENTOS_TRAMO, NUM_ASIENTO)
 LEFT JOIN month_class USING (MES)
 LEFT JOIN occ_class USING (NOMBRE_DIA_CORRIDA, HORA_DECIMAL)"""
@@ -250,7 +250,7 @@ LEFT JOIN occ_class USING (NOMBRE_DIA_CORRIDA, HORA_DECIMAL)"""
 
 @entry("j04_attach_all_classes", f"""
 SELECT {_ID}, ANIO, MES, Clasif_asiento, Clasif_mes, Clasif_dia_venta, Clasif_hora_venta
-{_CLASSED}""")
+{CLASSED}""")
 def j04(spark, d):
     """The whole profile on every ticket, but for the lead-time label of ``m24``."""
     df, _ = demand_profile(tickets(spark, d), "ANIO", YEAR, BAND_YEAR)
@@ -258,15 +258,6 @@ def j04(spark, d):
                            "Clasif_dia_venta", "Clasif_hora_venta"), "ANIO", "MES")
 
 
-@entry("m24_demand_profile")
-def m24(spark, d):
-    """Tickets by all demand classes, lead-time class included."""
-    df, _ = demand_profile(tickets(spark, d), "ANIO", YEAR, BAND_YEAR)
-    return df.groupBy("Clasif_venta_anticip", "Clasif_asiento", "Clasif_mes",
-                      "Clasif_dia_venta", "Clasif_hora_venta").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("VENTA"), 2).alias("VENTA"))
-
-
 @entry("o01_mixed_sort", """
 SELECT CAPACIDAD_ASIENTOS_TRAMO, NUM_ASIENTO, BOLETOS_VEND,
   row_number() OVER (ORDER BY NUM_ASIENTO, BOLETOS_VEND DESC, CAPACIDAD_ASIENTOS_TRAMO) AS pos

@@ -8,15 +8,16 @@ from __future__ import annotations
 
 import re
 
-from farelens.bindings import ROUTES, YEAR_FROM
+from farelens.bindings import LEAD_STEPS, ROUTES, YEAR_FROM
 
 _PAIRS = ", ".join(f"'{o}-{d}'" for o, d in ROUTES)
 
-STAR = """
+STAR = f"""
 SELECT l.*, o.*, p.*, s.s_nationkey, c.*, ro.r_name AS ORIGEN, rd.r_name AS DESTINO,
   l_partkey * 10 + l_linenumber AS TRANSACCION,
   CAST(l_shipdate AS DATE) AS FECHA_CORRIDA,
-  CAST(l_shipdate AS DATE) - CAST((l_orderkey * 7 + l_linenumber * 13) % 120 AS INTEGER)
+  CAST(l_shipdate AS DATE) - CAST(len(list_filter({LEAD_STEPS},
+    lambda t: t <= (l_orderkey * 15485863 + l_linenumber * 17) % 9973)) AS INTEGER)
     AS FECHA_OPERACION,
   CAST(l_partkey % 6 AS VARCHAR) AS CV_CORRIDA,
   lpad(CAST((l_partkey % 6) * 4 + 1 AS VARCHAR), 2, '0') || ':30:00' AS HORA_PUNTO,
@@ -89,14 +90,15 @@ WHERE ORIGEN || '-' || DESTINO IN ({_PAIRS}) AND year(FECHA_CORRIDA) >= {YEAR_FR
 """
 
 LOYALTY = f"""
-SELECT TRANSACCION, FECHA_OPERACION, FECHA_CORRIDA, ORIGEN, DESTINO,
+SELECT CASE WHEN (l_orderkey + l_partkey) % 3 = 0 THEN TRANSACCION ELSE -TRANSACCION END
+    AS TRANSACCION, FECHA_OPERACION, FECHA_CORRIDA, ORIGEN, DESTINO,
   CASE WHEN l_partkey % 4 <> 0 THEN 'T' || CAST(l_suppkey % 9 AS VARCHAR) END AS TARJETA,
   CASE WHEN l_partkey % 4 = 0 THEN VENTA_BRUTA END AS EFECTIVO,
   CASE WHEN l_orderkey % 5 <> 0 AND c_custkey % 7 <> 0 THEN
     CASE WHEN l_orderkey % 4 = 0 THEN 'alt.' ELSE '' END ||
     lower(replace(c_name, '#', '.')) || '@correo.com' END AS EMAIL
 FROM star
-WHERE (l_orderkey + l_partkey) % 3 = 0 AND ORIGEN || '-' || DESTINO IN ({_PAIRS})
+WHERE ORIGEN || '-' || DESTINO IN ({_PAIRS})
   AND year(FECHA_OPERACION) >= {YEAR_FROM}
 """
 

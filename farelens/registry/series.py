@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from farelens.operators import kpis, series as S
 from farelens.registry import oracle
-from farelens.registry.base import entry, rounded
-from farelens.registry.indicators import scope
+from farelens.plans.demand import demand_profile
+from farelens.registry.base import entry, rounded, tickets
+from farelens.registry.indicators import BAND_YEAR, CLASSED, YEAR, scope
 
 oracle.define("curves", """
 SELECT ORIGEN_DESTINO, DIAS_ANTICIPACION, CAST(sum(BOLETOS_VEND) AS BIGINT) AS BOLETOS_VEND
@@ -32,10 +33,12 @@ def w06(spark, d):
                                "BOLETOS_VEND"), "BOLETOS_VEND_SMOOTH")
 
 
-@entry("w07_log_smoother", """
-SELECT ORIGEN_DESTINO, DIAS_ANTICIPACION, BOLETOS_VEND, round(CASE
+def _smoothed(table: str) -> str:
+    """SQL of the log smoother for each series of a table."""
+    return f"""
+SELECT ORIGEN_DESTINO, DIAS_ANTICIPACION, BOLETOS_VEND, CASE
   WHEN DIAS_ANTICIPACION < 15 OR n < 3 THEN BOLETOS_VEND
-  WHEN i = n THEN exp((f[i] + (f[i - 1] + f[i - 2]) / 2) / 2) ELSE exp(f[i]) END, 6)
+  WHEN i = n THEN exp((f[i] + (f[i - 1] + f[i - 2]) / 2) / 2) ELSE exp(f[i]) END
   AS BOLETOS_VEND_SMOOTH
 FROM (
   SELECT ORIGEN_DESTINO, n, xs, vs, unnest(range(1, n + 1)) AS i, xs[i] AS DIAS_ANTICIPACION,
@@ -50,17 +53,88 @@ FROM (
       ELSE list_dot_product(y[k-3:k+3], [-2,3,6,7,6,3,-2]::DOUBLE[]) / 21 END) AS f
   FROM (SELECT ORIGEN_DESTINO, count(*) AS n, list(DIAS_ANTICIPACION ORDER BY DIAS_ANTICIPACION) AS xs,
       list(BOLETOS_VEND ORDER BY DIAS_ANTICIPACION) AS vs,
-      list(ln(BOLETOS_VEND) ORDER BY DIAS_ANTICIPACION) AS y FROM curves GROUP BY 1))""")
+      list(ln(BOLETOS_VEND) ORDER BY DIAS_ANTICIPACION) AS y FROM {table} GROUP BY 1))"""
+
+
+def _segments(table: str) -> str:
+    """SQL of the greedy segments: every start and end is fitted from running sums, the
+    farthest acceptable end is kept for each start, and a recursion follows them."""
+    return f"""
+WITH RECURSIVE pts AS (
+  SELECT ORIGEN_DESTINO AS r, DIAS_ANTICIPACION AS x, ln(BOLETOS_VEND_SMOOTH) AS y,
+    row_number() OVER (PARTITION BY ORIGEN_DESTINO ORDER BY DIAS_ANTICIPACION) AS i,
+    count(*) OVER (PARTITION BY ORIGEN_DESTINO) AS n
+  FROM {table} WHERE BOLETOS_VEND_SMOOTH > 0
+), sums AS (
+  SELECT a.r, a.i AS s, b.i AS e, a.x AS x0, a.y AS y0, b.i - a.i + 1 AS k,
+    sum(b.x - a.x) OVER w AS sx, sum(b.y - a.y) OVER w AS sy, sum((b.x - a.x) ** 2) OVER w AS sxx,
+    sum((b.x - a.x) * (b.y - a.y)) OVER w AS sxy, sum((b.y - a.y) ** 2) OVER w AS syy
+  FROM pts a JOIN pts b ON a.r = b.r AND b.i >= a.i
+  WINDOW w AS (PARTITION BY a.r, a.i ORDER BY b.i)
+), spread AS (
+  SELECT r, s, e, k, x0 + sx / k AS mx, y0 + sy / k AS my, sxx - sx * sx / k AS vxx,
+    sxy - sx * sy / k AS vxy, greatest(syy - sy * sy / k, 0) AS vyy FROM sums
+), fits AS (
+  SELECT *, CASE WHEN vxx > 0 THEN vxy / vxx ELSE 0 END AS slope,
+    greatest(vyy - CASE WHEN vxx > 0 THEN vxy * vxy / vxx ELSE 0 END, 0) AS rest FROM spread
+), rated AS (
+  SELECT *, sqrt(rest / k) / my * 100 AS rmse,
+    CASE WHEN vyy > 1e-12 THEN 1 - rest / vyy WHEN rest <= 1e-12 THEN 1 ELSE 0 END AS r2 FROM fits
+), ends AS (
+  SELECT r, s, seg, max(e) AS e FROM rated, (VALUES (1), (2), (3)) g(seg)
+  WHERE k >= CASE WHEN seg <= 2 THEN 3 ELSE 7 END
+    AND rmse <= 1.25 + (seg - 1) * CASE WHEN seg < 3 THEN 0.25 ELSE 1 END
+    AND r2 >= 0.9875 - (seg - 1) * CASE WHEN seg < 3 THEN 0.025 ELSE 0.1 END
+  GROUP BY r, s, seg UNION ALL SELECT r, i, 4, n FROM pts
+), greedy AS (
+  SELECT r, s, e, seg FROM ends WHERE seg = 1 AND s = 1
+  UNION ALL SELECT n.r, n.s, n.e, n.seg FROM greedy g
+  JOIN ends n ON n.r = g.r AND n.s = g.e + 1 AND n.seg = g.seg + 1
+)
+SELECT r AS ORIGEN_DESTINO, x AS DIAS_ANTICIPACION, seg AS Clasif_venta_anticip_code,
+  my + slope * (x - mx) AS y_pred,
+  (['Muy Alto', 'Alto', 'Media', 'Bajo'])[seg] AS Clasif_venta_anticip
+FROM greedy JOIN fits USING (r, s, e) JOIN pts USING (r) WHERE i BETWEEN s AND e"""
+
+
+oracle.define("smoothed", _smoothed("curves"))
+oracle.define("segments", _segments("smoothed"))
+oracle.define("whole_curve", """
+SELECT '' AS ORIGEN_DESTINO, DIAS_ANTICIPACION, CAST(sum(BOLETOS_VEND) AS BIGINT) AS BOLETOS_VEND
+FROM kpi WHERE DIAS_ANTICIPACION >= 0 GROUP BY 2 HAVING sum(BOLETOS_VEND) > 0""")
+oracle.define("whole_smooth", _smoothed("whole_curve"))
+oracle.define("lead_class", _segments("whole_smooth"))
+
+
+@entry("w07_log_smoother", """
+SELECT * REPLACE (round(BOLETOS_VEND_SMOOTH, 6) AS BOLETOS_VEND_SMOOTH) FROM smoothed""")
 def w07(spark, d):
     return rounded(S.smooth_log(curves(spark, d), ["ORIGEN_DESTINO"]), "BOLETOS_VEND_SMOOTH")
 
 
-@entry("w08_decay_segments")
+@entry("w08_decay_segments", """
+SELECT ORIGEN_DESTINO, DIAS_ANTICIPACION, BOLETOS_VEND,
+  round(BOLETOS_VEND_SMOOTH, 6) AS BOLETOS_VEND_SMOOTH, round(y_pred, 6) AS y_pred,
+  Clasif_venta_anticip_code, Clasif_venta_anticip
+FROM smoothed LEFT JOIN segments USING (ORIGEN_DESTINO, DIAS_ANTICIPACION)""")
 def w08(spark, d):
     """Greedy decay segments of the advance-sale curve of every route."""
     smooth = S.smooth_log(curves(spark, d), ["ORIGEN_DESTINO"])
-    return rounded(S.decay_segments(smooth, ["ORIGEN_DESTINO"], max_segments=4,
-                                    rmse0=12.0, r2_0=0.2), "BOLETOS_VEND_SMOOTH", "y_pred")
+    return rounded(S.decay_segments(smooth, ["ORIGEN_DESTINO"], max_segments=4),
+                   "BOLETOS_VEND_SMOOTH", "y_pred")
+
+
+@entry("m24_demand_profile", f"""
+SELECT Clasif_venta_anticip, Clasif_asiento, Clasif_mes, Clasif_dia_venta, Clasif_hora_venta,
+  count(*) AS n, round(sum(VENTA), 2) AS VENTA
+{CLASSED}
+LEFT JOIN lead_class USING (DIAS_ANTICIPACION) GROUP BY ALL""")
+def m24(spark, d):
+    """Tickets by all demand classes, lead-time class included."""
+    df, _ = demand_profile(tickets(spark, d), "ANIO", YEAR, BAND_YEAR)
+    return df.groupBy("Clasif_venta_anticip", "Clasif_asiento", "Clasif_mes",
+                      "Clasif_dia_venta", "Clasif_hora_venta").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("VENTA"), 2).alias("VENTA"))
 
 
 @entry("w09_change_points")

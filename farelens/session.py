@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,9 @@ SETTINGS = {
     # Split a skewed join partition even when a later aggregate has to shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Batches for Python tasks stay small also where rows are whole texts.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 
@@ -40,12 +45,34 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply ``SETTINGS`` to a session somebody else built."""
+    """Apply ``SETTINGS`` to a session somebody else built, and ship the package to it."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's sources to the Python workers, once per application.
+
+    Functions of Python tasks are pickled by module name, so workers need the modules also
+    where the package is not installed on every machine.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="farelens-")) / "farelens.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(path))
+    _SHIPPED.add(application)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and scratch tables, readable by every executor.
 

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from farelens.operators.joins import hot_keys, join_small, spread_join
+from farelens.operators.joins import hot_keys, hot_share, spread_join
+from farelens.session import shared_dir
 
 
 @pytest.fixture
@@ -22,7 +23,7 @@ def right(spark):
 
 
 def test_hot_key_is_found(spark, skewed):
-    found = skewed.select(hot_keys(skewed, ["k"]).alias("h")).first()["h"]
+    found = skewed.select(hot_keys(skewed, ["k"], 0.005).alias("h")).first()["h"]
     hot = spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]
     assert hot in found and len(found) <= 200
 
@@ -51,13 +52,24 @@ def test_right_and_full_joins_are_refused(skewed, right):
         spread_join(skewed, right, ["k"], "full", ["id"])
 
 
-def test_small_and_large_dimension_agree(skewed, right):
-    dim = right.where("k IS NOT NULL").dropDuplicates(["k"])
-    small = join_small(skewed, dim, ["k"], row_id=["id"])
-    large = join_small(skewed, dim, ["k"], row_id=["id"], max_rows=10)
-    hinted = lambda df: "strategy=broadcast" in (
-        df._jdf.queryExecution().optimizedPlan().toString())
-    assert hinted(small) and not hinted(large)
-    # dropDuplicates may keep either 'hot' row, so compare the keys and the matches.
-    pick = lambda df: sorted((r["id"], r["k"] or "", r["v"] is None) for r in df.collect())
-    assert pick(small) == pick(large)
+def test_hot_share_follows_the_partitions():
+    assert hot_share(4) == 1 / 16 and hot_share(10 ** 6) == 1 / 2000
+
+
+def test_shared_folder_is_needed_on_a_cluster(monkeypatch):
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session())

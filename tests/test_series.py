@@ -136,3 +136,12 @@ def test_mixture_separates_planted_levels(spark):
     got = S.mixture_labels(curve(spark, y), "BOLETOS_VEND")
     labels = ordered(got, "Segmento_GMM")
     assert len({tuple(set(labels[i:i + 60])) for i in (0, 60, 120)}) == 3
+
+
+def test_a_day_without_sales_leaves_the_other_labels(spark):
+    rows = [(i, 1000 * float(np.exp(-i / 9))) for i in range(40)]
+    rows[25] = (25, 0.0)
+    df = spark.createDataFrame(rows, "DIAS_ANTICIPACION int, v double")
+    found = {r["DIAS_ANTICIPACION"]: r["Clasif_venta_anticip_code"]
+             for r in S.decay_segments(df, y="v").collect()}
+    assert found.pop(25) is None and set(found.values()) == {1}
