@@ -83,14 +83,18 @@ def loyalty(spark: SparkSession, d: str) -> DataFrame:
     return stored("loyalty", extracted_loyalty, spark, d)
 
 
-def _sales_trips(spark: SparkSession, d: str) -> DataFrame:
+def _joined_trips(spark: SparkSession, d: str) -> DataFrame:
     return prep.join_trips(sales(spark, d), prep.collapse_trips(trips(spark, d)))
 
 
+def sales_trips(spark: SparkSession, d: str) -> DataFrame:
+    """Sales with their collapsed trips; stored, as seat limits and tickets both read it."""
+    return stored("sales_trips", _joined_trips, spark, d)
+
+
 def combined(spark: SparkSession, d: str) -> DataFrame:
-    """The sales x trips join is stored, as the seat limits and the tickets both read it."""
-    joined = stored("sales_trips", _sales_trips, spark, d)
-    return prep.combine(sales(spark, d), trips(spark, d), loyalty(spark, d), joined=joined)
+    return prep.combine(sales(spark, d), trips(spark, d), loyalty(spark, d),
+                        joined=sales_trips(spark, d))
 
 
 def derived(spark: SparkSession, d: str) -> DataFrame:

@@ -10,7 +10,7 @@ from farelens import schemas
 from farelens.functions.fixed import GOOD_HOURS, GOOD_MONTHS, GOOD_SEATS, GOOD_WEEKDAYS
 from farelens.registry.base import (
     entry, extracted_loyalty, extracted_sales, extracted_trips, loyalty, rounded, sales, settled,
-    trips,
+    sales_trips, trips,
 )
 from farelens.session import scratch_path
 from farelens.sources import extracts, projections as P, readers
@@ -76,9 +76,7 @@ _SEAT_ROWS = ", ".join(
 
 @entry("s06_rule_file", f"""
 SELECT CAPACIDAD_ASIENTOS_TRAMO, NUM_ASIENTO, count(*) AS BOLETOS
-FROM (SELECT s.NUM_ASIENTO, t.CAPACIDAD_ASIENTOS_TRAMO FROM sales s JOIN trips t
-      USING (CV_CORRIDA, FECHA_CORRIDA, HORA_SALIDA_CORRIDA, ORIGEN, DESTINO))
-JOIN (VALUES {_SEAT_ROWS}) g(CAPACIDAD_ASIENTOS_TRAMO, NUM_ASIENTO)
+FROM sales_legs JOIN (VALUES {_SEAT_ROWS}) g(CAPACIDAD_ASIENTOS_TRAMO, NUM_ASIENTO)
   USING (CAPACIDAD_ASIENTOS_TRAMO, NUM_ASIENTO)
 GROUP BY ALL""")
 def s06(spark, d):
@@ -88,9 +86,7 @@ def s06(spark, d):
         GOOD_MONTHS, GOOD_HOURS, GOOD_WEEKDAYS,
         {str(cap): seats for cap, seats in GOOD_SEATS.items()})], schemas.RULES)
     readers.write_table(rules, path, "json")
-    keys = ["CV_CORRIDA", "FECHA_CORRIDA", "HORA_SALIDA_CORRIDA", "ORIGEN", "DESTINO"]
-    seats = sales(spark, d).join(trips(spark, d), keys).select(
-        "CAPACIDAD_ASIENTOS_TRAMO", "NUM_ASIENTO")
+    seats = sales_trips(spark, d).select("CAPACIDAD_ASIENTOS_TRAMO", "NUM_ASIENTO")
     good = readers.seat_rules(readers.read_rules(spark, path))
     return seats.join(good, ["CAPACIDAD_ASIENTOS_TRAMO", "NUM_ASIENTO"]).groupBy(
         "CAPACIDAD_ASIENTOS_TRAMO", "NUM_ASIENTO").agg(F.count(F.lit(1)).alias("BOLETOS"))
