@@ -35,7 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
             "u", F.least("best", rank("u"))["node"].alias("into")), "choice")
         chosen.append(choice)
         ends = choice.select(F.col("u").alias("v"), F.col("into").alias("v_into"))
-        half = store(graph.join(choice, "u").select("v", F.col("into").alias("u")), "half")
+        half = graph.join(choice, "u").select("v", F.col("into").alias("u"))
         graph = distinct(half.join(ends, "v").select("u", F.col("v_into").alias("v")))
     if not chosen:
         return edges.select(F.col("u").alias("node"), F.col("u").alias("component")).limit(0)
@@ -44,6 +44,6 @@ def components(edges: DataFrame) -> DataFrame:
         later = found.select(F.col("u").alias("into"), F.col("into").alias("root"))
         found = choice.join(later, "into", "left").select(
             "u", F.coalesce("root", "into").alias("into"))
-        found = store(found, "roots")
+    found = store(found, "roots") if chosen else found
     smallest = found.groupBy("into").agg(F.min("u").alias("component"))
     return found.join(smallest, "into").select(F.col("u").alias("node"), "component")

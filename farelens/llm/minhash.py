@@ -6,13 +6,15 @@ over the scattered places.  ``BANDS`` bands of ``ROWS`` coordinates make the buc
 documents with a similarity of 0.75 share none with a probability of
 ``(1 - 0.75 ** ROWS) ** BANDS``, 2e-6 for 48 bands of 5, and less when more alike.
 
-Documents with equal sets are represented by the smallest id.  Within a bucket not all pairs are compared: first
-each member with the bucket's smallest id.  Buckets whose members are now in one component
-are done; that settles groups of near copies in one step, whatever their size.  In the others
-eight times as many pivots as before meet the members of other components, until every pair of
-members from different components has been compared.  No bucket is capped.  A pair whose sizes
-or whose 240 signature bits rule out the similarity (more than 60 differ: beyond six standard
-deviations) is dropped before its sets are compared in full.
+Documents with equal sets are represented by the smallest id.  Within a bucket not all pairs
+are compared.  First each member meets the bucket's smallest id.  Buckets whose members are now
+in one component are done; that settles groups of near copies in one step, whatever their size.
+The members of the others meet over their rarest shingles: of two sets so similar one of the
+first quarter, rarest first, must be common, and what no other component has cannot be.  That
+loses no link, and documents that share a passage, or are less alike than asked for, have too
+many shingles of their own to meet by the thousand.  No bucket is capped.  A pair whose sizes or whose 240 signature
+bits rule out the similarity (more than 60 differ: beyond six standard deviations) is dropped
+before its sets are compared in full.
 
 Words are runs of other than ASCII white space, A-Z lowered; a document's set has its distinct
 ``SHINGLE``-word shingles, or all its words as one if it has fewer, as 64-bit hashes.
@@ -189,6 +191,41 @@ def similar(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
 
 
+def prefixes(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``shingle, node, component, n, most``: the rarest shingles of the sets of ``nodes``.
+
+    Ordered by how many of the nodes have them, two sets with so similar contents share one
+    of their first ``n - ceil(n * percent / 100) + 1`` shingles.  ``most`` of a set's ``n``
+    shingles occur in other components at all, so no more can be common.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, component, shingles in zip(*batch.columns):
+                values = np.frombuffer(shingles.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(values), x.as_py())) for x in (node, component)]
+                    + [pa.array(np.full(len(values), len(values))), pa.array(values)],
+                    names=["node", "component", "n", "shingle"])
+
+    each = sets.join(nodes, "node").select("node", "component", "shingles").mapInArrow(
+        run, "node long, component long, n long, shingle long")
+    each = store(each, "shingles")
+    # Others of the same component need no meeting, so a shingle must have two components.
+    counted = each.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("f"), F.min("component").alias("low"),
+        F.max("component").alias("high"))
+    rest = each.join(counted, "shingle").withColumn("alone", F.col("low") == F.col("high"))
+    first = rest.groupBy("node", "component", "n").agg(F.sort_array(F.collect_list(
+        F.struct("f", "shingle", "alone"))).alias("s"))
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    most = F.size(F.filter("s", lambda x: ~x["alone"])).cast("long")
+    return first.select("node", "component", "n", most.alias("most"),
+                        F.explode(F.slice("s", F.lit(1), length.cast("int"))).alias("s")
+                        ).where("NOT s.alone").where(
+        F.col("most") * 100 >= F.col("n") * percent).select(
+        F.col("s.shingle").alias("shingle"), "node", "component", "n", "most")
+
+
 def links(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
     """Edges ``u, v`` between ids whose components are the near-duplicate groups, and the
     sketched rows.
@@ -232,33 +269,24 @@ def links(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
     tested = store(entries.where("node <> pivot").select(
         *ordered("pivot", "node")).distinct(), "tested")
     found = store(verified(tested), "links")
-    entries = entries.where("members > 2").drop("pivot")
-    pivots, settled = 8, 2
-    while True:
-        label = components(found)
-        entries = store(entries.join(label, "node", "left").select(
-            "hash", "node", "members", F.coalesce("component", "node").alias("component")),
-            "labelled")
-        mixed_buckets = entries.groupBy("hash").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        ).where("low <> high").select("hash")
-        # In buckets of ``settled`` members everybody has been a pivot.
-        entries = store(entries.where(F.col("members") > settled).join(
-            store(mixed_buckets, "mixed"), "hash"), "open")
-        if entries.isEmpty():
-            break
-        # About ``pivots`` members, drawn by a hash; all of them where there are no more.
-        draw = F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(1 << 30)) * F.col("members")
-        chosen = store(entries.where(
-            (draw < pivots << 30) | (F.col("members") <= pivots)).select(
-            "hash", F.col("node").alias("pivot"), F.col("component").alias("other")), "pivots")
-        pairs = entries.join(chosen, "hash").where("component <> other").select(
-            *ordered("pivot", "node")).distinct()
-        pairs = store(pairs.join(tested, ["u", "v"], "left_anti"), "further")
-        tested = tested.unionByName(pairs)
-        found = store(found.unionByName(verified(pairs)), "links")
-        entries = entries.drop("component")
-        pivots, settled = pivots * 8, pivots
+    # Buckets that hold several components still: their members are compared by prefixes.
+    entries = entries.where("members > 2").join(components(found), "node", "left").select(
+        "hash", "node", F.coalesce("component", "node").alias("component"))
+    entries = store(entries, "labelled")
+    mixed_buckets = entries.groupBy("hash").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    ).where("low <> high").select("hash")
+    undecided = entries.join(mixed_buckets, "hash").select("node", "component").distinct()
+    marks = store(prefixes(sets, store(undecided, "open"), percent), "prefixes")
+    others = marks.select("shingle", F.col("node").alias("other"),
+                          F.col("component").alias("its"), F.col("n").alias("m"),
+                          F.col("most").alias("its_most"))
+    common = F.least("most", "its_most")
+    pairs = marks.join(others, "shingle").where("node < other AND component <> its").where(
+        100 * common >= percent * (F.col("n") + F.col("m") - common)).select(
+        F.col("node").alias("u"), F.col("other").alias("v")).distinct()
+    pairs = store(pairs.join(tested, ["u", "v"], "left_anti"), "further")
+    found = store(found.unionByName(verified(pairs)), "links")
     copies = sketched.join(classes.select("set_id", "node"), "set_id").where("doc_id <> node")
     return found.unionByName(copies.select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
                              ), sketched
