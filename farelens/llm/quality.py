@@ -6,8 +6,11 @@ Words are runs of other than ASCII white space.  A line fails when it is
 * shouting: at least two words, and half of all, end in two marks ``!`` or ``?``;
 * navigation: fewer than four words and no closing punctuation;
 * unpunctuated: four words or more and no mark ``.,;:!?`` anywhere;
-* boilerplate: it has one of ``PHRASES``, or it equals an earlier line, or it has ten words
-  or more of which at most a third are different.
+* boilerplate: ``PHRASES`` make up a fifth of its words or more, or it equals an earlier line;
+* repetition: it has ten words or more of which at most a third are different; if it has over
+  ``STRETCH`` words, where any prose has so few, also half of its words or more must be in
+  stretches of at most ``STRETCH`` words of which at most a third are different, or over half
+  in 13-word windows found twice or more.
 
 A document is rejected when failing lines hold more than ``most_lost`` percent of its words,
 or when it fails the base rules: fewer than ``least_words`` words, or more than
@@ -38,6 +41,7 @@ CLOSING = (".", "!", "?", ":", ";", '"', "'", ")", "…", "”", "»", "。")
 PHRASES = ("all rights reserved", "licensed under", "released under the", "is licensed under",
            "cookie policy", "privacy policy", "terms of use", "terms of service",
            "enable javascript", "lorem ipsum", "click here", "subscribe to our")
+STRETCH = 200
 _CLOSING = tuple(x.encode() for x in CLOSING)
 _PHRASES = re.compile("|".join(map(re.escape, PHRASES)).encode())
 
@@ -76,6 +80,29 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
+def repeats_itself(words: list[bytes]) -> bool:
+    """Whether a line repeats itself, by measures that do not fall with its length."""
+    n = len(words)
+    if n < 10 or len(set(words)) * 3 > n:
+        return False
+    if n <= STRETCH:
+        return True
+    parts = -(-n // STRETCH)
+    ends = [n * i // parts for i in range(parts + 1)]
+    poor = sum(b - a for a, b in zip(ends, ends[1:]) if len(set(words[a:b])) * 3 <= b - a)
+    if 2 * poor >= n:
+        return True
+    ids: dict[bytes, int] = {}
+    w = np.fromiter((ids.setdefault(x, len(ids)) for x in words), np.int64, n)
+    for step in (1, 2, 4, 5):  # numbers of windows of 2, 4, 8, 13 words
+        w = np.unique(w[:-step] * (int(w.max()) + 1) + w[step:], return_inverse=True)[1]
+    twice = np.flatnonzero(np.bincount(w)[w] > 1)
+    covered = np.zeros(n, bool)
+    for shift in range(13):
+        covered[twice + shift] = True
+    return 2 * int(covered.sum()) > n
+
+
 def line_fails(line: bytes, words: list[bytes]) -> bool:
     """Whether a line with words fails a rule that needs nothing but the line."""
     n = len(words)
@@ -90,9 +117,9 @@ def line_fails(line: bytes, words: list[bytes]) -> bool:
         return True
     if n >= 4 and not MARKS.search(line):
         return True
-    if n >= 10 and len(set(words)) * 3 <= n:
+    if repeats_itself(words):
         return True
-    return _PHRASES.search(line.lower()) is not None
+    return 5 * sum(len(x.split()) for x in _PHRASES.findall(line.lower())) >= n
 
 
 def judge_text(text: str | None, least_words: int = 50, most_repeated: int = 50,

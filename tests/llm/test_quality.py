@@ -1,5 +1,6 @@
 """Line rules and measures against plain recounts."""
 
+import random
 import re
 from collections import Counter
 
@@ -34,6 +35,21 @@ def test_lines():
     assert fails("All Rights RESERVED by us.") and fails("spam " * 9 + "spam.")
 
 
+def test_rules_do_not_depend_on_the_length_of_a_line():
+    rng = random.Random(3)
+    prose = [f"w{rng.randrange(4000)}" for _ in range(20_000)]
+    prose[9::10] = [x + "." for x in prose[9::10]]
+    found = quality.judge_text(" ".join(prose))
+    assert len(set(prose)) * 3 <= len(prose)
+    assert found.kept and not found.base_failed and found.n_lost_words == 0
+    once = " ".join(prose[:300]) + " See the privacy policy and the terms of use there."
+    assert quality.judge_text(once).n_lost_words == 0
+    assert quality.judge_text("By using it you accept our terms of use.").n_lost_words == 9
+    fails = lambda x: quality.line_fails(" ".join(x).encode(), " ".join(x).encode().split())
+    assert fails(["spam,", "ham"] * 10_000) and fails(prose[:500] * 40)
+    assert fails(prose[:9000] + ["spam,", "ham"] * 5000)
+
+
 def test_documents(spark):
     clean = "\n".join(" ".join(f"w{i}{j}é" for j in range(11)) + "." for i in range(6))
     junk = "\n".join(" | ".join(f"w{i}{j}" for j in range(9)) for i in range(9))
