@@ -26,10 +26,11 @@ def split(text: str | None) -> list[bytes]:
     """The words of a text, A-Z lowered where the tokenizer lowers them alike.
 
     With a combining mark (UTF-8 lead bytes CC and CD) a capital may lack the composed form
-    that its small letter has, so such texts are left to the tokenizer.
+    that its small letter has, and added tokens (they start with ``<|``) are found in the text
+    as it is, so texts with either are left to the tokenizer.
     """
     data = (text or "").encode()
-    if b"\xcc" not in data and b"\xcd" not in data:
+    if b"\xcc" not in data and b"\xcd" not in data and b"<|" not in data:
         data = data.lower()
     return data.split()
 

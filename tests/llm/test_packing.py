@@ -63,6 +63,13 @@ def test_ids_are_the_tokenizers(spark):
     assert [x.tolist() for x in found] == [e.ids for e in expected]
 
 
+def test_added_tokens_in_other_spellings():
+    texts = ["A <|ENDOFTEXT|> b", "A <|endoftext|> B", "<|StartOfText|>ABC <|startoftext|>Abc",
+             "ABC <| ENDOFTEXT|>. <|EndOfText|>."]
+    expected = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
+    assert [x.tolist() for x in WordIds(PATH).encode(texts)] == [e.ids for e in expected]
+
+
 def test_pieces(spark):
     rows = [(1, "a few words", 0), (2, None, 1), (None, "", 2), (3, "word " * 9000, 3),
             (4, "same", 4), (4, "same", 4)]
