@@ -192,7 +192,8 @@ def similar(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def prefixes(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``shingle, node, component, n, most``: the rarest shingles of the sets of ``nodes``.
+    """``shingle, node, component, n, most``: the rarest shingles of the sets of ``nodes``, each
+    set of a node by itself.
 
     Ordered by how many of the nodes have them, two sets with so similar contents share one
     of their first ``n - ceil(n * percent / 100) + 1`` shingles.  ``most`` of a set's ``n``
@@ -200,22 +201,24 @@ def prefixes(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, component, shingles in zip(*batch.columns):
+            for node, component, part, shingles in zip(*batch.columns):
                 values = np.frombuffer(shingles.as_buffer(), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(values), x.as_py())) for x in (node, component)]
+                    [pa.array(np.full(len(values), x.as_py())) for x in (node, component, part)]
                     + [pa.array(np.full(len(values), len(values))), pa.array(values)],
-                    names=["node", "component", "n", "shingle"])
+                    names=["node", "component", "part", "n", "shingle"])
 
-    each = sets.join(nodes, "node").select("node", "component", "shingles").mapInArrow(
-        run, "node long, component long, n long, shingle long")
+    # Of a fingerprint a number is enough to tell the few sets of a node apart.
+    each = sets.join(nodes, "node").select(
+        "node", "component", F.xxhash64("set_id").alias("part"), "shingles").mapInArrow(
+        run, "node long, component long, part long, n long, shingle long")
     each = store(each, "shingles")
     # Others of the same component need no meeting, so a shingle must have two components.
     counted = each.groupBy("shingle").agg(
         F.count(F.lit(1)).alias("f"), F.min("component").alias("low"),
         F.max("component").alias("high"))
     rest = each.join(counted, "shingle").withColumn("alone", F.col("low") == F.col("high"))
-    first = rest.groupBy("node", "component", "n").agg(F.sort_array(F.collect_list(
+    first = rest.groupBy("node", "component", "part", "n").agg(F.sort_array(F.collect_list(
         F.struct("f", "shingle", "alone"))).alias("s"))
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     most = F.size(F.filter("s", lambda x: ~x["alone"])).cast("long")
@@ -247,7 +250,7 @@ def links(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
     facts = classes.select("node", "n", "bits")
     wanted = store(entries.select(F.xxhash64("node").alias("h")).distinct(), "wanted")
     near, hit = sift(docs, F.xxhash64("doc_id"), wanted)
-    sets = store(full_sets(near.where(hit).select("doc_id", "text")).drop("set_id"), "sets")
+    sets = store(full_sets(near.where(hit).select("doc_id", "text")), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The links among the pairs ``u, v``."""

@@ -100,3 +100,16 @@ def test_groups(spark):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(
         str(i) for i, *_ in rows if i is None or expected[i] == i)
     assert minhash.judge(docs.limit(0)).count() == 0
+
+
+def test_prefixes_of_a_repeated_id(spark):
+    """Two equally large sets of one id keep a quarter each, not one quarter of both."""
+    one, two = [np.arange(a, a + 40, dtype=np.int64) for a in (0, 100)]
+    rows = [(1, b"a", one), (1, b"b", two), (2, b"a", one), (3, b"b", two)]
+    sets = spark.createDataFrame([(n, k, bytearray(s.tobytes())) for n, k, s in rows],
+                                 "node long, set_id binary, shingles binary")
+    nodes = spark.createDataFrame([(i, i) for i in (1, 2, 3)], "node long, component long")
+    found = minhash.prefixes(sets, nodes, 75).collect()
+    marks = {i: {r.shingle for r in found if r.node == i} for i in (1, 2, 3)}
+    assert len(marks[2]) == len(marks[3]) == 11 and marks[1] == marks[2] | marks[3]
+    assert {r.most for r in found} == {40}
