@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farelens.llm import (
-    chat, exact, minhash, packing, quality, sentencepieces, substrings, toxicity, urls, warc,
+    chat, exact, infill, minhash, packing, quality, sentencepieces, substrings, toxicity, urls,
+    warc,
 )
 from farelens.session import tune
 
@@ -293,3 +294,43 @@ def op9_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     """All documents as piece ids."""
     return sentencepieces.encode(table(spark, d, "documents"),
                                  sentencepieces.read_model(PIECE_BPE))
+
+
+@query("op13_fill_in_middle", sql="""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS l,
+               sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+    ), drawn AS (
+        SELECT *, len(l) - CASE WHEN l[-1] = '' THEN 1 ELSE 0 END AS n,
+               CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1,
+               CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+               CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d
+    ), cut AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                         OR contains(text, '<M>') THEN 'plain'
+                    WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+    ), measured AS (
+        SELECT *, CASE WHEN a = 0 THEN 0 WHEN a = n THEN length(text)
+                       ELSE length(array_to_string(l[1:a], chr(10))) + 1 END AS p,
+               CASE WHEN b = 0 THEN 0 WHEN b = n THEN length(text)
+                    ELSE length(array_to_string(l[1:b], chr(10))) + 1 END AS q FROM cut
+    ), parts AS (
+        SELECT *, substr(text, 1, p) AS prefix, substr(text, p + 1, q - p) AS middle,
+               substr(text, q + 1) AS suffix FROM measured
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN q - p END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text
+                  WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END)
+               AS output_sha256, sha256(text) AS restored_sha256
+    FROM parts
+""")
+def op13_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    """All documents as fill-in-the-middle examples, with what each is turned back into."""
+    found = infill.fill_in_middle(table(spark, d, "documents"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
