@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farelens.llm import (
-    chat, exact, infill, minhash, packing, quality, sentencepieces, substrings, toxicity, urls,
-    warc,
+    chat, exact, infill, minhash, mixing, packing, quality, sentencepieces, substrings, toxicity,
+    urls, warc,
 )
 from farelens.session import tune
 
@@ -334,3 +334,83 @@ def op13_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "n", "form", "prefix_chars", "middle_chars",
         F.sha2("output", 256).alias("output_sha256"),
         F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+_STEP = "[" + ", ".join(map(str, mixing.STEPS)) + "]"
+
+
+@query("op11_mix_sources", sql=rf"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, source, len({_WORDS.format("coalesce(text, '')")}) AS size,
+               CAST('0x' || substr(md5('11:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15)
+                    AS BIGINT) AS key FROM documents
+    ), s AS (
+        SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+               row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source
+    ), w AS (
+        SELECT *, [5, 2, 1][place % 3 + 1] AS weight, 3 * source_size AS cap FROM s
+    ), fill AS (
+        SELECT 0 AS round, place, cap, weight, false AS at_cap,
+               (SELECT sum(source_size) FROM s)::BIGINT * weight
+                   / (SELECT sum(weight) FROM w)::BIGINT AS target FROM w
+        UNION ALL
+        SELECT round + 1, place, cap, weight, now_at_cap,
+               CASE WHEN now_at_cap THEN CAST(cap AS DOUBLE)
+                    ELSE (t - filled)::BIGINT * weight / weighed::BIGINT END
+        FROM (SELECT *,
+                bool_or(now_at_cap AND NOT at_cap) OVER () AS any_moved,
+                coalesce(sum(cap) FILTER (now_at_cap) OVER (), 0) AS filled,
+                sum(weight) FILTER (NOT now_at_cap) OVER () AS weighed
+              FROM (SELECT *, at_cap OR target >= cap AS now_at_cap,
+                           (SELECT sum(source_size) FROM s)::BIGINT AS t FROM fill)) x
+        WHERE any_moved
+    ), goal AS (
+        SELECT w.*, f.target, (SELECT (sum(source_size)::BIGINT + 16) // 32 FROM s) AS blocks,
+               greatest(1, (source_size + 4194303) // 4194304) AS shards
+        FROM w JOIN (SELECT place, max_by(target, round) AS target FROM fill GROUP BY place) f
+          USING (place)
+    ), seats AS (
+        SELECT place FROM (SELECT place, blocks, target / (2 * k + 1) AS q FROM goal,
+                           LATERAL (SELECT unnest(range(CAST(target // 32 AS BIGINT) + 64)) AS k)
+                           WHERE target > 0)
+        QUALIFY row_number() OVER (ORDER BY q DESC, place) <= blocks
+    ), won AS (
+        SELECT goal.*, count(seats.place) AS quota FROM goal LEFT JOIN seats USING (place)
+        GROUP BY ALL
+    ), c AS (
+        SELECT place, key % shards AS shard, quota, CAST(sum(size) AS BIGINT) AS words
+        FROM d JOIN won ON d.source IS NOT DISTINCT FROM won.source GROUP BY ALL
+    ), dealt AS (
+        SELECT place, shard FROM (SELECT place, shard, quota, words / (2 * k + 1) AS q FROM c,
+                                  LATERAL (SELECT unnest(range(quota + 1)) AS k) WHERE words > 0)
+        QUALIFY row_number() OVER (PARTITION BY place ORDER BY q DESC, shard) <= quota
+    ), got AS (
+        SELECT c.place, c.shard, c.words, 32 * count(dealt.place) AS given,
+               md5('11:' || c.place || ':' || c.shard) AS h
+        FROM c LEFT JOIN dealt ON dealt.place = c.place AND dealt.shard = c.shard GROUP BY ALL
+    ), cells AS (
+        SELECT *, CASE WHEN words = 0 THEN 0 ELSE least(3, given // words) END AS copies,
+               (words + 31) // 32 AS n,
+               {_STEP}[CAST('0x' || substr(h, 1, 4) AS BIGINT) % {len(mixing.STEPS)} + 1] AS step,
+               CAST('0x' || substr(h, 5, 8) AS BIGINT) AS shift FROM got
+    ), extra AS (
+        SELECT *, CASE WHEN copies < 3 THEN (given - copies * words + 16) // 32 ELSE 0 END AS extra
+        FROM cells
+    ), runs AS (
+        SELECT d.*, won.place, key % shards AS shard, source_size, target,
+               CAST(sum(size) OVER (PARTITION BY won.place, key % shards
+                    ORDER BY key, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS BIGINT)
+                   - size AS begin
+        FROM d JOIN won ON d.source IS NOT DISTINCT FROM won.source
+    )
+    SELECT doc_id, size, source_size, target, CAST(copies * size + coalesce(list_sum([
+               least((i + 1) * 32, begin + size) - greatest(i * 32, begin)
+               FOR i IN range(begin // 32, (begin + size + 31) // 32)
+               IF size > 0 AND (i * step + shift) % n < extra]), 0) AS BIGINT) AS taken
+    FROM runs JOIN extra USING (place, shard)
+""")
+def op11_mix_sources(spark: SparkSession, d: str) -> DataFrame:
+    """All documents, with the words that the mix of their sources takes."""
+    found = mixing.mix(table(spark, d, "documents"))
+    return found.select("doc_id", "size", "source_size", "target",
+                        mixing.words_taken().alias("taken"))
