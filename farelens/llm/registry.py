@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farelens.llm import (
-    chat, exact, infill, minhash, mixing, packing, quality, sentencepieces, substrings, toxicity,
-    urls, warc,
+    chat, divergence, exact, infill, minhash, mixing, packing, quality, sentencepieces, substrings,
+    toxicity, urls, warc,
 )
 from farelens.session import tune
 
@@ -414,3 +414,52 @@ def op11_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     found = mixing.mix(table(spark, d, "documents"))
     return found.select("doc_id", "size", "source_size", "target",
                         mixing.words_taken().alias("taken"))
+
+
+@query("op12_source_divergence", sql=rf"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang,
+               coalesce(source, '') AS source, translate(coalesce(text, ''), '{urls.UPPER}',
+                                                         '{urls.LOWER}') AS text FROM documents
+    ), w AS (
+        SELECT r, lang, source, unnest(regexp_extract_all(
+            text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+    ), kept AS (
+        SELECT lang, term, count(*) AS total FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 3
+    ), grps AS (
+        SELECT DISTINCT lang, source FROM d
+    ), counts AS (
+        SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL
+    ), full_counts AS (
+        SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, k.total
+        FROM grps g JOIN kept k USING (lang)
+        LEFT JOIN counts n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term
+    ), shares AS (
+        SELECT lang, source, term, c,
+               1 + CAST(1000000000 * CAST(c + 1 AS HUGEINT)
+                   // (sum(c) OVER g + count(*) OVER g) AS BIGINT) AS p,
+               1 + CAST(1000000000 * CAST(total + 1 AS HUGEINT)
+                   // (sum(total) OVER g + count(*) OVER g) AS BIGINT) AS q
+        FROM full_counts WINDOW g AS (PARTITION BY lang, source)
+    ), summed AS (
+        SELECT a.lang, a.source, b.source AS item,
+               CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+        GROUP BY ALL
+    ), pairs AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+        FROM grps a JOIN grps b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+    ), terms AS (
+        SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value
+        FROM shares WHERE c > 0 AND p > q
+    ), ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part
+                       ORDER BY value DESC, item) AS INTEGER) AS rank
+        FROM (FROM pairs UNION ALL FROM terms)
+    )
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+""")
+def op12_source_divergence(spark: SparkSession, d: str) -> DataFrame:
+    """All documents: how each source differs from the others of its language, and by what."""
+    return divergence.audit(table(spark, d, "documents"))
