@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from farelens.functions.columns import safe_div
+from farelens.operators.selection import LONG_LEVELS, order_statistics
 
 
 def one_hot(df: DataFrame, name: str, categories: Sequence[str], prefix: str,
@@ -67,19 +68,29 @@ def md5_split(df: DataFrame, row_id: Sequence[str], frac: float = 0.8,
     return df.withColumn(out, bits < int(frac * 2 ** 28))
 
 
+def id_bits(row_id: Sequence[str]) -> Column:
+    """The first 60 bits of an MD5 of the row's identity, which other engines have too."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in row_id])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def stratified_split(df: DataFrame, label: str, row_id: Sequence[str], frac: float = 0.8,
                      out: str = "en_train") -> DataFrame:
-    """Mark the same share of every class.
+    """Mark the same share of every class, exact to one row; an unknown class is one too.
 
-    The threshold of each class is a percentile of its row hashes, found by a mergeable
-    sketch; no class is sorted or collected in one place.
+    Of a class with n rows the round(frac n) of lowest hash are marked (rows of one identity
+    share a side).  The hash at that rank is found by counting hash ranges, so no class is
+    sorted or collected in one place; the thresholds of all classes are one map value.
     """
-    hashed = df.withColumn("__h", F.xxhash64(*row_id))
-    limits = hashed.groupBy(label).agg(F.percentile_approx("__h", frac, 100_000).alias("cut"))
-    table = limits.agg(F.map_from_entries(F.collect_list(F.struct(
-        F.coalesce(F.col(label).cast("string"), F.lit("")), "cut")))).scalar()
-    cut = F.try_element_at(table, F.coalesce(F.col(label).cast("string"), F.lit("")))
-    return hashed.withColumn(out, F.col("__h") <= cut).drop("__h")
+    hashed = df.withColumn("__h", id_bits(row_id))
+    sizes = hashed.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    last = sizes.select(label, (F.floor(F.col("n") * F.lit(frac) + 0.5) - 1).alias("rank"))
+    counts = hashed.select(label, "__h", F.lit(1).cast("long").alias("n"))
+    cuts = order_statistics(counts, last.where("rank >= 0"), [label], "__h", levels=LONG_LEVELS)
+    name = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))
+    table = cuts.agg(F.map_from_entries(F.collect_list(F.struct(name, "__h")))).scalar()
+    return hashed.withColumn(
+        out, F.coalesce(F.col("__h") <= F.try_element_at(table, name), F.lit(False))).drop("__h")
 
 
 def errors(df: DataFrame, actual: str, predicted: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from farelens.functions.columns import safe_div, total
 from farelens.functions.fixed import FARE_BANDS
+from farelens.operators.selection import medians
 
 
 def sales_by_day_hour(df: DataFrame) -> DataFrame:
@@ -39,31 +40,45 @@ def occupancy(df: DataFrame) -> DataFrame:
 def advance_curve(df: DataFrame, series: Sequence[str] = ()) -> DataFrame:
     """Tickets, sales and median base fare by days of lead time.
 
-    Tickets are first counted by lead day and fare, so the exact median works on
-    distinct fares and a crowded lead day is summed by many tasks.
+    Tickets are first counted by lead day and fare, so a crowded lead day is summed by many
+    tasks; the exact median is then found by counting fares in ever narrower ranges, without
+    gathering the distinct fares of a day.
     """
     keys = [*series, "DIAS_ANTICIPACION"]
     by_fare = df.dropna(subset=keys).groupBy(*keys, "TARIFA_BASE_TRAMO").agg(
         total("BOLETOS_VEND").alias("b"), total("VENTA").alias("v"),
         F.count(F.lit(1)).alias("n"))
-    return by_fare.groupBy(*keys).agg(
-        F.sum("b").alias("BOLETOS_VEND"),
-        F.sum("v").alias("VENTA"),
-        F.percentile("TARIFA_BASE_TRAMO", 0.5, F.col("n")).alias("TARIFA_BASE_TRAMO"),
-    ).withColumn("COSTO_PROM_BOLETO", safe_div("VENTA", "BOLETOS_VEND"))
+    sums = by_fare.groupBy(*keys).agg(F.sum("b").alias("BOLETOS_VEND"), F.sum("v").alias("VENTA"))
+    middle = medians(by_fare, keys, "TARIFA_BASE_TRAMO")
+    return sums.join(middle, keys, "left").withColumn(
+        "COSTO_PROM_BOLETO", safe_div("VENTA", "BOLETOS_VEND"))
+
+
+def _day_word(date: str) -> tuple[Column, Column]:
+    """The 64-day word that a date falls in, and its bit there."""
+    day = F.unix_date(date)
+    return F.floor(day / 64), F.expr(f"shiftleft(1L, pmod(unix_date({date}), 64))")
 
 
 def seat_demand(df: DataFrame) -> DataFrame:
-    """Demand by capacity and seat, with shares and running shares within the capacity."""
+    """Demand by capacity and seat, with shares and running shares within the capacity.
+
+    The distinct sale days are bits of 64-day words, so they combine like sums do: a seat's
+    rows become one row per word in every task.
+    """
     keys = ["CAPACIDAD_ASIENTOS_TRAMO", "NUM_ASIENTO"]
-    seats = df.dropna(subset=keys).groupBy(*keys).agg(
-        F.count_distinct("FECHA_OPERACION").alias("DIAS_VENTA"),
-        total("BOLETOS_VEND").alias("BOLETOS_VEND"),
-        total("VENTA").alias("VENTA"),
-        total("PAX_SUBEN").alias("PAX_SUBEN"),
-        F.avg("VENTA").alias("VENTA_PROM"),
-        F.avg("DIAS_ANTICIPACION").alias("VEL_VENTA_PROM"),
-        F.avg("TARIFA_BASE_TRAMO").alias("TARIFA_BASE_PROM"),
+    means = {"VENTA_PROM": "VENTA", "VEL_VENTA_PROM": "DIAS_ANTICIPACION",
+             "TARIFA_BASE_PROM": "TARIFA_BASE_TRAMO"}
+    word, bit = _day_word("FECHA_OPERACION")
+    by_word = df.dropna(subset=keys).groupBy(*keys, word.alias("word")).agg(
+        F.bit_or(bit).alias("days"),
+        *[total(c).alias(c) for c in ("BOLETOS_VEND", "VENTA", "PAX_SUBEN")],
+        *[F.sum(c).alias(f"{name}__sum") for name, c in means.items()],
+        *[F.count(c).alias(f"{name}__n") for name, c in means.items()])
+    seats = by_word.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.bit_count("days")), F.lit(0)).alias("DIAS_VENTA"),
+        *[F.sum(c).alias(c) for c in ("BOLETOS_VEND", "VENTA", "PAX_SUBEN")],
+        *[safe_div(F.sum(f"{name}__sum"), F.sum(f"{name}__n")).alias(name) for name in means],
     ).withColumn("PAX_X_DIA_PROM", safe_div("PAX_SUBEN", "DIAS_VENTA"))
     return seat_shares(seats)
 
@@ -107,14 +122,16 @@ def fare_bands(df: DataFrame, lo: int = FARE_BANDS[0], hi: int = FARE_BANDS[1],
         & (F.col("VENTA_TOTAL") > 0) & (F.col("DIAS_ANTICIPACION") >= 0)
         & (F.year("FECHA_OPERACION") >= year_from))
     band = F.floor((F.col("VENTA_TOTAL") - lo) / step)
-    found = kept.groupBy(band.alias("banda")).agg(
-        F.sum("VENTA_TOTAL").alias("VENTA_TOTAL"),
-        F.sum("BOLETOS_VEND").alias("BOLETOS_VEND"),
-        F.sum("PAX_SUBEN").alias("PAX_SUBEN"),
-        F.count(F.lit(1)).alias("VECES_OFERTADA"),
-        F.avg("DIAS_ANTICIPACION").alias("DIAS_ANTICIPACION"),
-        F.count_distinct("FECHA_OPERACION").alias("DIAS_UNICOS"),
-    )
+    word, bit = _day_word("FECHA_OPERACION")
+    sums = ["VENTA_TOTAL", "BOLETOS_VEND", "PAX_SUBEN"]
+    by_word = kept.groupBy(band.alias("banda"), word.alias("word")).agg(
+        F.bit_or(bit).alias("days"), *[F.sum(c).alias(c) for c in sums],
+        F.count(F.lit(1)).alias("n"), F.sum("DIAS_ANTICIPACION").alias("lead"),
+        F.count("DIAS_ANTICIPACION").alias("known"))
+    found = by_word.groupBy("banda").agg(
+        *[F.sum(c).alias(c) for c in sums], F.sum("n").alias("VECES_OFERTADA"),
+        safe_div(F.sum("lead"), F.sum("known")).alias("DIAS_ANTICIPACION"),
+        F.sum(F.bit_count("days")).alias("DIAS_UNICOS"))
     low = F.col("id") * step + lo
     bands = spark.range(last).select(
         F.col("id").alias("banda"),

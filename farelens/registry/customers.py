@@ -253,12 +253,17 @@ def a20(spark, d):
     return C.cluster_sizes(C.cluster_customers(features(spark, d), COLUMNS))
 
 
-@entry("m06_stratified_split")
+@entry("m06_stratified_split", """
+SELECT EMAIL, "Cluster", row_number() OVER (PARTITION BY "Cluster"
+    ORDER BY CAST('0x' || substr(md5(EMAIL), 1, 15) AS BIGINT))
+  <= floor(count(*) OVER (PARTITION BY "Cluster") * 0.8::DOUBLE + 0.5) AS en_train
+FROM (SELECT EMAIL, CASE WHEN SBol_Vend % 5 < 4 THEN CAST(SBol_Vend % 5 AS INTEGER) END AS "Cluster"
+      FROM cust_metrics)""")
 def m06(spark, d):
-    """Customers by class and side of the split."""
-    df = features(spark, d).withColumn("Cluster", (F.col("SBol_Vend") % 5).cast("int"))
-    return X.stratified_split(df, "Cluster", ["EMAIL"]).groupBy("Cluster", "en_train").agg(
-        F.count(F.lit(1)).alias("clientes"))
+    """Customers with their class (one of them unknown) and side of the split."""
+    left = (F.col("SBol_Vend") % 5).cast("int")
+    df = C.customer_metrics(train(spark, d)).select("EMAIL", F.when(left < 4, left).alias("Cluster"))
+    return X.stratified_split(df, "Cluster", ["EMAIL"])
 
 
 def _classified(spark, d):
