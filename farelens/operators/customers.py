@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from farelens.functions.columns import half_even, lookup, safe_div, sample_skewness, total
 from farelens.functions.fixed import CLUSTER_UPLIFT
+from farelens.operators.boosting import BoostedClasses, fit_boosted
 from farelens.operators.features import min_max, one_hot
 from farelens.operators.joins import spread_join
 from farelens.operators.prep import TICKET
@@ -301,30 +302,30 @@ def cluster_sizes(df: DataFrame) -> DataFrame:
         "porcentaje", safe_div(F.col("clientes") * 100, everyone))
 
 
-def fit_cluster_classifier(train: DataFrame, cols: Sequence[str], learner: str = "forest",
-                           trees: int = 100, depth: int = 6, seed: int = 42) -> PipelineModel:
+def fit_cluster_classifier(train: DataFrame, cols: Sequence[str], learner: str = "boosted",
+                           trees: int = 100, depth: int = 6,
+                           seed: int = 42) -> BoostedClasses | PipelineModel:
     """Classifier of the cluster from the customer features.
 
-    ``forest`` grows all trees of all classes together, level by level.  ``boosted``
-    fits one boosted ensemble per class, tree after tree, which takes many more passes.
+    ``boosted`` grows in each of ``trees`` rounds one tree per class, all classes together;
+    ``forest`` grows ``trees`` independent trees.
     """
+    if learner == "boosted":
+        return fit_boosted(train, cols, "Cluster", trees, depth)
+    if learner != "forest":
+        raise ValueError("learner must be 'boosted' or 'forest'")
     assemble = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep")
-    if learner == "forest":
-        stage = RandomForestClassifier(labelCol="Cluster", featuresCol="features",
-                                       predictionCol="pred", numTrees=trees, maxDepth=depth,
-                                       seed=seed)
-    elif learner == "boosted":
-        each = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed)
-        stage = OneVsRest(classifier=each, labelCol="Cluster", featuresCol="features",
-                          predictionCol="pred", parallelism=4)
-    else:
-        raise ValueError("learner must be 'forest' or 'boosted'")
+    stage = RandomForestClassifier(labelCol="Cluster", featuresCol="features",
+                                   predictionCol="pred", numTrees=trees, maxDepth=depth, seed=seed)
     rows = train.fillna(0.0, subset=list(cols)).where(F.col("Cluster").isNotNull())
     return Pipeline(stages=[assemble, stage]).fit(rows)
 
 
-def classify_customers(features: DataFrame, model: Model, cols: Sequence[str]) -> DataFrame:
+def classify_customers(features: DataFrame, model: BoostedClasses | Model,
+                       cols: Sequence[str]) -> DataFrame:
     """Predicted cluster of each customer."""
+    if isinstance(model, BoostedClasses):
+        return model.transform(features, ["EMAIL"], "Cluster")
     scored = model.transform(features.fillna(0.0, subset=list(cols)))
     return scored.select("EMAIL", F.col("pred").cast("int").alias("Cluster"))
 
@@ -341,7 +342,7 @@ def unknown_customers(tickets: DataFrame, customers: DataFrame,
     return spread_join(tickets, customers.select("EMAIL"), ["EMAIL"], "left_anti", row_id)
 
 
-def predict_clusters(tickets: DataFrame, model: Model, customers: DataFrame,
+def predict_clusters(tickets: DataFrame, model: BoostedClasses | Model, customers: DataFrame,
                      categories: dict[str, Sequence[str]]) -> tuple[DataFrame, DataFrame]:
     """Known tickets with their cluster, and new ones with the predicted one."""
     known = known_customers(tickets, customers)

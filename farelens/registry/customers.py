@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from farelens import bindings as B
 from farelens.operators import customers as C, features as X
+from farelens.operators.boosting import BoostedClasses, fit_boosted
 from farelens.plans import datasets as S
 from farelens.registry import oracle
 from farelens.registry.base import entry, rounded, tickets
-from farelens.sources.stored import stored
+from farelens.sources.stored import saved, stored
 from farelens.registry.preparation import ID, _ID, _UPLIFTS
 from farelens.session import materialise, scratch_path
-from farelens.sources.readers import load_model, save_model
 
 CATEGORIES = {
     "Tipo_pago": ["EFECTIVO", "TARJETA"],
@@ -266,10 +265,21 @@ def m06(spark, d):
     return X.stratified_split(df, "Cluster", ["EMAIL"])
 
 
-def _classified(spark, d):
+def _marked(spark, d):
+    """Clustered customers with their side of the split."""
     labelled = materialise(C.cluster_customers(features(spark, d), COLUMNS))
-    marked = materialise(X.stratified_split(labelled, "Cluster", ["EMAIL"]))
-    return marked, C.fit_cluster_classifier(marked.where("en_train"), COLUMNS)
+    return X.stratified_split(labelled, "Cluster", ["EMAIL"])
+
+
+def _fit_and_save(spark, d, path):
+    marked = stored("clustered_customers", _marked, spark, d)
+    C.fit_cluster_classifier(marked.where("en_train"), COLUMNS).save(spark, path)
+
+
+def _classified(spark, d):
+    """The marked customers and the classifier; both are computed once per application."""
+    path = saved("classifier", _fit_and_save, spark, d)
+    return stored("clustered_customers", _marked, spark, d), BoostedClasses.load(spark, path)
 
 
 @entry("m18_cluster_classifier")
@@ -281,6 +291,36 @@ def m18(spark, d):
         C.classify_customers(held, model, COLUMNS).withColumnRenamed("Cluster", "pred"), "EMAIL")
 
 
+def _accuracy(held, pred, label):
+    """Held-out accuracy of a label beside the share of its commonest class."""
+    both = held.select("EMAIL", F.col(label).alias("real")).join(pred, "EMAIL")
+    counts = both.groupBy("real").agg(F.count(F.lit(1)).alias("n"), F.sum(
+        (F.col("real") == F.col("Cluster")).cast("int")).alias("hits"))
+    return counts.agg(
+        F.lit(label).alias("etiqueta"), F.sum("n").alias("clientes"),
+        (F.sum("hits") / F.sum("n")).alias("exactitud"),
+        (F.max("n") / F.sum("n")).alias("mayoria"))
+
+
+@entry("m18_held_out_accuracy")
+def m18_accuracy(spark, d):
+    """Accuracy on held-out customers for the cluster, which is made from the features, and
+    for the origin of the customer's favourite route, which is not among them."""
+    marked, model = _classified(spark, d)
+    origins = sorted({o for o, _ in B.ROUTES})
+    place = F.array_position(F.array(*map(F.lit, origins)),
+                             F.substring_index("ORIGEN_DESTINO", "-", 1)) - 1
+    routes = C.favourite_routes(C.customer_route_fik(train(spark, d))).select(
+        "EMAIL", place.cast("int").alias("origen_favorito"))
+    other = materialise(X.stratified_split(
+        marked.drop("en_train").join(routes, "EMAIL"), "origen_favorito", ["EMAIL"]))
+    plain = fit_boosted(other.where("en_train"), COLUMNS, "origen_favorito", rounds=10, depth=3)
+    held, rest = marked.where("NOT en_train"), other.where("NOT en_train")
+    return rounded(_accuracy(held, C.classify_customers(held, model, COLUMNS), "Cluster").unionAll(
+        _accuracy(rest, C.classify_customers(rest, plain, COLUMNS), "origen_favorito")),
+        "exactitud", "mayoria")
+
+
 @entry("m19_confusion", """
 SELECT SBol_Vend % 5 AS label, total_viajes_cliente % 5 AS pred, count(*) AS n,
   count(*) / sum(count(*)) OVER () AS share
@@ -340,8 +380,11 @@ def m20(spark, d):
 
 @entry("s09_model_round_trip")
 def s09(spark, d):
-    """Predictions of a classifier that was saved and loaded again."""
-    marked, model = _classified(spark, d)
+    """Predictions of the classifier before it was saved and after it was loaded again."""
+    marked = stored("clustered_customers", _marked, spark, d)
+    model = C.fit_cluster_classifier(marked.where("en_train"), COLUMNS, trees=5, depth=3)
     path = scratch_path(spark, "classifier")
-    save_model(model, path)
-    return C.classify_customers(marked, load_model(PipelineModel, path), COLUMNS)
+    model.save(spark, path)
+    before = C.classify_customers(marked, model, COLUMNS)
+    after = C.classify_customers(marked, BoostedClasses.load(spark, path), COLUMNS)
+    return before.join(after.withColumnRenamed("Cluster", "recargado"), "EMAIL")

@@ -28,3 +28,17 @@ def stored(name: str, build: Callable[[SparkSession, str], DataFrame], spark: Sp
         _STORED[key] = (path, frame.schema)
     path, schema = _STORED[key]
     return spark.read.schema(schema).parquet(path)
+
+
+_SAVED: dict[tuple, str] = {}
+
+
+def saved(name: str, save: Callable[[SparkSession, str, str], None], spark: SparkSession,
+          d: str) -> str:
+    """Path of something that ``save(spark, d, path)`` writes, once per application."""
+    key = (name, spark.sparkContext.applicationId, d)
+    if key not in _SAVED:
+        path = scratch_path(spark, name)
+        save(spark, d, path)
+        _SAVED[key] = path
+    return _SAVED[key]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from farelens.operators.boosting import BoostedClasses
 from farelens.operators import customers as C, features as X
 from farelens.sources.readers import load_model, save_model
 
@@ -147,14 +148,19 @@ def test_planted_clusters_are_found(planted):
 
 @pytest.mark.parametrize("learner,trees", [("forest", 20), ("boosted", 3)])
 def test_classifier_round_trip(spark, planted, tmp_path, learner, trees):
-    cols = ["p", "q", "r"]
+    cols, path = ["p", "q", "r"], str(tmp_path / "m")
     train = planted.withColumn("Cluster", F.col("planted"))
     model = C.fit_cluster_classifier(train, cols, learner, trees, 3)
     got = C.classify_customers(planted, model, cols)
     both = got.join(planted, "EMAIL")
     assert both.where("Cluster = planted").count() > 230
-    save_model(model, str(tmp_path / "m"))
-    again = C.classify_customers(planted, load_model(PipelineModel, str(tmp_path / "m")), cols)
+    if learner == "forest":
+        save_model(model, path)
+        loaded = load_model(PipelineModel, path)
+    else:
+        model.save(spark, path)
+        loaded = BoostedClasses.load(spark, path)
+    again = C.classify_customers(planted, loaded, cols)
     assert got.exceptAll(again).count() == 0
     assert X.accuracy(both, "planted", "Cluster").first()[0] > 0.95
 
