@@ -151,19 +151,18 @@ def bin_edges(df: DataFrame, features: Sequence[str], bins: int) -> list[np.ndar
     """
     long = df.select(F.posexplode(F.array(*[F.col(c) for c in features])).alias("f", "v"))
     counts = long.groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy("f").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
     path = scratch_path(df.sparkSession, "values")
     counts.write.parquet(path)
     counts = df.sparkSession.read.parquet(path)
-    few = [r.f for r in sizes.where(F.col("kinds") <= bins).select("f").collect()]
+    few = [r.f for r in counts.groupBy("f").agg(F.count(F.lit(1)).alias("kinds")).where(
+        F.col("kinds") <= bins).select("f").collect()]
     ends = {f: [] for f in range(len(features))}
     for r in counts.where(F.col("f").isin(few)).collect():
         ends[r.f].append(r.v)
-    quantiles = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(bins - 1)), lambda i: (
-        F.floor(F.col("all") * i / bins).cast("long"))))
-    ranks = sizes.where(F.col("kinds") > bins).select("f", F.explode(quantiles).alias("rank"))
-    many = counts.where(~F.col("f").isin(few))
-    for r in order_statistics(many, ranks, ["f"], "v").select("f", "v").distinct().collect():
+    many = order_statistics(counts.where(~F.col("f").isin(few)), ["f"], "v", lambda n: (
+        F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(bins - 1)),
+                                     lambda i: F.floor(n * i / bins)))))
+    for r in many.select("f", "v").distinct().collect():
         ends[r.f].append(r.v)
     # Of a feature with few values the largest ends no bin.
     return [np.array(sorted(v)[:-1] if f in few else sorted(v)) for f, v in ends.items()]

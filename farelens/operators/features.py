@@ -83,10 +83,9 @@ def stratified_split(df: DataFrame, label: str, row_id: Sequence[str], frac: flo
     sorted or collected in one place; the thresholds of all classes are one map value.
     """
     hashed = df.withColumn("__h", id_bits(row_id))
-    sizes = hashed.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    last = sizes.select(label, (F.floor(F.col("n") * F.lit(frac) + 0.5) - 1).alias("rank"))
     counts = hashed.select(label, "__h", F.lit(1).cast("long").alias("n"))
-    cuts = order_statistics(counts, last.where("rank >= 0"), [label], "__h", levels=LONG_LEVELS)
+    cuts = order_statistics(counts, [label], "__h", lambda n: F.array(
+        F.floor(n * F.lit(frac) + 0.5) - 1), levels=LONG_LEVELS)
     name = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))
     table = cuts.agg(F.map_from_entries(F.collect_list(F.struct(name, "__h")))).scalar()
     return hashed.withColumn(

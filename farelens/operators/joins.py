@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,10 +18,11 @@ def hot_share(partitions: int) -> float:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> Column:
-    """Hashes of the keys owning more than ``share`` of the rows, as one array value.
+    """Hashes of the keys owning more than ``share`` of the rows, with the share of each, as
+    one map value.
 
     A frequent-items sketch finds them in a single pass with partial aggregation; the
-    array holds at most ``1 / share`` entries.  The sketch only steers how work is
+    map holds at most ``1 / share`` entries.  The sketch only steers how work is
     spread: a key it misses or adds changes no result.
     """
     limit = int(1 / share)
@@ -29,37 +31,70 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> Column:
         .agg(F.expr(f"approx_top_k(k, {limit}, 10000)").alias("top"),
              F.count(F.lit(1)).alias("n"))
     )
-    return sketch.select(
-        F.transform(
-            F.filter("top", lambda x: x["count"] > F.col("n") * F.lit(share)),
-            lambda x: x["item"],
-        )
-    ).scalar()
+    return sketch.select(F.map_from_entries(F.transform(
+        F.filter("top", lambda x: x["count"] > F.col("n") * F.lit(share)),
+        lambda x: F.struct(x["item"], x["count"] / F.col("n"))))).scalar()
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
                 row_id: Sequence[str], sample: DataFrame | None = None,
                 share: float | None = None) -> DataFrame:
-    """Equi-join whose hot left keys are divided over all tasks.
+    """Equi-join whose hot left keys are divided over tasks.
 
     Left rows of a hot key go to slices chosen by a hash of ``row_id`` (the same slice
-    if a task is rerun); the matching right rows are repeated once per slice.  Cold keys
-    stay in slice 0 and are not repeated.  Right rows with an unknown key match nothing
-    and are left out; for semi- and anti-joins one right row per key is enough.
+    if a task is rerun), as many as hold about ``share`` of the rows each; the matching right
+    rows are repeated once per slice.  Cold keys stay in slice 0 and are not repeated.  Right
+    rows with an unknown key match nothing and are left out; for semi- and anti-joins one right
+    row per key is enough.
     ``sample`` names a cheaper frame with the same keys to look for hot ones, by default
     ``left`` itself; ``share`` is by default ``hot_share`` of the shuffle partitions.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"{how} would repeat or lose right rows")
-    keys = list(on)
+    keys = _checked(on, how)
     right = right.dropna(subset=keys)
     if how in ("left_semi", "left_anti"):
         right = right.select(*keys).distinct()
-    slices = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(sample if sample is not None else left, keys, share or hot_share(slices))
-    is_hot = F.array_contains(hot, F.xxhash64(*keys))
-    by_row = F.pmod(F.xxhash64(*row_id), F.lit(slices)).cast("int")
-    spread_left = left.withColumn(_SLICE, F.when(is_hot, by_row).otherwise(F.lit(0)))
-    last = F.when(is_hot, F.lit(slices - 1)).otherwise(F.lit(0))
-    spread_right = right.withColumn(_SLICE, F.explode(F.sequence(F.lit(0), last)))
+    share = share or hot_share(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot = hot_keys(sample if sample is not None else left, keys, share)
+    slices = F.coalesce(F.ceil(F.try_element_at(hot, F.xxhash64(*keys)) / F.lit(share)).cast("int"),
+                        F.lit(1))
+    spread_left = left.withColumn(_SLICE, F.pmod(F.xxhash64(*row_id), slices).cast("int"))
+    spread_right = right.withColumn(_SLICE, F.explode(F.sequence(F.lit(0), slices - 1)))
     return spread_left.join(spread_right, keys + [_SLICE], how).drop(_SLICE)
+
+
+def _checked(on: Sequence[str], how: str) -> list[str]:
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"{how} would repeat or lose right rows")
+    return list(on)
+
+
+@dataclass(frozen=True)
+class Bucketed:
+    """A stored table: ``cold`` in buckets of ``keys``, and the rows of hot keys, if there are
+    any, in a plain table of their own, as they would fill whole buckets."""
+
+    keys: tuple[str, ...]
+    cold: DataFrame
+    hot: DataFrame | None = None
+
+    def rows(self) -> DataFrame:
+        return self.cold if self.hot is None else self.cold.unionByName(self.hot)
+
+    def map(self, change: Callable[[DataFrame], DataFrame]) -> Bucketed:
+        """The table after a change that works on each key by itself and keeps the keys."""
+        return Bucketed(self.keys, change(self.cold),
+                        None if self.hot is None else change(self.hot))
+
+
+def co_join(left: Bucketed, right: Bucketed, how: str, row_id: Sequence[str]) -> DataFrame:
+    """Equi-join on the bucket keys of two tables that were stored with the same hot keys.
+
+    Buckets meet buckets, so neither side is shuffled; hot keys are spread.
+    """
+    keys = _checked(left.keys, how)
+    if tuple(right.keys) != tuple(keys) or (left.hot is None) != (right.hot is None):
+        raise ValueError("both tables need the same buckets and hot keys")
+    joined = left.cold.join(right.cold, keys, how)
+    if left.hot is None:
+        return joined
+    return joined.unionByName(spread_join(left.hot, right.hot, keys, how, row_id))

@@ -37,21 +37,25 @@ def occupancy(df: DataFrame) -> DataFrame:
     ).withColumn("FOP_PROM", safe_div("OCUPACION_TRAMO", "CAPACIDAD_ASIENTOS_TRAMO"))
 
 
+def advance_sums(df: DataFrame, series: Sequence[str] = ()) -> DataFrame:
+    """Tickets and sales by days of lead time."""
+    keys = [*series, "DIAS_ANTICIPACION"]
+    return df.dropna(subset=keys).groupBy(*keys).agg(
+        total("BOLETOS_VEND").alias("BOLETOS_VEND"), total("VENTA").alias("VENTA")).withColumn(
+        "COSTO_PROM_BOLETO", safe_div("VENTA", "BOLETOS_VEND"))
+
+
 def advance_curve(df: DataFrame, series: Sequence[str] = ()) -> DataFrame:
-    """Tickets, sales and median base fare by days of lead time.
+    """``advance_sums`` with the median base fare.
 
-    Tickets are first counted by lead day and fare, so a crowded lead day is summed by many
-    tasks; the exact median is then found by counting fares in ever narrower ranges, without
-    gathering the distinct fares of a day.
+    The exact median is found by counting fares in ever narrower ranges, without gathering
+    the fares of a lead day; a crowded lead day is summed and counted by many tasks.
     """
     keys = [*series, "DIAS_ANTICIPACION"]
     by_fare = df.dropna(subset=keys).groupBy(*keys, "TARIFA_BASE_TRAMO").agg(
-        total("BOLETOS_VEND").alias("b"), total("VENTA").alias("v"),
         F.count(F.lit(1)).alias("n"))
-    sums = by_fare.groupBy(*keys).agg(F.sum("b").alias("BOLETOS_VEND"), F.sum("v").alias("VENTA"))
     middle = medians(by_fare, keys, "TARIFA_BASE_TRAMO")
-    return sums.join(middle, keys, "left").withColumn(
-        "COSTO_PROM_BOLETO", safe_div("VENTA", "BOLETOS_VEND"))
+    return advance_sums(df, series).join(middle, keys, "left")
 
 
 def _day_word(date: str) -> tuple[Column, Column]:

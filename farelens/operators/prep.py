@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from farelens.functions.columns import (
     clock_hour, half_even, parse_date, route_key, safe_div, total, weekday_label,
 )
-from farelens.operators.joins import spread_join
+from farelens.operators.joins import Bucketed, co_join, spread_join
 
 TRIP_KEYS = ["CV_CORRIDA", "FECHA_CORRIDA", "HORA_SALIDA_CORRIDA", "ORIGEN", "DESTINO"]
 FULL_TRIP_KEYS = TRIP_KEYS + ["CV_ASIGN", "ORIGEN_CORRIDA", "DESTINO_CORRIDA"]
@@ -58,6 +58,17 @@ def join_loyalty(tickets: DataFrame, loyalty: DataFrame,
     return spread_join(tickets, loyalty, LOYALTY_KEYS, "left", TICKET, sample=sales)
 
 
+def co_join_trips(sales: Bucketed, trips: Bucketed,
+                  order: Sequence[str] = ("KMS_ACUM_CORRIDA",)) -> DataFrame:
+    """``join_trips`` of tables in buckets of the trip keys: collapse and join in place."""
+    return co_join(sales, trips.map(lambda df: collapse_trips(df, order)), "inner", TICKET)
+
+
+def co_join_loyalty(tickets: Bucketed, loyalty: Bucketed) -> DataFrame:
+    """``join_loyalty`` of tables in buckets of the loyalty keys."""
+    return co_join(tickets, loyalty, "left", TICKET)
+
+
 def payment_method(df: DataFrame) -> DataFrame:
     return df.withColumn("PAGO_METODO", F.when(
         F.col("TARJETA").isNotNull(), "TARJETA").otherwise("EFECTIVO"))
@@ -117,17 +128,18 @@ def repair_seats(df: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
 
 
 def combine(sales: DataFrame, trips: DataFrame, loyalty: DataFrame,
-            order: Sequence[str] = ("KMS_ACUM_CORRIDA",),
-            joined: DataFrame | None = None) -> DataFrame:
-    """Sales x trip x loyalty, parsed, labelled and with seats repaired.
+            order: Sequence[str] = ("KMS_ACUM_CORRIDA",)) -> DataFrame:
+    """Sales x trip x loyalty, parsed, labelled and with seats repaired."""
+    joined = join_trips(sales, collapse_trips(trips, order))
+    return finished(joined, join_loyalty(joined, loyalty, sales))
+
+
+def finished(joined: DataFrame, tickets: DataFrame) -> DataFrame:
+    """``tickets``, which are ``joined`` with loyalty data, parsed, labelled and repaired.
 
-    The join of sales and trips is read twice; ``joined`` is that join where it is stored.
+    The loyalty join neither adds nor drops (capacity, seat) pairs, so the seat limits come
+    from the narrower join below it.
     """
-    if joined is None:
-        joined = join_trips(sales, collapse_trips(trips, order))
-    tickets = join_loyalty(joined, loyalty, sales)
-    # The loyalty join neither adds nor drops (capacity, seat) pairs, so the limits come
-    # from the narrower join below it.
     full = weekday_labels(parse_clock(payment_method(tickets)))
     return repair_seats(full, joined.select("CAPACIDAD_ASIENTOS_TRAMO", "NUM_ASIENTO"))
 

@@ -30,50 +30,47 @@ def _same(value: Column) -> Column:
     return value
 
 
-# A step of 1/512 of a doubling, then 1/2^21, then 1/2^33: a level has 4096 roundings of one
-# of the level before, and some 360,000 doubles round alike at the third.
+# Steps of 1/2^14 of a doubling, then 1/2^33: the second level has 2^19 roundings of one of the
+# first, and some 360,000 doubles round alike there.
 DOUBLE_LEVELS: tuple[Level, ...] = (
-    _magnitude(1 << 9), _magnitude(1 << 21), _magnitude(1 << 33), _same)
+    _magnitude(1 << 14), _magnitude(1 << 33), _same)
 # 65,536 roundings at every level.
 LONG_LEVELS: tuple[Level, ...] = tuple(
     (lambda bits: lambda value: F.shiftright(value, bits))(bits) for bits in (48, 32, 16)
 ) + (_same,)
 
 
-def _matches(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Equality of columns, an unknown key being equal to another one."""
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[f"{n}__r"]) for n in names])
-
-
-def _renamed(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.withColumnsRenamed({n: f"{n}__r" for n in names})
-
-
-def order_statistics(counts: DataFrame, targets: DataFrame, keys: Sequence[str], value: str,
-                     n: str = "n", rank: str = "rank",
+def order_statistics(counts: DataFrame, keys: Sequence[str], value: str,
+                     ranks: Callable[[Column], Column], n: str = "n", rank: str = "rank",
                      levels: Sequence[Level] = DOUBLE_LEVELS) -> DataFrame:
-    """``keys``, ``rank`` and the ``value`` at that rank, from 0, for each row of ``targets``.
+    """``keys``, ``rank`` and the ``value`` at that rank, from 0, for each group.
 
     ``counts`` holds ``keys``, a value and how often it occurs, in any number of rows; unknown
-    values are left out.  Targets must differ in their keys or rank, and those beyond the
-    group's rows are left out.  NULL keys are a group.
+    values are left out.  ``ranks`` gives an array of different ranks for a group's number of
+    known values; those outside the group are left out.  NULL keys are a group.
     """
     rows = counts.where(F.col(value).isNotNull())
-    asked = [*keys, rank]
-    picks = targets.select(*asked, F.col(rank).cast("long").alias("__left"),
-                           F.lit(0).alias("__at"))
-    known = [*keys, "__at"]
+    group = Window.partitionBy(*keys)
+    sums = rows.groupBy(*keys, levels[0](F.col(value)).alias("__at")).agg(F.sum(n).alias("__n"))
+    upto = F.sum("__n").over(group.orderBy("__at").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow))
+    here = F.filter("__ranks", lambda r: (
+        (r < F.col("__upto")) & (r >= F.col("__upto") - F.col("__n"))))
+    picks = sums.withColumns({"__upto": upto, "__ranks": F.transform(
+        ranks(F.sum("__n").over(group)), lambda r: r.cast("long"))}).select(
+        *keys, "__at", (F.col("__upto") - F.col("__n")).alias("__before"),
+        F.explode(here).alias(rank)).select(
+        *keys, rank, "__at", (F.col(rank) - F.col("__before")).alias("__left"))
+    known, asked = [*keys, "__at"], [*keys, rank]
     one_target = Window.partitionBy(*asked).orderBy("__next").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    for i, level in enumerate(levels):
-        marked = rows.select(*keys, (F.lit(0) if i == 0 else levels[i - 1](F.col(value))).alias(
-            "__at"), level(F.col(value)).alias("__next"), F.col(n).alias("__n"))
-        if i == 0:
-            # All targets of a group look at the same counts.
-            marked = marked.groupBy(*known, "__next").agg(F.sum("__n").alias("__n"))
-        wanted = _renamed(picks, known)
-        sums = marked.join(wanted, _matches(marked, wanted, known)).groupBy(
-            *asked, "__left", "__next").agg(F.sum("__n").alias("__n"))
+    for coarse, fine in zip(levels, levels[1:]):
+        marked = rows.select(*keys, coarse(F.col(value)).alias("__at"),
+                             fine(F.col(value)).alias("__next"), F.col(n).alias("__n"))
+        wanted = picks.withColumnsRenamed({c: f"{c}__r" for c in known})
+        same = reduce(lambda a, b: a & b, [marked[c].eqNullSafe(wanted[f"{c}__r"]) for c in known])
+        sums = marked.join(wanted, same).groupBy(*asked, "__left", "__next").agg(
+            F.sum("__n").alias("__n"))
         before = F.sum("__n").over(one_target) - F.col("__n")
         picks = sums.withColumn("__before", before).where(
             (F.col("__left") >= F.col("__before"))
@@ -86,8 +83,6 @@ def order_statistics(counts: DataFrame, targets: DataFrame, keys: Sequence[str],
 def medians(counts: DataFrame, keys: Sequence[str], value: str, n: str = "n",
             levels: Sequence[Level] = DOUBLE_LEVELS) -> DataFrame:
     """``keys`` and the median of the known values of each group, the mean of the middle two."""
-    sizes = counts.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.sum(n).alias("__all"))
-    middle = sizes.select(*keys, F.explode(F.array_distinct(F.array(
-        F.floor((F.col("__all") - 1) / 2), F.floor(F.col("__all") / 2)))).alias("rank"))
-    found = order_statistics(counts, middle, keys, value, n, levels=levels)
+    found = order_statistics(counts, keys, value, lambda n: F.array_distinct(F.array(
+        F.floor((n - 1) / 2), F.floor(n / 2))), n, levels=levels)
     return found.groupBy(*keys).agg(((F.min(value) + F.max(value)) / 2).alias(value))

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farelens import bindings as B
 from farelens.operators import prep
+from farelens.operators.joins import Bucketed
 from farelens.registry import oracle
 from farelens.session import tune
 from farelens.sources import extracts
-from farelens.sources.stored import stored
+from farelens.sources.stored import stored, stored_buckets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,30 +72,42 @@ def extracted_loyalty(spark: SparkSession, d: str) -> DataFrame:
     return extracts.for_routes(found, B.ROUTES)
 
 
+def by_trip(spark: SparkSession, d: str) -> dict[str, Bucketed]:
+    """Sales and trips, stored in buckets of the keys of a trip leg."""
+    return stored_buckets({"sales": extracted_sales, "trips": extracted_trips},
+                          tuple(prep.TRIP_KEYS), spark, d)
+
+
+def by_transaction(spark: SparkSession, d: str) -> dict[str, Bucketed]:
+    """Sales with their trips and loyalty data, stored in buckets of the loyalty keys."""
+    return stored_buckets({"sales_trips": _joined_trips, "loyalty": extracted_loyalty},
+                          tuple(prep.LOYALTY_KEYS), spark, d)
+
+
 def sales(spark: SparkSession, d: str) -> DataFrame:
-    return stored("sales", extracted_sales, spark, d)
+    return by_trip(spark, d)["sales"].rows()
 
 
 def trips(spark: SparkSession, d: str) -> DataFrame:
-    return stored("trips", extracted_trips, spark, d)
+    return by_trip(spark, d)["trips"].rows()
 
 
 def loyalty(spark: SparkSession, d: str) -> DataFrame:
-    return stored("loyalty", extracted_loyalty, spark, d)
+    return by_transaction(spark, d)["loyalty"].rows()
 
 
 def _joined_trips(spark: SparkSession, d: str) -> DataFrame:
-    return prep.join_trips(sales(spark, d), prep.collapse_trips(trips(spark, d)))
+    found = by_trip(spark, d)
+    return prep.co_join_trips(found["sales"], found["trips"])
 
 
-def sales_trips(spark: SparkSession, d: str) -> DataFrame:
-    """Sales with their collapsed trips; stored, as seat limits and tickets both read it."""
-    return stored("sales_trips", _joined_trips, spark, d)
+def with_loyalty(spark: SparkSession, d: str) -> DataFrame:
+    found = by_transaction(spark, d)
+    return prep.co_join_loyalty(found["sales_trips"], found["loyalty"])
 
 
 def combined(spark: SparkSession, d: str) -> DataFrame:
-    return prep.combine(sales(spark, d), trips(spark, d), loyalty(spark, d),
-                        joined=sales_trips(spark, d))
+    return prep.finished(by_transaction(spark, d)["sales_trips"].rows(), with_loyalty(spark, d))
 
 
 def derived(spark: SparkSession, d: str) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from farelens.operators import classify, kpis
-from farelens.plans.demand import demand_profile
+from farelens.plans.demand import CLASSES, attach_classes, classified_indicators
 from farelens.registry import oracle
 from farelens.registry.base import entry, rounded, sales, tickets
 from farelens.registry.preparation import ID, _ID
+from farelens.sources.stored import stored
 
 YEAR, BAND_YEAR = 1997, 2000
 
@@ -248,14 +249,21 @@ LEFT JOIN month_class USING (MES)
 LEFT JOIN occ_class USING (NOMBRE_DIA_CORRIDA, HORA_DECIMAL)"""
 
 
+def classified(spark, d):
+    """Tickets with all classes; the class tables are stored once per application."""
+    tables = {name: stored(f"classes-{name}", lambda s, x, name=name: classified_indicators(
+        tickets(s, x), "ANIO", YEAR, BAND_YEAR)[name], spark, d) for name in CLASSES}
+    return attach_classes(tickets(spark, d), tables)
+
+
 @entry("j04_attach_all_classes", f"""
 SELECT {_ID}, ANIO, MES, Clasif_asiento, Clasif_mes, Clasif_dia_venta, Clasif_hora_venta
 {CLASSED}""")
 def j04(spark, d):
     """The whole profile on every ticket, but for the lead-time label of ``m24``."""
-    df, _ = demand_profile(tickets(spark, d), "ANIO", YEAR, BAND_YEAR)
-    return longs(df.select(*ID, "ANIO", "MES", "Clasif_asiento", "Clasif_mes",
-                           "Clasif_dia_venta", "Clasif_hora_venta"), "ANIO", "MES")
+    return longs(classified(spark, d).select(
+        *ID, "ANIO", "MES", "Clasif_asiento", "Clasif_mes", "Clasif_dia_venta",
+        "Clasif_hora_venta"), "ANIO", "MES")
 
 
 @entry("o01_mixed_sort", """

@@ -13,7 +13,9 @@ from farelens.functions.fixed import CLUSTER_UPLIFT, PASSENGER_DISCOUNT
 from farelens.operators import prep
 from farelens.plans import datasets as S
 from farelens.registry import oracle
-from farelens.registry.base import combined, entry, loyalty, rounded, sales, tickets, trips
+from farelens.registry.base import (
+    by_trip, combined, entry, loyalty, rounded, sales, tickets, trips, with_loyalty,
+)
 from farelens.sources import extracts
 
 ID = ["OPERACION", "TRANSACCION", "NUM_ASIENTO", "CV_ASIGN"]
@@ -212,9 +214,7 @@ FROM joined LEFT JOIN (
     NUM_ASIENTO, EMAIL) AS EMAIL_KNOWN FROM joined WHERE EMAIL IS NOT NULL GROUP BY 1)
   USING (NOMBRE_PASAJERO)""")
 def p19(spark, d):
-    joined = prep.join_trips(sales(spark, d), prep.collapse_trips(trips(spark, d)))
-    full = prep.join_loyalty(joined, loyalty(spark, d), sales(spark, d))
-    return S.known_mail(full, sample=sales(spark, d)).select(*ID, "EMAIL")
+    return S.known_mail(with_loyalty(spark, d), sample=sales(spark, d)).select(*ID, "EMAIL")
 
 
 @entry("o07_keep_first", """
@@ -317,23 +317,23 @@ _LEG_REPLACE = ", ".join(f"round({c}, 2) AS {c}" for c in _LEG_ROUND)
 
 @entry("a01_trip_collapse", f"SELECT * REPLACE ({_LEG_REPLACE}) FROM legs")
 def a01(spark, d):
-    return rounded(prep.collapse_trips(trips(spark, d)), *_LEG_ROUND, digits=2)
+    found = by_trip(spark, d)["trips"].map(prep.collapse_trips).rows()
+    return rounded(found, *_LEG_ROUND, digits=2)
 
 
 @entry("j01_sales_with_trips", f"""
 SELECT {_ID}, ORIGEN_CORRIDA, EMPRESA, PAX_SUBEN, round(TARIFA_BASE_TRAMO, 2)
   AS TARIFA_BASE_TRAMO FROM sales_legs""")
 def j01(spark, d):
-    df = prep.join_trips(sales(spark, d), prep.collapse_trips(trips(spark, d)))
+    found = by_trip(spark, d)
+    df = prep.co_join_trips(found["sales"], found["trips"])
     return rounded(df.select(*ID, "ORIGEN_CORRIDA", "EMPRESA", "PAX_SUBEN", "TARIFA_BASE_TRAMO"),
                    "TARIFA_BASE_TRAMO", digits=2)
 
 
 @entry("j02_with_loyalty", f"SELECT {_ID}, TARJETA, EFECTIVO, EMAIL FROM joined")
 def j02(spark, d):
-    joined = prep.join_trips(sales(spark, d), prep.collapse_trips(trips(spark, d)))
-    return prep.join_loyalty(joined, loyalty(spark, d), sales(spark, d)).select(
-        *ID, "TARJETA", "EFECTIVO", "EMAIL")
+    return with_loyalty(spark, d).select(*ID, "TARJETA", "EFECTIVO", "EMAIL")
 
 
 _SET = [*ID, "EMAIL", "DESC_DESCUENTO", "PORCENT_PROMO", "DIAS_ANTICIPACION", "ORIGEN_DESTINO"]

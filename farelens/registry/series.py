@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from farelens.operators import kpis, series as S
 from farelens.registry import oracle
-from farelens.plans.demand import demand_profile
-from farelens.registry.base import entry, rounded, tickets
-from farelens.registry.indicators import BAND_YEAR, CLASSED, YEAR, scope
+from farelens.registry.base import entry, rounded
+from farelens.registry.indicators import CLASSED, classified, scope
 
 oracle.define("curves", """
 SELECT ORIGEN_DESTINO, DIAS_ANTICIPACION, CAST(sum(BOLETOS_VEND) AS BIGINT) AS BOLETOS_VEND
@@ -16,7 +15,7 @@ FROM kpi GROUP BY 1, 2 HAVING sum(BOLETOS_VEND) > 0""")
 
 
 def curves(spark, d):
-    return kpis.advance_curve(scope(spark, d), ["ORIGEN_DESTINO"]).select(
+    return kpis.advance_sums(scope(spark, d), ["ORIGEN_DESTINO"]).select(
         "ORIGEN_DESTINO", "DIAS_ANTICIPACION", "BOLETOS_VEND").where(F.col("BOLETOS_VEND") > 0)
 
 
@@ -131,8 +130,7 @@ SELECT Clasif_venta_anticip, Clasif_asiento, Clasif_mes, Clasif_dia_venta, Clasi
 LEFT JOIN lead_class USING (DIAS_ANTICIPACION) GROUP BY ALL""")
 def m24(spark, d):
     """Tickets by all demand classes, lead-time class included."""
-    df, _ = demand_profile(tickets(spark, d), "ANIO", YEAR, BAND_YEAR)
-    return df.groupBy("Clasif_venta_anticip", "Clasif_asiento", "Clasif_mes",
+    return classified(spark, d).groupBy("Clasif_venta_anticip", "Clasif_asiento", "Clasif_mes",
                       "Clasif_dia_venta", "Clasif_hora_venta").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("VENTA"), 2).alias("VENTA"))
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from farelens.operators.joins import Bucketed, hot_keys, hot_share
 from farelens.session import scratch_path
 from farelens.sources.readers import write_table
 
@@ -30,6 +31,42 @@ def stored(name: str, build: Callable[[SparkSession, str], DataFrame], spark: Sp
     return spark.read.schema(schema).parquet(path)
 
 
+_BUCKETED: dict[tuple, Bucketed] = {}
+
+
+def stored_buckets(builds: dict[str, Callable[[SparkSession, str], DataFrame]],
+                   keys: tuple[str, ...], spark: SparkSession, d: str) -> dict[str, Bucketed]:
+    """Tables that are joined on ``keys``, written once per application in the same buckets.
+
+    A key that is hot in any of them goes to the plain part of all of them.  The hot keys are at
+    most ``1 / hot_share`` hashes for each table.
+    """
+    names = {name: (name, spark.sparkContext.applicationId, d) for name in builds}
+    if any(key not in _BUCKETED for key in names.values()):
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        frames = {name: build(spark, d) for name, build in builds.items()}
+        hot = sorted({k for frame in frames.values() for k in spark.range(1).select(F.map_keys(
+            hot_keys(frame, keys, hot_share(buckets)))).first()[0]})
+        for name, frame in frames.items():
+            _BUCKETED[names[name]] = _written(spark, name, frame, keys, buckets, hot)
+    return {name: _BUCKETED[key] for name, key in names.items()}
+
+
+def _written(spark: SparkSession, name: str, frame: DataFrame, keys: tuple[str, ...],
+             buckets: int, hot: list[int]) -> Bucketed:
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    is_hot = F.xxhash64(*keys).isin(hot) if hot else F.lit(False)
+    # One task per bucket, hence one file.
+    frame.where(~is_hot).repartition(buckets, *keys).write.format("parquet").bucketBy(
+        buckets, *keys).option("path", path).saveAsTable(table)
+    if not hot:
+        return Bucketed(keys, spark.table(table))
+    apart = scratch_path(spark, f"{name}-hot")
+    write_table(frame.where(is_hot).hint("rebalance"), apart)
+    return Bucketed(keys, spark.table(table), spark.read.schema(frame.schema).parquet(apart))
+
+
 _SAVED: dict[tuple, str] = {}
 
 
