@@ -81,3 +81,26 @@ def scenario(df: DataFrame, response: str = "elasticity") -> DataFrame:
 def route_minimum(df: DataFrame, name: str) -> DataFrame:
     """Worst value of each route."""
     return df.groupBy("ORIGEN_DESTINO").agg(F.min(name).alias(name))
+
+
+# Columns of the per-ticket summary, without those that identify the ticket.
+SUMMARY = ["NOMBRE_PASAJERO", "FECHA_CORRIDA", "HORA_SALIDA_CORRIDA", "TIPO_PASAJERO",
+           "ORIGEN_DESTINO", "EMAIL", "Cluster", "TARIFA_DINAMICA", "Aumento", "VentaD_final"]
+
+
+def report_tables(priced: DataFrame, calendar: DataFrame, response: str = "elasticity",
+                  keep: Sequence[str] = ASSIGNED_TICKET) -> dict[str, DataFrame]:
+    """The five report tables by name, from priced tickets and the elasticity calendar.
+
+    ``priced`` is the outcome of ``final_fare``; the ticket summary has those of its columns
+    that there are, ``keep`` in front.
+    """
+    compared = scenario(by_calendar_day(route_day_compare(priced), calendar), response)
+    columns = [*keep, *[c for c in SUMMARY if c not in keep]]
+    return {
+        "calendario": calendar.select("ORIGEN_DESTINO", "FECHA_CORRIDA", "ELASTICIDADES"),
+        "resumen_boletos": priced.select(*[c for c in columns if c in priced.columns]),
+        "comparacion_ruta_dia": compared,
+        "minimo_ingreso_ruta": route_minimum(compared, "PCT_dP_Estimado"),
+        "minimo_boletos_ruta": route_minimum(compared, "PCT_dQ_Estimado"),
+    }

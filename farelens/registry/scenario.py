@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from farelens import bindings as B
 from farelens.functions.columns import lookup
 from farelens.functions.fixed import CLUSTER_UPLIFT
 from farelens.operators import customers as C, elasticity as E
@@ -14,6 +15,8 @@ from farelens.registry.customers import CATEGORIES, _classified
 from farelens.registry.fares import quotes
 from farelens.registry.preparation import ID, _DISCOUNTS, _ID, _UPLIFTS
 from farelens.session import materialise
+from farelens.sources.reports import publish, read_report
+from farelens.sources.stored import saved
 
 # The fixed stand-ins: a fare from the base fare, a cluster from the operation number.
 oracle.define("aligned", f"""
@@ -119,6 +122,69 @@ def a26(spark, d):
     return rounded(worst, "PCT_dP_Estimado", "PCT_dQ_Estimado")
 
 
+def _publish(spark, d, root):
+    """All five report tables, in two publications of half the routes each."""
+    df = tickets(spark, d)
+    texts = S.sold(df).select(*ID, "NOMBRE_PASAJERO", "HORA_SALIDA_CORRIDA", "EMAIL")
+    priced = materialise(P.final_fare(aligned(spark, d)).join(texts, list(ID)))
+    calendar = materialise(E.forward_calendar(E.route_day_elasticity(S.elasticity_set(df))))
+    routes = sorted("-".join(r) for r in B.ROUTES)
+    for part in (routes[::2], routes[1::2]):
+        here = F.col("ORIGEN_DESTINO").isin(part)
+        publish(P.report_tables(priced.where(here), calendar.where(here), keep=ID), root, part)
+
+
+def report(spark, d, table):
+    return read_report(spark, saved("report", _publish, spark, d), table)
+
+
+@entry("s08_calendar_report", """
+SELECT ORIGEN_DESTINO, FECHA_CORRIDA, round(ELASTICIDADES, 8) AS ELASTICIDADES FROM calendar""")
+def s08_calendar(spark, d):
+    """The elasticity calendar, published and read back."""
+    return rounded(report(spark, d, "calendario"), "ELASTICIDADES", digits=8)
+
+
+@entry("s08_ticket_report", f"""
+SELECT {_ID}, NOMBRE_PASAJERO, FECHA_CORRIDA, HORA_SALIDA_CORRIDA, TIPO_PASAJERO, ORIGEN_DESTINO,
+  EMAIL, "Cluster", round(TARIFA_DINAMICA, 6) AS TARIFA_DINAMICA, "Aumento",
+  round(VentaD_final, 6) AS VentaD_final
+FROM priced JOIN (SELECT {_ID}, NOMBRE_PASAJERO, HORA_SALIDA_CORRIDA, EMAIL FROM fare_sold)
+  USING ({_ID})""")
+def s08_tickets(spark, d):
+    """The per-ticket summary, published and read back."""
+    return rounded(report(spark, d, "resumen_boletos"), "TARIFA_DINAMICA", "VentaD_final")
+
+
+@entry("s08_route_day_report", f"""
+SELECT ORIGEN_DESTINO, FECHA_CORRIDA, BOLETOS_VEND, round(VENTA, 2) AS VENTA,
+  round(VentaD_final, 4) AS VentaD_final, round(PCT_dP, 8) AS PCT_dP, round(Elast, 8) AS Elast,
+  {", ".join(f"round({c}, 6) AS {c}" for c in _RESPONSE)} FROM responded""")
+def s08_route_days(spark, d):
+    """The route-day comparison, published and read back."""
+    df = report(spark, d, "comparacion_ruta_dia").select(
+        "ORIGEN_DESTINO", "FECHA_CORRIDA", "BOLETOS_VEND", "VENTA", "VentaD_final", "PCT_dP",
+        "Elast", *_RESPONSE)
+    df = rounded(rounded(df, "VENTA", digits=2), "VentaD_final", digits=4)
+    return rounded(rounded(df, "PCT_dP", "Elast", digits=8), *_RESPONSE)
+
+
+@entry("s08_income_minimum_report", """
+SELECT ORIGEN_DESTINO, round(min(PCT_dP_Estimado), 6) AS PCT_dP_Estimado
+FROM responded GROUP BY 1""")
+def s08_income_minimum(spark, d):
+    """The least income growth of each route, published and read back."""
+    return rounded(report(spark, d, "minimo_ingreso_ruta"), "PCT_dP_Estimado")
+
+
+@entry("s08_ticket_minimum_report", """
+SELECT ORIGEN_DESTINO, round(min(PCT_dQ_Estimado), 6) AS PCT_dQ_Estimado
+FROM responded GROUP BY 1""")
+def s08_ticket_minimum(spark, d):
+    """The least ticket growth of each route, published and read back."""
+    return rounded(report(spark, d, "minimo_boletos_ruta"), "PCT_dQ_Estimado")
+
+
 @entry("s08_scenario_report")
 def scenario_report(spark, d):
     """The whole flow: quoted fares, predicted clusters, final fares, demand response."""
