@@ -7,17 +7,19 @@ short however many tickets stand behind it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import GaussianMixture
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from farelens.functions.columns import lookup
 from farelens.functions.fixed import ADVANCE_CLASSES
+from farelens.operators.selection import order_statistics
+from farelens.session import materialise
 
 # Weights of the quadratic least-squares fit over seven points: value at the centre, and
 # values at the first three points (mirrored for the last three).
@@ -206,17 +208,78 @@ def change_points(df: DataFrame, series: Sequence[str], order: str, value: str,
     return df.groupBy(*series).applyInPandas(label, out)
 
 
-def mixture_labels(df: DataFrame, value: str, k: int = 3, seed: int = 42,
-                   restarts: int = 4) -> DataFrame:
-    """Gaussian-mixture component of each value, fitted by Spark ML.
+@dataclass(frozen=True)
+class Mixture:
+    """Weight, mean and deviation of every component, by mean."""
 
-    The fit starts from random rows, so it is repeated from ``restarts`` seeds and the
-    most likely model is kept.
+    weights: tuple[float, ...]
+    means: tuple[float, ...]
+    spreads: tuple[float, ...]
+
+    def densities(self, value: Column) -> list[Column]:
+        """Weighted density of each component, without the factor they all share."""
+        return [F.lit(w / s) * F.exp(-((value - m) * (value - m)) / (2.0 * s * s))
+                for w, m, s in zip(self.weights, self.means, self.spreads)]
+
+
+def fit_mixture(df: DataFrame, value: str, k: int = 3, rounds: int = 60,
+                tolerance: float = 1e-10) -> tuple[Mixture, float]:
+    """Gaussian mixture of the known values by expectation-maximisation, and its likelihood.
+
+    The rows are first counted by value, and every round is one aggregate over the counts.
+    The fit starts from the quantiles (2i + 1) / 2k with the deviation of all values over k, so
+    that it is the same every time.  A deviation stays above a millionth of that of all values.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(
+        F.count(F.lit(1)).alias("n"))
+    counts = materialise(counts)
+    starts = order_statistics(counts, [], "v", lambda n: F.array_distinct(F.array(
+        *[F.floor(n * (2 * i + 1) / (2 * k)) for i in range(k)])))
+    found = sorted((r["rank"], r["v"]) for r in starts.collect())
+    n, deviation = counts.agg(F.sum("n"), F.sqrt(
+        F.sum(F.col("n") * F.col("v") * F.col("v")) / F.sum("n")
+        - F.pow(F.sum(F.col("n") * F.col("v")) / F.sum("n"), 2))).first()
+    if not found:
+        raise ValueError("there are no values to fit")
+    least = max(deviation or 0.0, 1e-9) * 1e-6
+    means = [found[min(i, len(found) - 1)][1] for i in range(k)]
+    model = Mixture((1.0 / k,) * k, tuple(means), (max((deviation or 0.0) / k, least),) * k)
+    before = -math.inf
+    for _ in range(rounds):
+        parts = model.densities(F.col("v"))
+        whole = sum(parts[1:], parts[0])
+        # Far from every component all densities vanish; such a value has none of them.
+        shares = [F.coalesce(F.try_divide(x, whole), F.lit(0.0)) * F.col("n") for x in parts]
+        row = counts.agg(
+            F.sum(F.col("n") * F.ln(F.greatest(whole, F.lit(1e-300)))).alias("likelihood"),
+            *[F.sum(r).alias(f"w{i}") for i, r in enumerate(shares)],
+            *[F.sum(r * F.col("v")).alias(f"s{i}") for i, r in enumerate(shares)],
+            *[F.sum(r * F.pow(F.col("v") - F.lit(m), 2)).alias(f"q{i}")
+              for i, (r, m) in enumerate(zip(shares, model.means))]).first()
+        likelihood = row["likelihood"] - n * 0.5 * math.log(2 * math.pi)
+        if likelihood - before <= tolerance * abs(likelihood):
+            break
+        before = likelihood
+        fitted = []
+        for i in range(k):
+            weight = row[f"w{i}"]
+            if weight < 1e-12:
+                fitted.append((1e-12, model.means[i], model.spreads[i]))
+                continue
+            mean = row[f"s{i}"] / weight
+            around = row[f"q{i}"] / weight - (mean - model.means[i]) ** 2
+            fitted.append((weight / n, mean, max(math.sqrt(max(around, 0.0)), least)))
+        fitted.sort(key=lambda x: x[1])
+        model = Mixture(*map(tuple, zip(*fitted)))
+    return model, before
+
+
+def mixture_labels(df: DataFrame, value: str, k: int = 3, rounds: int = 60) -> DataFrame:
+    """Gaussian-mixture component of each value, 0 the one of lowest mean.
+
+    The fit is ``fit_mixture``; rows without a value are left out.
     """
-    rows = VectorAssembler(inputCols=[value], outputCol="__v", handleInvalid="skip").transform(df)
-    rows = rows.persist()
-    learner = GaussianMixture(featuresCol="__v", predictionCol="Segmento_GMM", k=k, maxIter=50)
-    models = [learner.copy({learner.seed: seed + i}).fit(rows) for i in range(restarts)]
-    rows.unpersist()
-    best = max(models, key=lambda m: m.summary.logLikelihood)
-    return best.transform(rows).drop("__v", "probability")
+    model, _ = fit_mixture(df, value, k, rounds)
+    parts = F.array(*model.densities(F.col(value).cast("double")))
+    best = F.array_position(parts, F.array_max(parts)) - 1
+    return df.where(F.col(value).isNotNull()).withColumn("Segmento_GMM", best.cast("int"))

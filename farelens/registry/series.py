@@ -8,15 +8,17 @@ from farelens.operators import kpis, series as S
 from farelens.registry import oracle
 from farelens.registry.base import entry, rounded
 from farelens.registry.indicators import CLASSED, classified, scope
+from farelens.session import materialise
 
 oracle.define("curves", """
 SELECT ORIGEN_DESTINO, DIAS_ANTICIPACION, CAST(sum(BOLETOS_VEND) AS BIGINT) AS BOLETOS_VEND
-FROM kpi GROUP BY 1, 2 HAVING sum(BOLETOS_VEND) > 0""")
+FROM kpi GROUP BY 1, 2""")
 
 
 def curves(spark, d):
+    """Tickets by route and lead day; on some days all of them were cancelled."""
     return kpis.advance_sums(scope(spark, d), ["ORIGEN_DESTINO"]).select(
-        "ORIGEN_DESTINO", "DIAS_ANTICIPACION", "BOLETOS_VEND").where(F.col("BOLETOS_VEND") > 0)
+        "ORIGEN_DESTINO", "DIAS_ANTICIPACION", "BOLETOS_VEND")
 
 
 @entry("w06_three_point_smoother", """
@@ -52,7 +54,10 @@ FROM (
       ELSE list_dot_product(y[k-3:k+3], [-2,3,6,7,6,3,-2]::DOUBLE[]) / 21 END) AS f
   FROM (SELECT ORIGEN_DESTINO, count(*) AS n, list(DIAS_ANTICIPACION ORDER BY DIAS_ANTICIPACION) AS xs,
       list(BOLETOS_VEND ORDER BY DIAS_ANTICIPACION) AS vs,
-      list(ln(BOLETOS_VEND) ORDER BY DIAS_ANTICIPACION) AS y FROM {table} GROUP BY 1))"""
+      list(ln(BOLETOS_VEND) ORDER BY DIAS_ANTICIPACION) AS y
+    FROM {table} WHERE BOLETOS_VEND > 0 GROUP BY 1))
+UNION ALL SELECT ORIGEN_DESTINO, DIAS_ANTICIPACION, BOLETOS_VEND, BOLETOS_VEND::DOUBLE
+FROM {table} WHERE BOLETOS_VEND <= 0"""
 
 
 def _segments(table: str) -> str:
@@ -100,7 +105,7 @@ oracle.define("smoothed", _smoothed("curves"))
 oracle.define("segments", _segments("smoothed"))
 oracle.define("whole_curve", """
 SELECT '' AS ORIGEN_DESTINO, DIAS_ANTICIPACION, CAST(sum(BOLETOS_VEND) AS BIGINT) AS BOLETOS_VEND
-FROM kpi WHERE DIAS_ANTICIPACION >= 0 GROUP BY 2 HAVING sum(BOLETOS_VEND) > 0""")
+FROM kpi WHERE DIAS_ANTICIPACION >= 0 GROUP BY 2""")
 oracle.define("whole_smooth", _smoothed("whole_curve"))
 oracle.define("lead_class", _segments("whole_smooth"))
 
@@ -143,8 +148,41 @@ def w09(spark, d):
                                    "BOLETOS_VEND_SMOOTH"), "BOLETOS_VEND_SMOOTH")
 
 
-@entry("w10_mixture_labels")
+# One round of expectation-maximisation from three components (weight, mean, deviation).
+_PART = "w / s * exp(-(v - m) * (v - m) / (2.0::DOUBLE * s * s))"
+
+
+oracle.define("mixture", f"""
+WITH RECURSIVE vals AS (
+  SELECT BOLETOS_VEND_SMOOTH AS v, count(*)::DOUBLE AS n FROM smoothed GROUP BY 1
+), sorted AS (
+  SELECT BOLETOS_VEND_SMOOTH AS v, row_number() OVER (ORDER BY BOLETOS_VEND_SMOOTH) - 1 AS i,
+    count(*) OVER () AS n FROM smoothed
+), start AS (
+  SELECT k, (SELECT min(v) FROM sorted WHERE i = n * (2 * k + 1) // 6) AS m,
+    (SELECT sqrt(sum(n * v * v) / sum(n) - (sum(n * v) / sum(n)) ** 2) FROM vals) AS all_s
+  FROM range(3) AS t(k)
+), em AS (
+  SELECT 0 AS round, k, 1 / 3.0::DOUBLE AS w, m, all_s / 3 AS s, all_s FROM start
+  UNION ALL
+  SELECT round + 1, k, sum(r) / (SELECT sum(n) FROM vals), sum(r * v) / sum(r),
+    greatest(sqrt(greatest(sum(r * (v - m) * (v - m)) / sum(r)
+      - (sum(r * v) / sum(r) - m) ** 2, 0)), all_s * 1e-6), all_s
+  FROM (SELECT *, n * p / sum(p) OVER (PARTITION BY v) AS r
+        FROM (SELECT *, {_PART} AS p FROM em, vals WHERE round < 30))
+  GROUP BY round, k, m, all_s
+), last AS (SELECT * FROM em WHERE round = 30
+), ranked AS (SELECT w, m, s, row_number() OVER (ORDER BY m) - 1 AS k FROM last
+), labels AS (SELECT v, arg_max(k, p) AS k FROM (SELECT v, k, {_PART} AS p FROM ranked, vals)
+  GROUP BY v)
+SELECT ORIGEN_DESTINO, DIAS_ANTICIPACION, BOLETOS_VEND,
+  round(BOLETOS_VEND_SMOOTH, 6) AS BOLETOS_VEND_SMOOTH, CAST(k AS INTEGER) AS Segmento_GMM
+FROM smoothed JOIN labels ON v = BOLETOS_VEND_SMOOTH""")
+
+
+@entry("w10_mixture_labels", "SELECT * FROM mixture")
 def w10(spark, d):
     """Mixture components of the smoothed demand of all routes and lead days."""
-    smooth = S.smooth_log(curves(spark, d), ["ORIGEN_DESTINO"])
-    return rounded(S.mixture_labels(smooth, "BOLETOS_VEND_SMOOTH"), "BOLETOS_VEND_SMOOTH")
+    smooth = materialise(S.smooth_log(curves(spark, d), ["ORIGEN_DESTINO"]))
+    return rounded(S.mixture_labels(smooth, "BOLETOS_VEND_SMOOTH", rounds=30),
+                   "BOLETOS_VEND_SMOOTH")

@@ -4,6 +4,8 @@ import itertools
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import GaussianMixture
+from pyspark.ml.feature import VectorAssembler
 
 from farelens.operators import series as S
 
@@ -66,24 +68,28 @@ def test_rows_without_a_log_stay(spark):
     assert len(values) == 9 and values[1] == 0.0
 
 
-def slow_segments(x, y, most, rmse0=1.25, r2_0=0.9875):
-    """The greedy rule written out with ordinary line fits."""
-    labels, start, seg, n = [None] * len(x), 0, 1, len(x)
-    while start < n and seg <= most:
-        end = n if seg == most else None
-        for stop in range(n, start + (3 if seg <= 2 else 7) - 1, -1) if end is None else ():
-            xs, ys = x[start:stop], y[start:stop]
-            fit = np.polyval(np.polyfit(xs, ys, 1), xs)
-            rmse = np.sqrt(np.mean((ys - fit) ** 2)) / ys.mean() * 100
-            r2 = 1 - np.sum((ys - fit) ** 2) / np.sum((ys - ys.mean()) ** 2)
-            up, down = (0.25, 0.025) if seg < 3 else (1.0, 0.1)
-            if rmse <= rmse0 + (seg - 1) * up and r2 >= r2_0 - (seg - 1) * down:
-                end = stop
-                break
+def line(x, y):
+    """Relative error in percent and R2 of the line through some points."""
+    off = y - np.polyval(np.polyfit(x, y, 1), x)
+    return np.sqrt(np.mean(off ** 2)) / y.mean() * 100, 1 - (off @ off) / np.var(y) / len(y)
+
+
+def farthest_ends(x, y, most):
+    """Segments by the rule: all stretches are rated, each start has its farthest good end."""
+    n = len(x)
+    rated = {(a, b): line(x[a:b], y[a:b]) for a in range(n) for b in range(a + 3, n + 1)}
+    limits = {1: (3, 1.25, 0.9875), 2: (3, 1.5, 0.9625), 3: (7, 3.25, 0.7875)}
+    ends = {(a, k): max((b for (s, b), (rmse, r2) in rated.items() if s == a and b - a >= least
+                         and rmse <= error and r2 >= fit), default=None)
+            for k, (least, error, fit) in limits.items() for a in range(n)}
+    ends.update({(a, most): n for a in range(n)})
+    labels, at = [None] * n, 0
+    for k in range(1, most + 1):
+        end = ends.get((at, k))
         if end is None:
             break
-        labels[start:end] = [seg] * (end - start)
-        start, seg = end, seg + 1
+        labels[at:end] = [k] * (end - at)
+        at = end
     return labels
 
 
@@ -95,7 +101,7 @@ def test_decay_segments_follow_the_rule(spark, seed):
     log = log + rng.normal(0, 0.02 * seed, 60)
     df = curve(spark, np.exp(log)).withColumnRenamed("BOLETOS_VEND", "y")
     got = S.decay_segments(df, ["serie"], y="y", max_segments=4)
-    assert ordered(got, "Clasif_venta_anticip_code") == slow_segments(x, log, 4)
+    assert ordered(got, "Clasif_venta_anticip_code") == farthest_ends(x, log, 4)
 
 
 def test_planted_segments_and_classes(spark):
@@ -135,7 +141,28 @@ def test_mixture_separates_planted_levels(spark):
     y = np.concatenate([rng.normal(m, 0.2, 60) for m in (1, 10, 30)])
     got = S.mixture_labels(curve(spark, y), "BOLETOS_VEND")
     labels = ordered(got, "Segmento_GMM")
-    assert len({tuple(set(labels[i:i + 60])) for i in (0, 60, 120)}) == 3
+    assert labels == [0] * 60 + [1] * 60 + [2] * 60
+    again = S.mixture_labels(curve(spark, y).repartition(3), "BOLETOS_VEND")
+    assert ordered(again, "Segmento_GMM") == labels
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mixture_is_as_likely_as_the_best_of_random_starts(spark, seed):
+    rng = np.random.default_rng(seed)
+    y = np.concatenate([rng.normal(2, 0.5, 80), rng.normal(5, 1, 60), rng.normal(9, 0.7, 90)])
+    df = curve(spark, y.round(1))
+    _, found = S.fit_mixture(df, "BOLETOS_VEND", rounds=200)
+    rows = VectorAssembler(inputCols=["BOLETOS_VEND"], outputCol="v").transform(df)
+    best = max(GaussianMixture(featuresCol="v", k=3, seed=i, maxIter=60).fit(
+        rows).summary.logLikelihood for i in range(3))
+    assert found >= best - 0.05
+
+
+def test_mixture_of_few_or_no_values(spark):
+    assert set(ordered(S.mixture_labels(curve(spark, [4, 4, 4]), "BOLETOS_VEND"),
+                       "Segmento_GMM")) == {0}
+    with pytest.raises(ValueError, match="no values"):
+        S.fit_mixture(curve(spark, []), "BOLETOS_VEND")
 
 
 def test_a_day_without_sales_leaves_the_other_labels(spark):
