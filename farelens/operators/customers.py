@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,6 +16,7 @@ from farelens.operators.boosting import BoostedClasses, fit_boosted
 from farelens.operators.features import min_max, one_hot
 from farelens.operators.joins import spread_join
 from farelens.operators.prep import TICKET
+from farelens.operators.silhouette import silhouette, with_cells
 from farelens.session import materialise
 
 METRICS = [
@@ -270,14 +270,14 @@ def prepare_clusters(features: DataFrame, cols: Sequence[str],
     return materialise(_assembled(min_max(reduced, cols), cols).select("EMAIL", "__x"))
 
 
-def choose_k(prepared: DataFrame, ks: Sequence[int] = tuple(range(2, 11)),
-             seed: int = 42) -> list[tuple[int, float]]:
-    """Silhouette (squared Euclidean) of k-means for each k."""
-    rate = ClusteringEvaluator(featuresCol="__x", predictionCol="Cluster")
+def choose_k(prepared: DataFrame, ks: Sequence[int] = tuple(range(2, 11)), seed: int = 42,
+             cells: int = 256) -> list[tuple[int, float, float]]:
+    """Euclidean silhouette of k-means for each k, and a bound of its error."""
+    points = with_cells(prepared, "__x", cells, seed)
     found = []
     for k in ks:
-        model = KMeans(k=k, seed=seed, featuresCol="__x", predictionCol="Cluster").fit(prepared)
-        found.append((k, rate.evaluate(model.transform(prepared))))
+        model = KMeans(k=k, seed=seed, featuresCol="__x", predictionCol="Cluster").fit(points)
+        found.append((k, *silhouette(model.transform(points), "__x")))
     return found
 
 

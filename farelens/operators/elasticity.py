@@ -212,9 +212,8 @@ def loglog_design(days: DataFrame, price: str = "PRECIO_AJUST",
     return logs, names
 
 
-def adjusted_days(df: DataFrame, method: str, base_year: int) -> DataFrame:
-    """Daily base with the price each adjustment method works on."""
-    days = daily_base(df)
+def adjusted_days(days: DataFrame, method: str, base_year: int) -> DataFrame:
+    """A ``daily_base`` with the price each adjustment method works on."""
     if method == "year_fe":
         return days.withColumn("PRECIO_AJUST", F.col("Costo_Prom_Boleto"))
     if method == "tarifa_base":
@@ -224,23 +223,26 @@ def adjusted_days(df: DataFrame, method: str, base_year: int) -> DataFrame:
     raise ValueError("method must be 'year_fe', 'tarifa_base' or 'interno'")
 
 
-def price_elasticity(df: DataFrame, method: str = "year_fe", base_year: int = 2025,
+def price_elasticity(days: DataFrame, method: str = "year_fe", base_year: int = 2025,
                      by_year: bool = True, years: Sequence[int] | None = None) -> DataFrame:
-    """Log-log price elasticity over all days, and by year, with 95 percent intervals.
+    """Log-log price elasticity over all days, and by year, with 95 percent intervals and
+    plain and robust errors.
 
-    The year effects need the list of years; unless given it is read from the frame.
+    ``days`` is a ``daily_base``, best a stored one, as it is read several times.  The year
+    effects need the list of years; unless given it is read from the frame.
     """
-    days = adjusted_days(df, method, base_year)
+    adjusted = adjusted_days(days, method, base_year)
     if method == "year_fe" and years is None:
-        years = sorted(r[0] for r in df.select("ANIO").distinct().dropna().collect())
-    pooled, names = loglog_design(days, years=years if method == "year_fe" else ())
-    found = ols(pooled, "ln_Q", names).withColumn("ANIO", F.lit(None).cast("int"))
+        years = sorted(r[0] for r in days.select("ANIO").distinct().dropna().collect())
+    pooled, names = loglog_design(adjusted, years=years if method == "year_fe" else ())
+    found = ols(pooled, "ln_Q", names, robust=True).withColumn("ANIO", F.lit(None).cast("int"))
     if by_year:
-        single, names = loglog_design(days)
-        found = found.unionByName(ols(single, "ln_Q", names, ["ANIO"]))
+        single, names = loglog_design(adjusted)
+        found = found.unionByName(ols(single, "ln_Q", names, ["ANIO"], robust=True))
     return found.where(F.col("term") == "ln_P").select(
         F.lit(method).alias("metodo"), "ANIO", F.col("coef").alias("elasticidad"),
-        "ci_low", "ci_high", F.col("r2_adj").alias("R2_ajustado"), "n")
+        "ci_low", "ci_high", F.col("std_err").alias("error"),
+        F.col("std_err_robust").alias("error_robusto"), F.col("r2_adj").alias("R2_ajustado"), "n")
 
 
 def loglog_slope(days: DataFrame, group: Sequence[str] = ("ANIO",)) -> DataFrame:

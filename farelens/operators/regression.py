@@ -65,54 +65,106 @@ def gram(df: DataFrame, y: str, x: Sequence[str], group: Sequence[str] = ()) ->
     return numbers.groupBy(*group).agg(*products)
 
 
+def _square(row: dict, prefix: str, size: int) -> np.ndarray:
+    """The symmetric matrix whose upper half a row holds."""
+    full = np.zeros((size, size))
+    for i, j in combinations_with_replacement(range(size), 2):
+        value = row[f"{prefix}_{i}_{j}"]
+        full[i, j] = full[j, i] = np.nan if value is None else value
+    return full
+
+
+def _solved(row: dict, p: int) -> dict | None:
+    """Coefficients and what their errors need from one row of ``gram``."""
+    full = _square(row, "g", p + 1)
+    n = full[0, 0]
+    if not np.isfinite(full).all() or n < 1:
+        return None
+    scale = np.sqrt(np.where(np.diag(full)[:p] > 0, np.diag(full)[:p], 1.0))
+    xx, xy, yy = full[:p, :p] / np.outer(scale, scale), full[:p, p] / scale, full[p, p]
+    rank = int(np.linalg.matrix_rank(xx, tol=1e-10, hermitian=True))
+    if n <= rank:
+        return None
+    inverse = np.linalg.pinv(xx, rcond=1e-10, hermitian=True)
+    beta = inverse @ xy
+    return {"n": n, "rank": rank, "beta": beta / scale,
+            "inverse": inverse / np.outer(scale, scale),
+            "residual": max(yy - float(beta @ xy), 0.0), "total": yy - full[0, p] ** 2 / n}
+
+
+def _squared_errors(df: DataFrame, sums: DataFrame, y: str, x: Sequence[str],
+                    group: Sequence[str]) -> DataFrame:
+    """``sums`` with the sums of products of (1, x..) weighted by the squared residual.
+
+    A second pass over the rows, with each group's coefficients as one array.
+    """
+    p = len(x) + 1
+    keys = [sums.schema[g] for g in group]
+    out = T.StructType([*keys, T.StructField("__beta", T.ArrayType(T.DoubleType()))])
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = [(row, _solved(row, p)) for row in pdf.to_dict("records")]
+        return pd.DataFrame([{**{g: row[g] for g in group}, "__beta": fit["beta"].tolist()}
+                             for row, fit in rows if fit], columns=out.names)
+
+    betas = sums.mapInPandas(lambda frames: map(solve, frames), out)
+    rows = df.dropna(subset=[*x, y, *group])
+    rows = rows.join(betas, list(group)) if group else rows.withColumn("__beta", betas.scalar())
+    columns = [F.lit(1.0), *[F.col(c).cast("double") for c in x]]
+    fitted = sum((F.col("__beta")[i] * c for i, c in enumerate(columns[1:], 1)),
+                 F.col("__beta")[0])
+    squared = rows.withColumn("__e2", F.pow(F.col(y).cast("double") - fitted, 2))
+    meat = squared.groupBy(*group).agg(*[
+        F.sum(F.col("__e2") * columns[i] * columns[j]).alias(f"m_{i}_{j}")
+        for i, j in combinations_with_replacement(range(p), 2)])
+    if group:
+        return sums.join(meat, list(group))
+    return sums.withColumn("__m", meat.select(F.struct(*meat.columns)).scalar()).select(
+        *sums.columns, "__m.*")
+
+
 def ols(df: DataFrame, y: str, x: Sequence[str], group: Sequence[str] = (),
-        level: float = 0.95) -> DataFrame:
+        level: float = 0.95, robust: bool = False) -> DataFrame:
     """Ordinary least squares with a constant, one row per group and term.
 
     Columns that are combinations of others (dummies that sum to one, a category that
     does not occur) are handled by the pseudo-inverse; degrees of freedom follow the
-    rank.  Groups too small to fit give no rows.
+    rank.  Groups too small to fit give no rows.  ``robust`` adds ``std_err_robust``, the error
+    that allows for a different spread of every row (the sandwich estimator, times n / (n -
+    rank)), at the price of a second pass.
     """
     terms = ["const", *x]
     p = len(terms)
     keys = [df.schema[g] for g in group]
+    numbers = ["coef", "std_err", "ci_low", "ci_high", "r2", "r2_adj"]
     out = T.StructType(keys + [
         T.StructField("term", T.StringType()),
-        *[T.StructField(n, T.DoubleType()) for n in
-          ("coef", "std_err", "ci_low", "ci_high", "r2", "r2_adj")],
+        *[T.StructField(n, T.DoubleType()) for n in numbers + ["std_err_robust"] * robust],
         T.StructField("n", T.LongType()),
     ])
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         found = []
         for row in pdf.to_dict("records"):
-            full = np.zeros((p + 1, p + 1))
-            for i, j in combinations_with_replacement(range(p + 1), 2):
-                value = row[f"g_{i}_{j}"]
-                full[i, j] = full[j, i] = np.nan if value is None else value
-            n = full[0, 0]
-            if not np.isfinite(full).all() or n < 1:
-                continue
-            scale = np.sqrt(np.where(np.diag(full)[:p] > 0, np.diag(full)[:p], 1.0))
-            xx, xy, yy = full[:p, :p] / np.outer(scale, scale), full[:p, p] / scale, full[p, p]
-            rank = int(np.linalg.matrix_rank(xx, tol=1e-10, hermitian=True))
-            if n <= rank:
+            fit = _solved(row, p)
+            if fit is None:
                 continue
-            inverse = np.linalg.pinv(xx, rcond=1e-10, hermitian=True)
-            beta = inverse @ xy
-            residual = max(yy - float(beta @ xy), 0.0)
-            total = yy - full[0, p] ** 2 / n
-            variance = residual / (n - rank)
-            error = np.sqrt(np.maximum(np.diag(inverse) * variance, 0.0)) / scale
-            beta = beta / scale
-            r2 = 1.0 - residual / total if total > 0 else float("nan")
-            reach = t_quantile(0.5 + level / 2.0, n - rank) * error
-            found.append(pd.DataFrame({
-                **{g: [row[g]] * p for g in group}, "term": terms, "coef": beta,
-                "std_err": error, "ci_low": beta - reach, "ci_high": beta + reach, "r2": r2,
-                "r2_adj": 1.0 - (1.0 - r2) * (n - 1.0) / (n - rank), "n": int(round(n)),
-            }))
+            n, free, inverse = fit["n"], fit["n"] - fit["rank"], fit["inverse"]
+            error = np.sqrt(np.maximum(np.diag(inverse) * fit["residual"] / free, 0.0))
+            r2 = 1.0 - fit["residual"] / fit["total"] if fit["total"] > 0 else float("nan")
+            reach = t_quantile(0.5 + level / 2.0, free) * error
+            part = {
+                **{g: [row[g]] * p for g in group}, "term": terms, "coef": fit["beta"],
+                "std_err": error, "ci_low": fit["beta"] - reach, "ci_high": fit["beta"] + reach,
+                "r2": r2, "r2_adj": 1.0 - (1.0 - r2) * (n - 1.0) / free}
+            if robust:
+                spread = inverse @ _square(row, "m", p) @ inverse * n / free
+                part["std_err_robust"] = np.sqrt(np.maximum(np.diag(spread), 0.0))
+            found.append(pd.DataFrame({**part, "n": int(round(n))}))
         return pd.concat(found) if found else pd.DataFrame(columns=out.names)
 
     # One row per group arrives here, whatever the number of observations behind it.
-    return gram(df, y, x, group).mapInPandas(lambda frames: map(solve, frames), out)
+    sums = gram(df, y, x, group)
+    if robust:
+        sums = _squared_errors(df, sums, y, x, group)
+    return sums.mapInPandas(lambda frames: map(solve, frames), out)

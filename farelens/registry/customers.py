@@ -227,9 +227,25 @@ def m13(spark, d):
 
 @entry("m14_choose_k")
 def m14(spark, d):
-    """Silhouette of 2 to 10 clusters."""
+    """Euclidean silhouette of 2 to 10 clusters, and how far off it can be."""
     found = C.choose_k(C.prepare_clusters(features(spark, d), COLUMNS))
-    return spark.createDataFrame(found, "k int, silhouette double")
+    return spark.createDataFrame(found, "k int, silueta double, cota double")
+
+
+@entry("m15_searched_clusters")
+def m15_searched(spark, d):
+    """Customers in the number of clusters that has the best silhouette."""
+    return C.cluster_customers(features(spark, d), COLUMNS, k=0).select(
+        "EMAIL", "SBol_Vend", "Prom_Pagado", "Cluster")
+
+
+@entry("m15_clusters_with_route_income")
+def m15_routes(spark, d):
+    """Customers clustered on the income per km and trips of their favourite route as well."""
+    found = materialise(C.customer_features_fik(train(spark, d), CATEGORIES))
+    columns = [*COLUMNS, "FIK_PROMEDIO", "TOTAL_VIAJES", "Destinos_unicos"]
+    return C.cluster_customers(found, columns).select(
+        "EMAIL", "SBol_Vend", "FIK_PROMEDIO", "ORIGEN_DESTINO", "Cluster")
 
 
 @entry("m15_cluster_customers")

@@ -9,6 +9,7 @@ from farelens.operators import elasticity as E
 from farelens.plans import datasets as S
 from farelens.registry import oracle
 from farelens.registry.base import entry, rounded, tickets
+from farelens.sources.stored import stored
 from farelens.registry.indicators import longs
 
 oracle.define("trip_mean", """
@@ -153,30 +154,98 @@ def e03(spark, d):
     return rounded(E.semilog_elasticity(grid, ["ORIGEN_DESTINO"]), "elasticidad", "r2_adj")
 
 
+def days(spark, d):
+    """The daily base, stored: every adjustment reads it, the deflators twice."""
+    return stored("daily_base", lambda s, x: E.daily_base(tickets(s, x)), spark, d)
+
+
+def _two_slopes(name: str, deflator: str, by: str) -> None:
+    """SQL of the price and lead-time slopes beside weekday effects (and a whole model for each
+    value of ``by``): the effects drop out when every column is taken less its weekday mean."""
+    oracle.define(name, f"""
+WITH logs AS (
+  SELECT {by} AS g, NOMBRE_DIA_CORRIDA AS w, ln(1 + Tot_Boletos) AS q,
+    ln(1 + Costo_Prom_Boleto / deflator) AS p, ln(1 + Dias_Anticip) AS a
+  FROM days LEFT JOIN {deflator} USING (ANIO)
+  WHERE Costo_Prom_Boleto / deflator > 0 AND Dias_Anticip > -1
+), free AS (
+  SELECT g, q - avg(q) OVER gw AS q, p - avg(p) OVER gw AS p, a - avg(a) OVER gw AS a,
+    q - avg(q) OVER (PARTITION BY g) AS whole, w
+  FROM logs WINDOW gw AS (PARTITION BY g, w)
+), sums AS (
+  SELECT g, count(*) AS n, count(DISTINCT w) + 2 AS rank, sum(p * p) AS pp, sum(a * a) AS aa,
+    sum(p * a) AS pa, sum(p * q) AS pq, sum(a * q) AS aq, sum(whole * whole) AS total
+  FROM free GROUP BY g
+), slopes AS (
+  SELECT *, pp * aa - pa * pa AS det, (aa * pq - pa * aq) / (pp * aa - pa * pa) AS bp,
+    (pp * aq - pa * pq) / (pp * aa - pa * pa) AS ba FROM sums
+), meat AS (
+  SELECT g, sum(e * e) AS rest, sum(e * e * p * p) AS mpp, sum(e * e * p * a) AS mpa,
+    sum(e * e * a * a) AS maa
+  FROM (SELECT f.*, f.q - bp * f.p - ba * f.a AS e
+        FROM free f JOIN slopes s ON f.g IS NOT DISTINCT FROM s.g) GROUP BY g
+)
+SELECT s.g, n, bp, ba, rest, sqrt(aa / det * rest / (n - rank)) AS se_p,
+  sqrt(pp / det * rest / (n - rank)) AS se_a,
+  sqrt((aa * aa * mpp - 2 * aa * pa * mpa + pa * pa * maa) / det / det * n / (n - rank)) AS hc_p,
+  sqrt((pa * pa * mpp - 2 * pp * pa * mpa + pp * pp * maa) / det / det * n / (n - rank)) AS hc_a,
+  1 - rest / total * (n - 1) / (n - rank) AS r2_adj
+FROM slopes s JOIN meat m ON s.g IS NOT DISTINCT FROM m.g""")
+
+
+_two_slopes("slopes_fare", "fare_defl", "NULL::INTEGER")
+_two_slopes("slopes_stable", "stable_defl", "NULL::INTEGER")
+_two_slopes("slopes_by_year", "fare_defl", "ANIO")
+_ERRORS = ["elasticidad", "error", "error_robusto", "R2_ajustado"]
+_FOUND = """bp, 6) AS elasticidad, round(se_p, 6) AS error, round(hc_p, 6) AS error_robusto,
+  round(r2_adj, 6) AS R2_ajustado, n"""
+
+
 @entry("e04_loglog_fit")
 def e04(spark, d):
-    """All terms of the log-log model with weekday controls."""
-    days = E.adjusted_days(tickets(spark, d), "tarifa_base", BASE_YEAR)
-    design, names = E.loglog_design(days)
-    return rounded(E.ols(design, "ln_Q", names), "coef", "std_err", "ci_low", "ci_high", "r2",
-                   "r2_adj")
+    """All terms of the log-log model with weekday controls, with both kinds of errors."""
+    design, names = E.loglog_design(E.adjusted_days(days(spark, d), "tarifa_base", BASE_YEAR))
+    return rounded(E.ols(design, "ln_Q", names, robust=True), "coef", "std_err", "ci_low",
+                   "ci_high", "std_err_robust", "r2", "r2_adj")
+
+
+@entry("e04_price_and_lead", """
+SELECT 'ln_P' AS term, round(bp, 6) AS coef, round(se_p, 6) AS std_err,
+  round(hc_p, 6) AS std_err_robust, round(r2_adj, 6) AS r2_adj, n FROM slopes_fare
+UNION ALL SELECT 'ln_Anticip', round(ba, 6), round(se_a, 6), round(hc_a, 6), round(r2_adj, 6), n
+FROM slopes_fare""")
+def e04_slopes(spark, d):
+    """Slopes of the same model, and their errors."""
+    return e04(spark, d).where(F.col("term").isin("ln_P", "ln_Anticip")).select(
+        "term", "coef", "std_err", "std_err_robust", "r2_adj", "n")
 
 
 @entry("e05_price_elasticity")
 def e05(spark, d):
     """Global elasticity under the three inflation adjustments."""
-    df = tickets(spark, d)
-    found = [E.price_elasticity(df, m, BASE_YEAR, by_year=False)
+    found = [E.price_elasticity(days(spark, d), m, BASE_YEAR, by_year=False)
              for m in ("year_fe", "tarifa_base", "interno")]
-    return rounded(found[0].unionByName(found[1]).unionByName(found[2]), "elasticidad", "ci_low",
-                   "ci_high", "R2_ajustado")
+    return rounded(found[0].unionByName(found[1]).unionByName(found[2]), "ci_low", "ci_high",
+                   *_ERRORS)
+
+
+@entry("e05_deflated_elasticity", f"""
+SELECT 'tarifa_base' AS metodo, round({_FOUND} FROM slopes_fare
+UNION ALL SELECT 'interno', round({_FOUND} FROM slopes_stable""")
+def e05_deflated(spark, d):
+    """Global elasticity at the prices of the two deflators, with both kinds of errors."""
+    fare, stable = (E.price_elasticity(days(spark, d), m, BASE_YEAR, by_year=False)
+                    for m in ("tarifa_base", "interno"))
+    return rounded(fare.unionByName(stable).drop("ANIO", "ci_low", "ci_high"), *_ERRORS)
 
 
-@entry("e06_elasticity_by_year")
+@entry("e06_elasticity_by_year", f"""
+SELECT 'tarifa_base' AS metodo, CAST(g AS INTEGER) AS ANIO, round({_FOUND}
+FROM slopes_by_year""")
 def e06(spark, d):
-    found = E.price_elasticity(tickets(spark, d), "tarifa_base", BASE_YEAR)
-    return rounded(found.where(F.col("ANIO").isNotNull()), "elasticidad", "ci_low", "ci_high",
-                   "R2_ajustado")
+    """Elasticity of each year, with both kinds of errors."""
+    found = E.price_elasticity(days(spark, d), "tarifa_base", BASE_YEAR)
+    return rounded(found.where(F.col("ANIO").isNotNull()).drop("ci_low", "ci_high"), *_ERRORS)
 
 
 _CURVE = """
@@ -233,13 +302,13 @@ def a22(spark, d):
 
 @entry("a23_fare_deflator", "SELECT ANIO, round(deflator, 8) AS deflator FROM fare_defl")
 def a23(spark, d):
-    df = E.fare_deflator(E.daily_base(tickets(spark, d)), BASE_YEAR)
+    df = E.fare_deflator(days(spark, d), BASE_YEAR)
     return rounded(longs(df, "ANIO"), "deflator", digits=8)
 
 
 @entry("a24_stable_deflator", "SELECT ANIO, round(deflator, 8) AS deflator FROM stable_defl")
 def a24(spark, d):
-    df = E.stable_deflator(E.daily_base(tickets(spark, d)), BASE_YEAR)
+    df = E.stable_deflator(days(spark, d), BASE_YEAR)
     return rounded(longs(df, "ANIO"), "deflator", digits=8)
 
 
@@ -248,7 +317,7 @@ SELECT FECHA_OPERACION, ANIO, NOMBRE_DIA_CORRIDA, round(deflator, 8) AS deflator
   round(Costo_Prom_Boleto / deflator, 5) AS PRECIO_AJUST
 FROM days LEFT JOIN fare_defl USING (ANIO)""")
 def j12(spark, d):
-    df = E.adjusted_days(tickets(spark, d), "tarifa_base", BASE_YEAR).select(
+    df = E.adjusted_days(days(spark, d), "tarifa_base", BASE_YEAR).select(
         "FECHA_OPERACION", "ANIO", "NOMBRE_DIA_CORRIDA", "deflator", "PRECIO_AJUST")
     return rounded(rounded(longs(df, "ANIO"), "deflator", digits=8), "PRECIO_AJUST", digits=5)
 
@@ -258,5 +327,5 @@ SELECT ANIO, round(regr_slope(q, p), 7) AS elasticidad, round(regr_intercept(q,
   round(regr_r2(q, p), 7) AS R2
 FROM (SELECT ANIO, ln(1 + Tot_Boletos) AS q, ln(1 + Costo_Prom_Boleto) AS p FROM days) GROUP BY 1""")
 def e09(spark, d):
-    df = E.loglog_slope(E.daily_base(tickets(spark, d)))
+    df = E.loglog_slope(days(spark, d))
     return rounded(longs(df, "ANIO"), "elasticidad", "intercepto", "R2", digits=7)

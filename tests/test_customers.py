@@ -5,10 +5,12 @@ import datetime as dt
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from farelens.operators.boosting import BoostedClasses
 from farelens.operators import customers as C, features as X
+from farelens.operators.silhouette import silhouette, with_cells
 from farelens.sources.readers import load_model, save_model
 
 D = dt.date
@@ -142,8 +144,38 @@ def test_planted_clusters_are_found(planted):
     assert len(pairs) == 3 and {r["count"] for r in pairs} == {80}
     sizes = C.cluster_sizes(got).collect()
     assert sum(r["porcentaje"] for r in sizes) == pytest.approx(100)
-    found = dict(C.choose_k(C.prepare_clusters(planted, ["p", "q", "r"]), (2, 3, 4)))
-    assert max(found, key=found.get) == 3
+    found = C.choose_k(C.prepare_clusters(planted, ["p", "q", "r"]), (2, 3, 4))
+    assert max(found, key=lambda x: x[1])[0] == 3
+    searched = C.cluster_customers(planted, ["p", "q", "r"], k=0)
+    assert searched.select("Cluster").distinct().count() == 3
+
+
+def exact_silhouette(x, label):
+    """Plain loop over all pairs."""
+    scores = []
+    for i in range(len(x)):
+        apart = np.linalg.norm(x - x[i], axis=1)
+        own = label == label[i]
+        if own.sum() == 1:
+            scores.append(0.0)
+            continue
+        near = apart[own].sum() / (own.sum() - 1)
+        far = min(apart[label == c].mean() for c in set(label) - {label[i]})
+        scores.append((far - near) / max(far, near) if max(far, near) > 0 else 0.0)
+    return float(np.mean(scores))
+
+
+@pytest.mark.parametrize("cells", [4, 20, 400])
+def test_silhouette_is_within_its_bound(spark, cells):
+    rng = np.random.default_rng(cells)
+    x = np.concatenate([rng.normal(m, 1, (60, 3)) for m in (0, 3, 5)] + [[[40.0, 0, 0]]])
+    label = np.array([0] * 60 + [1] * 60 + [2] * 60 + [7])
+    label[:5] = 1
+    df = spark.createDataFrame([(Vectors.dense(v), int(c)) for v, c in zip(x.tolist(), label)],
+                               ["__x", "Cluster"])
+    value, bound = silhouette(with_cells(df, cells=cells))
+    assert abs(value - exact_silhouette(x, label)) <= bound + 1e-9
+    assert bound < {4: 2, 20: 0.9, 400: 1e-6}[cells]
 
 
 @pytest.mark.parametrize("learner,trees", [("forest", 20), ("boosted", 3)])

@@ -40,6 +40,22 @@ def test_ols_agrees_with_spark_ml(plane):
     assert got["a"]["ci_low"] < 0.5 < got["a"]["ci_high"]
 
 
+@pytest.mark.parametrize("group", [(), ("g",)])
+def test_robust_errors_are_the_sandwich(plane, group):
+    wide = plane.withColumn("y", F.col("y") + F.col("a") * F.col("a") * F.sin("b"))
+    pdf = wide.toPandas()
+    got = ols(wide, "y", ["a", "b"], group, robust=True).collect()
+    for g in (0, 1) if group else (None,):
+        part = pdf if g is None else pdf[pdf.g == g]
+        x = np.column_stack([np.ones(len(part)), part.a, part.b])
+        inverse = np.linalg.inv(x.T @ x)
+        off = part.y.to_numpy() - x @ (inverse @ x.T @ part.y.to_numpy())
+        spread = inverse @ (x.T * off ** 2) @ x @ inverse * len(x) / (len(x) - 3)
+        mine = {r["term"]: r["std_err_robust"] for r in got if g is None or r["g"] == g}
+        assert [mine[t] for t in ("const", "a", "b")] == pytest.approx(
+            list(np.sqrt(np.diag(spread))))
+
+
 def test_ols_by_group_and_singular_design(spark, plane):
     grouped = ols(plane, "y", ["a", "b"], ["g"]).where("g = 1 AND term = 'a'").first()
     alone = ols(plane.where("g = 1"), "y", ["a", "b"]).where("term = 'a'").first()
