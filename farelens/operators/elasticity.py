@@ -57,8 +57,7 @@ def forward_calendar(elasticities: DataFrame) -> DataFrame:
     dated = calendar_means(elasticities).withColumn("FECHA_CORRIDA", F.try_to_date(
         F.concat_ws("-", year.cast("string"), "month", "day"), "yyyy-M-d"))
     return dated.dropna(subset=["FECHA_CORRIDA"]).select(
-        "ORIGEN_DESTINO", "FECHA_CORRIDA", "ELASTICIDADES",
-    ).orderBy("ORIGEN_DESTINO", "FECHA_CORRIDA")
+        "ORIGEN_DESTINO", "FECHA_CORRIDA", "ELASTICIDADES")
 
 
 def demand_grid(df: DataFrame, group: Sequence[str] = ()) -> DataFrame:

@@ -177,9 +177,5 @@ def log_series(df: DataFrame, x: str, y1: str, y2: str, xlog: bool = False,
         return F.when(F.col(name) > 0, F.ln(name)).alias(name)
 
     if xlog:
-        out = df.select(ln(x), y1, y2)
-    elif ylog:
-        out = df.select(x, ln(y1), ln(y2))
-    else:
-        out = df.select(x, y1, y2)
-    return out.orderBy(x)
+        return df.select(ln(x), y1, y2)
+    return df.select(x, ln(y1), ln(y2)) if ylog else df.select(x, y1, y2)

@@ -47,11 +47,15 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 
+def money(df: DataFrame, *names: str) -> DataFrame:
+    """Amounts as decimals, whose sums do not depend on the order of the rows."""
+    return df.withColumns({n: F.col(n).cast("decimal(18, 2)") for n in names})
+
+
 def settled(df: DataFrame, name: str, digits: int = 6) -> DataFrame:
-    """Round half up with a small allowance: exact ties of money ratios go up whatever the
-    last bit of the sums is."""
+    """Round half up on the scaled binary value, as the SQL does."""
     unit = float(10 ** digits)
-    return df.withColumn(name, F.floor(F.col(name) * unit + 0.5001) / unit)
+    return df.withColumn(name, F.floor(F.col(name) * unit + 0.5) / unit)
 
 
 @B.once

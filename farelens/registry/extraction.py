@@ -9,9 +9,8 @@ from farelens import bindings as B
 from farelens import schemas
 from farelens.functions.fixed import GOOD_HOURS, GOOD_MONTHS, GOOD_SEATS, GOOD_WEEKDAYS
 from farelens.registry.base import (
-    by_transaction,
-    entry, extracted_loyalty, extracted_sales, extracted_trips, loyalty, rounded, sales, settled,
-    trips,
+    by_transaction, entry, extracted_loyalty, extracted_sales, extracted_trips, loyalty, money,
+    rounded, sales, settled, trips,
 )
 from farelens.session import scratch_path
 from farelens.sources import extracts, projections as P, readers
@@ -189,10 +188,12 @@ def q05(spark, d):
 
 
 @entry("q06_daily_occupancy_income", f"""
-SELECT {_OCC_KEYS}, {_OCC}, floor({_INCOME} / {_KM_TOTAL} * 1e6 + 0.5001::DOUBLE) / 1e6 AS FIK
+SELECT {_OCC_KEYS}, {_OCC}, 
+  floor(sum(CAST(floor(l_extendedprice / 50 * 100 + 0.5) / 100 AS DECIMAL(18, 2)))::DOUBLE
+        / {_KM_TOTAL} * 1e6 + 0.5::DOUBLE) / 1e6 AS FIK
 FROM star WHERE {_YEARS} GROUP BY ALL""")
 def q06(spark, d):
-    df = P.daily_occupancy_income(B.occupancy_raw(spark, d), B.YEAR_FROM)
+    df = P.daily_occupancy_income(money(B.occupancy_raw(spark, d), "INGRESOS"), B.YEAR_FROM)
     return settled(rounded(df, "FOP", digits=8), "FIK")
 
 
@@ -244,10 +245,12 @@ SELECT 'E' || CAST(l_partkey % 4 AS VARCHAR) AS EMPRESA, {_ACCOUNT_KEYS},
   round(CASE WHEN year(FECHA_CORRIDA) < 1999 AND count(*) FILTER (l_orderkey % 6 = 5) = 0
     THEN NULL ELSE sum(CASE WHEN l_orderkey % 6 IN (3, 4, 5) THEN VENTA_BRUTA ELSE 0 END) END, 2)
     AS ING_ABO,
-  floor(sum(VENTA_BRUTA) / sum(100 + p_size * 10) * 1e6 + 0.5001::DOUBLE) / 1e6 AS FIK
+  floor(sum(CAST(VENTA_BRUTA AS DECIMAL(18, 2)))::DOUBLE / sum(100 + p_size * 10)::DOUBLE * 1e6
+        + 0.5::DOUBLE) / 1e6 AS FIK
 FROM star WHERE {_YEARS} GROUP BY EMPRESA, FECHA_CORRIDA""")
 def q11(spark, d):
-    df = P.accounting_channels(B.accounting_raw(spark, d), B.YEAR_FROM)
+    df = P.accounting_channels(money(B.accounting_raw(spark, d), "IMPORTE"), B.YEAR_FROM)
+    df = df.withColumn("INGRESO", F.col("INGRESO").cast("double"))
     return settled(rounded(df, "ING_TAQ", "ING_ABO", "INGRESO", digits=2), "FIK")
 
 

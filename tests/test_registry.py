@@ -1,5 +1,6 @@
 """Registered queries against their SQL, and the driver's entry points."""
 
+import importlib.util
 import sys
 from pathlib import Path
 
@@ -10,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 from check import compare, oracle_connection  # noqa: E402
 
 import __spark_entry__ as driver  # noqa: E402
+from farelens.registry import REGISTRY  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 # One query of each kind; tools/check.py runs all of them.
@@ -44,6 +46,18 @@ def test_every_sql_has_a_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
+@pytest.mark.parametrize("missing", ["public_tokenizers", "corpus_pipeline", "farelens.llm"])
+def test_the_other_queries_do_without_the_training_data_operators(monkeypatch, missing):
+    for name in [n for n in sys.modules if n.startswith(("farelens.llm", "corpus_pipeline"))]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, missing, None)
+    spec = importlib.util.spec_from_file_location("entry_alone", driver.__file__)
+    alone = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(alone)
+    assert set(alone.queries()) == set(REGISTRY) and len(REGISTRY) >= 150
+    assert set(alone.oracle_sql()) <= set(REGISTRY)
+
+
 def test_ticket_filters_and_columns_reach_the_stored_table(spark):
     from farelens.registry.base import tickets
 
