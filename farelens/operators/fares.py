@@ -15,6 +15,7 @@ from farelens.functions.fixed import (
     PASSENGER_DISCOUNT, TRAINED_MEAN_DISCOUNT,
 )
 from farelens.operators.features import moments, one_hot
+from farelens.operators.network import Network, fit_network
 
 NUMERIC = [
     "DiaSemana_Corrida", "Hora_Corrida", "NUM_ASIENTO", "HORAS_ANTICIPACION", "DIF_TBT_VENTA",
@@ -111,6 +112,20 @@ def fit_fare_model(train: DataFrame, routes: Sequence[str],
     return Pipeline(stages=[_scaling(stats), assemble, learner]).fit(rows)
 
 
+def fit_fare_network(train: DataFrame, routes: Sequence[str], row_id: Sequence[str],
+                     clients: Sequence[str] = CLIENT_TYPES, hidden: Sequence[int] = (128, 64),
+                     epochs: int = 8, batches: int = 16, seed: int = 42) -> Network:
+    """Dense network of the sale on the 27 inputs, two hidden layers, scaling included."""
+    return fit_network(route_dummies(train, routes), model_inputs(routes, clients), "VENTA",
+                       row_id, hidden, epochs, batches, seed=seed)
+
+
+def quote_network(features: DataFrame, model: Network, routes: Sequence[str],
+                  keep: Sequence[str]) -> DataFrame:
+    """``keep`` and the network's fare of every row."""
+    return model.transform(route_dummies(features, routes), keep, "TARIFA_DINAMICA")
+
+
 def quote(features: DataFrame, model: PipelineModel, routes: Sequence[str]) -> DataFrame:
     """The model's fare of every row, all rows in one pass."""
     helpers = [f"RUTA_{r}" for r in routes] + [f"z_{c}" for c in NUMERIC] + ["features"]

@@ -104,6 +104,19 @@ def m07(spark, d):
     return rounded(scored.unionByName(plain), "MAE", "RMSE")
 
 
+@entry("m07_fare_network")
+def m07_network(spark, d):
+    """Error of the network on the same held-out tickets, beside that of the mean fare."""
+    marked = materialise(X.hash_split(train(spark, d), ["OPERACION", "TRANSACCION", "NUM_ASIENTO"]))
+    model = M.fit_fare_network(marked.where("en_train"), ROUTES, ID, B.CLIENT_TYPES)
+    held = M.quote_network(marked.where("NOT en_train"), model, ROUTES, ["VENTA"])
+    mean = marked.where("en_train").agg(F.avg("VENTA")).scalar()
+    scored = X.errors(held, "VENTA", "TARIFA_DINAMICA").withColumn("modelo", F.lit("red"))
+    plain = X.errors(held.withColumn("media", mean), "VENTA", "media").withColumn(
+        "modelo", F.lit("media"))
+    return rounded(scored.unionByName(plain), "MAE", "RMSE")
+
+
 @entry("m08_errors", """
 SELECT round(avg(abs(VENTA - TARIFA_BASE_TRAMO)), 6) AS MAE,
   round(sqrt(avg((VENTA - TARIFA_BASE_TRAMO) * (VENTA - TARIFA_BASE_TRAMO))), 6) AS RMSE,
