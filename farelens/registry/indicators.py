@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 from farelens.operators import classify, kpis
 from farelens.plans.demand import CLASSES, attach_classes, classified_indicators
 from farelens.registry import oracle
-from farelens.registry.base import entry, rounded, sales, tickets
+from farelens.registry.base import entry, money, rounded, sales, tickets
 from farelens.registry.preparation import ID, _ID
 from farelens.sources.stored import stored
 
@@ -24,7 +24,8 @@ oracle.define("seats", """
 SELECT *, PAX_SUBEN / DIAS_VENTA AS PAX_X_DIA_PROM FROM (
   SELECT CAPACIDAD_ASIENTOS_TRAMO, NUM_ASIENTO, count(DISTINCT FECHA_OPERACION) AS DIAS_VENTA,
     CAST(sum(BOLETOS_VEND) AS BIGINT) AS BOLETOS_VEND, sum(VENTA) AS VENTA,
-    CAST(sum(PAX_SUBEN) AS BIGINT) AS PAX_SUBEN, avg(VENTA) AS VENTA_PROM,
+    CAST(sum(PAX_SUBEN) AS BIGINT) AS PAX_SUBEN,
+    sum(CAST(VENTA AS DECIMAL(18, 2)))::DOUBLE / count(VENTA) AS VENTA_PROM,
     avg(DIAS_ANTICIPACION) AS VEL_VENTA_PROM, avg(TARIFA_BASE_TRAMO) AS TARIFA_BASE_PROM
   FROM kpi GROUP BY 1, 2)""")
 oracle.define("seat_props", """
@@ -115,9 +116,11 @@ SELECT CAPACIDAD_ASIENTOS_TRAMO, NUM_ASIENTO, DIAS_VENTA, BOLETOS_VEND, PAX_SUBE
   round(PAX_X_DIA_PROM, 7) AS PAX_X_DIA_PROM
 FROM seats""")
 def a06(spark, d):
-    df = kpis.seat_demand(scope(spark, d)).select(
+    # Exact sums: a mean may lie midway between two roundings.
+    df = kpis.seat_demand(money(scope(spark, d), "VENTA")).select(
         "CAPACIDAD_ASIENTOS_TRAMO", "NUM_ASIENTO", "DIAS_VENTA", "BOLETOS_VEND", "PAX_SUBEN",
-        "VENTA", "VENTA_PROM", "VEL_VENTA_PROM", "TARIFA_BASE_PROM", "PAX_X_DIA_PROM")
+        F.col("VENTA").cast("double").alias("VENTA"), "VENTA_PROM", "VEL_VENTA_PROM",
+        "TARIFA_BASE_PROM", "PAX_X_DIA_PROM")
     return rounded(rounded(df, "VENTA", digits=2), "VENTA_PROM", "VEL_VENTA_PROM",
                    "TARIFA_BASE_PROM", "PAX_X_DIA_PROM", digits=7)
 
