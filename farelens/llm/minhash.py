@@ -7,14 +7,17 @@ documents with a similarity of 0.75 share none with a probability of
 ``(1 - 0.75 ** ROWS) ** BANDS``, 2e-6 for 48 bands of 5, and less when more alike.
 
 Documents with equal sets are represented by the smallest id.  Within a bucket not all pairs
-are compared.  First each member meets the bucket's smallest id.  Buckets whose members are now
-in one component are done; that settles groups of near copies in one step, whatever their size.
-The members of the others meet over their rarest shingles: of two sets so similar one of the
-first quarter, rarest first, must be common, and what no other component has cannot be.  That
-loses no link.  A large group of texts that are alike by less than asked for still meets pair by
-pair (3.87 million rows on check_h).  No bucket is capped.  A pair whose sizes or whose 240
-signature bits rule out the similarity (more than 60 differ: beyond six standard deviations) is
-dropped before its sets are compared in full.
+are compared.  The smallest id of a bucket is its pivot.  First each document meets the pivot
+with which it shares most buckets, then those whose buckets hold several components still meet
+up to ``FURTHER`` more.  Buckets whose members are now in one component are done; that settles
+groups of near copies, whatever their size.  The members of the others meet over their rarest
+shingles: in one order for all sets (what a single component has first, then by rarity) two
+sets so similar have a common one in the first quarter, and from the first common one on both
+have as many as they need to have in common.  That loses no link.  No bucket is capped.  A large
+group of texts that are alike by little less than asked for still meets pair by pair.  A pair
+whose sizes or whose 240 signature bits rule out the similarity is dropped before its sets are
+compared in full: ``MOST_BITS`` is six standard deviations above what 0.75 gives (30, 5.1), and
+of 214,647 such pairs of sets of 4 to 2,048 shingles none had over 52 differing bits.
 
 Words are runs of other than ASCII white space, A-Z lowered; a document's set has its distinct
 ``SHINGLE``-word shingles, or all its words as one if it has fewer, as 64-bit hashes.
@@ -31,7 +34,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from farelens.llm.components import components
 from farelens.llm.tables import sift, store
@@ -41,7 +44,8 @@ DIM = 1 << 20
 BANDS, ROWS = 48, 5
 COORDINATES = BANDS * ROWS
 MOST_BITS = 60
-MOST_WORDS = 1 << 20
+FURTHER = 8
+MOST_WORDS = 1 << 18  # words that a task remembers
 BLOCK = 1 << 18  # words whose signatures are made together
 # Odd factors, one per position.
 _KEYS = np.random.default_rng(11).integers(0, 2 ** 63, 16, dtype=np.uint64) * np.uint64(2) + (
@@ -62,15 +66,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-@lru_cache(maxsize=1)
-def known_words() -> dict[bytes, int]:
-    """Hashes of words, kept by the worker over its tasks."""
-    return {}
-
-
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
-    """Each text's sorted distinct shingle hashes."""
-    known = known_words()
+def shingle_sets(texts: list[str | None], known: dict[bytes, int] | None = None,
+                 ) -> list[np.ndarray]:
+    """Each text's sorted distinct shingle hashes; ``known`` keeps hashes of words."""
+    known = {} if known is None else known
     out = []
     for text in texts:
         words = (text or "").encode().lower().split()
@@ -138,12 +137,13 @@ def sketch(docs: DataFrame) -> DataFrame:
     without words or id.  Hashes of different bands differ.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
         for batch in batches:
             texts = batch.column(1)
             sizes = [len(x.as_py() or "") // 4 for x in texts]
             for part in _blocks(sizes):
                 ids = batch.column(0)[part.start:part.stop]
-                sets = shingle_sets(texts[part.start:part.stop].to_pylist())
+                sets = shingle_sets(texts[part.start:part.stop].to_pylist(), known)
                 live = [i for i, s in enumerate(sets) if len(s) and ids[i].is_valid]
                 bands, bits = [None] * len(sets), [None] * len(sets)
                 keys = [None] * len(sets)
@@ -165,10 +165,11 @@ def sketch(docs: DataFrame) -> DataFrame:
 def full_sets(docs: DataFrame) -> DataFrame:
     """``node, shingles``: the distinct sets, as hashes, of the rows of ``doc_id, text``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sets = [s.tobytes() for s in shingle_sets(part.column(1).to_pylist())]
+                sets = [s.tobytes() for s in shingle_sets(part.column(1).to_pylist(), known)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([xxhash.xxh3_128_digest(s) for s in sets]),
                      pa.array(sets, pa.binary())], names=["node", "set_id", "shingles"])
@@ -195,9 +196,11 @@ def prefixes(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """``shingle, node, component, n, most``: the rarest shingles of the sets of ``nodes``, each
     set of a node by itself.
 
-    Ordered by how many of the nodes have them, two sets with so similar contents share one
-    of their first ``n - ceil(n * percent / 100) + 1`` shingles.  ``most`` of a set's ``n``
-    shingles occur in other components at all, so no more can be common.
+    All sets are ordered alike, first what a single component has, then by how many of the nodes
+    have it.  Two sets with so similar contents share one of their first
+    ``n - ceil(n * percent / 100) + 1`` shingles.  ``most`` of a set's ``n`` shingles, from this
+    one on, occur in other components at all; if it is the first that two sets share, no more
+    are common.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,15 +221,17 @@ def prefixes(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         F.count(F.lit(1)).alias("f"), F.min("component").alias("low"),
         F.max("component").alias("high"))
     rest = each.join(counted, "shingle").withColumn("alone", F.col("low") == F.col("high"))
-    first = rest.groupBy("node", "component", "part", "n").agg(F.sort_array(F.collect_list(
-        F.struct("f", "shingle", "alone"))).alias("s"))
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    most = F.size(F.filter("s", lambda x: ~x["alone"])).cast("long")
-    return first.select("node", "component", "n", most.alias("most"),
-                        F.explode(F.slice("s", F.lit(1), length.cast("int"))).alias("s")
-                        ).where("NOT s.alone").where(
-        F.col("most") * 100 >= F.col("n") * percent).select(
-        F.col("s.shingle").alias("shingle"), "node", "component", "n", "most")
+    # From the end of the order, so that the sum needs no row that is still to come.
+    backwards = Window.partitionBy("node", "part").orderBy(
+        F.col("alone"), F.col("f").desc(), F.col("shingle").desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    least = F.ceil(F.col("n") * percent / 100)
+    return rest.select(
+        "shingle", "node", "component", "n", "alone",
+        F.sum((~F.col("alone")).cast("long")).over(backwards).alias("most"),
+        F.count(F.lit(1)).over(backwards).alias("place")
+    ).where(~F.col("alone") & (F.col("place") >= least) & (F.col("most") >= least)
+            ).drop("alone", "place")
 
 
 def links(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
@@ -269,12 +274,32 @@ def links(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
         return similar(pairs, percent)
 
     ordered = lambda a, b: (F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
-    tested = store(entries.where("node <> pivot").select(
-        *ordered("pivot", "node")).distinct(), "tested")
+    # How many buckets a document shares with a pivot says how alike they are.
+    shared = store(entries.where("node <> pivot").groupBy("node", "pivot").agg(
+        F.count(F.lit(1)).alias("c")), "shared")
+    best = shared.groupBy("node").agg(F.max(  # of equal counts the smallest pivot
+        F.struct("c", F.bitwise_not("pivot").alias("p"))).alias("x"))
+    tested = store(best.select(*ordered(F.bitwise_not("x.p"), F.col("node"))), "tested")
     found = store(verified(tested), "links")
+
+    def labelled(rows: DataFrame, label: DataFrame, node: str = "node",
+                 component: str = "component") -> DataFrame:
+        label = label.select(F.col("node").alias(node), F.col("component").alias("own"))
+        return rows.join(label, node, "left").withColumn(
+            component, F.coalesce("own", node)).drop("own")
+
+    label = components(found)
+    apart = labelled(labelled(shared, label), label, "pivot", "its").where("component <> its")
+    # A document has one pivot a band at most.
+    more = apart.select("node", "pivot", "c", *ordered("pivot", "node")).join(
+        tested, ["u", "v"], "left_anti").groupBy("node").agg(F.sort_array(F.collect_list(
+            F.struct("c", F.bitwise_not("pivot").alias("p"))), False).alias("x"))
+    more = store(more.select("node", F.explode(F.slice("x", 1, FURTHER)["p"]).alias("p")
+                             ).select(*ordered(F.bitwise_not("p"), F.col("node"))), "tested")
+    found = store(found.unionByName(verified(more)), "links")
+    tested = tested.unionByName(more)
     # Buckets that hold several components still: their members are compared by prefixes.
-    entries = entries.where("members > 2").join(components(found), "node", "left").select(
-        "hash", "node", F.coalesce("component", "node").alias("component"))
+    entries = labelled(entries.where("members > 2").select("hash", "node"), components(found))
     entries = store(entries, "labelled")
     mixed_buckets = entries.groupBy("hash").agg(
         F.min("component").alias("low"), F.max("component").alias("high")

@@ -112,4 +112,17 @@ def test_prefixes_of_a_repeated_id(spark):
     found = minhash.prefixes(sets, nodes, 75).collect()
     marks = {i: {r.shingle for r in found if r.node == i} for i in (1, 2, 3)}
     assert len(marks[2]) == len(marks[3]) == 11 and marks[1] == marks[2] | marks[3]
-    assert {r.most for r in found} == {40}
+    assert {r.most for r in found} == set(range(30, 41))
+
+
+def test_bits_of_pairs_at_the_limit():
+    """Neither few nor many shingles bring a pair of similarity 0.75 near the bound on bits."""
+    rng = np.random.default_rng(5)
+    for n, common, pairs in ((7, 6, 4000), (28, 24, 2000), (700, 600, 200)):
+        values = rng.integers(0, 2 ** 63, (pairs, 2 * n - common)).astype(np.uint64)
+        sets = [s for x in values for s in (x[:n], np.concatenate([x[:common], x[n:]]))]
+        found = minhash.signatures(sets)
+        differ = ((found[:, ::2] ^ found[:, 1::2]) & 1).sum(axis=0)
+        assert 28 < differ.mean() < 32 and differ.max() < minhash.MOST_BITS - 5
+        bands = minhash.band_hashes(found)
+        assert (bands[::2] == bands[1::2]).any(axis=1).all()
