@@ -7,10 +7,10 @@ Words are runs of other than ASCII white space.  A line fails when it is
 * navigation: fewer than four words and no closing punctuation;
 * unpunctuated: four words or more and no mark ``.,;:!?`` anywhere;
 * boilerplate: ``PHRASES`` make up a fifth of its words or more, or it equals an earlier line;
-* repetition: it has ten words or more of which at most a third are different; if it has over
-  ``STRETCH`` words, where any prose has so few, also half of its words or more must be in
-  stretches of at most ``STRETCH`` words of which at most a third are different, or over half
-  in 13-word windows found twice or more.
+* repetition: it has ten words or more of which at most a third are different, and half of them
+  or more lie in some ``STRETCH`` consecutive words (in the whole line, if it has fewer) of which
+  at most a third are different, or over half in 13-word windows found twice or more.  Long
+  prose has few different words, but not in every stretch.
 
 A document is rejected when failing lines hold more than ``most_lost`` percent of its words,
 or when it fails the base rules: fewer than ``least_words`` words, or more than
@@ -85,15 +85,26 @@ def repeats_itself(words: list[bytes]) -> bool:
     n = len(words)
     if n < 10 or len(set(words)) * 3 > n:
         return False
-    if n <= STRETCH:
-        return True
-    parts = -(-n // STRETCH)
-    ends = [n * i // parts for i in range(parts + 1)]
-    poor = sum(b - a for a, b in zip(ends, ends[1:]) if len(set(words[a:b])) * 3 <= b - a)
-    if 2 * poor >= n:
-        return True
     ids: dict[bytes, int] = {}
     w = np.fromiter((ids.setdefault(x, len(ids)) for x in words), np.int64, n)
+    size = min(n, STRETCH)
+    # A word counts in the stretches that hold it but not the same word before it.
+    order = np.argsort(w, kind="stable")
+    same = w[order[1:]] == w[order[:-1]]
+    before = np.full(n, -1)
+    before[order[1:][same]] = order[:-1][same]
+    at = np.arange(n)
+    first, last = np.maximum(before, at - size) + 1, np.minimum(at, n - size)
+    counted = first <= last
+    different = np.cumsum(np.bincount(first[counted], minlength=n + 1)
+                          - np.bincount(last[counted] + 1, minlength=n + 1))[:n - size + 1]
+    poor = np.flatnonzero(different * 3 <= size)
+    inside = np.cumsum(np.bincount(poor, minlength=n + 1)
+                       - np.bincount(poor + size, minlength=n + 1))[:n] > 0
+    if 2 * int(inside.sum()) >= n:
+        return True
+    if n < 14:
+        return False
     for step in (1, 2, 4, 5):  # numbers of windows of 2, 4, 8, 13 words
         w = np.unique(w[:-step] * (int(w.max()) + 1) + w[step:], return_inverse=True)[1]
     twice = np.flatnonzero(np.bincount(w)[w] > 1)

@@ -163,6 +163,19 @@ _CLOSING = "".join(quality.CLOSING).replace("'", "''").replace(")", "\\)")
                length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols,
                row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS again
         FROM split
+    ), windowed AS (
+        SELECT *, CASE WHEN len(lw) > {quality.STRETCH} AND len(list_distinct(lw)) * 3 <= len(lw)
+                       THEN list_transform(range(1, len(lw) - 11), lambda p:
+                           array_to_string(lw[p:p + 12], ' ')) ELSE [] END AS w13
+        FROM measured WHERE len(lw) > 0
+    ), stretched AS (
+        SELECT *,
+            CASE WHEN len(w13) > 0 THEN list_filter(range(1, len(lw) - {quality.STRETCH} + 2),
+                lambda p: len(list_distinct(lw[p:p + {quality.STRETCH} - 1])) * 3
+                          <= {quality.STRETCH}) END AS poor,
+            CASE WHEN len(w13) > 0 THEN list_filter(range(1, len(w13) + 1), lambda p:
+                len(list_filter(w13, lambda x: x = w13[p])) > 1) END AS twice
+        FROM windowed
     ), ruled AS (
         SELECT doc_id, len(lw) AS n, again,
             again OR (symbols >= 2 AND symbols * 3 >= len(lw))
@@ -170,10 +183,18 @@ _CLOSING = "".join(quality.CLOSING).replace("'", "''").replace(")", "\\)")
                 AND len(list_filter(lw, lambda x: regexp_matches(x, '[!?][!?]$'))) * 2 >= len(lw))
             OR (len(lw) < 4 AND NOT regexp_matches(lw[len(lw)], '[{_CLOSING}]$'))
             OR (len(lw) >= 4 AND NOT regexp_matches(line, '[.,;:!?]'))
-            OR (len(lw) >= 10 AND len(list_distinct(lw)) * 3 <= len(lw))
-            OR regexp_matches(translate(line, '{urls.UPPER}', '{urls.LOWER}'),
-                              '{"|".join(quality.PHRASES)}') AS fails
-        FROM measured WHERE len(lw) > 0
+            OR CASE WHEN len(lw) < 10 OR len(list_distinct(lw)) * 3 > len(lw) THEN false
+                    WHEN len(lw) <= {quality.STRETCH} THEN true
+                    ELSE 2 * len(list_filter(range(1, len(lw) + 1), lambda j: len(list_filter(
+                             poor, lambda p: p <= j AND j < p + {quality.STRETCH})) > 0))
+                             >= len(lw)
+                      OR 2 * len(list_filter(range(1, len(lw) + 1), lambda j: len(list_filter(
+                             twice, lambda p: p <= j AND j < p + 13)) > 0)) > len(lw) END
+            OR 5 * len(list_filter(string_split(array_to_string(regexp_extract_all(
+                   translate(line, '{urls.UPPER}', '{urls.LOWER}'),
+                   '{"|".join(quality.PHRASES)}'), ' '), ' '), lambda x: x <> ''))
+               >= len(lw) AS fails
+        FROM stretched
     ), lines AS (
         SELECT doc_id, count(*) FILTER (again) AS n_dup_lines,
                CAST(coalesce(sum(n) FILTER (fails), 0) AS BIGINT) AS n_lost_words

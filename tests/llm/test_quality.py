@@ -4,9 +4,10 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 from hypothesis import given, settings, strategies as st
 
-from farelens.llm import quality
+from farelens.llm import quality, registry
 
 GOOD = "The first line says something new, at some length, about the weather of the day."
 
@@ -50,6 +51,56 @@ def test_rules_do_not_depend_on_the_length_of_a_line():
     assert fails(prose[:9000] + ["spam,", "ham"] * 5000)
 
 
+def slow_repeats(words):
+    """The repetition rule, stretch by stretch."""
+    n = len(words)
+    if n < 10 or len(set(words)) * 3 > n:
+        return False
+    size = min(n, quality.STRETCH)
+    inside = {j for i in range(n - size + 1) if len(set(words[i:i + size])) * 3 <= size
+              for j in range(i, i + size)}
+    windows = [tuple(words[i:i + 13]) for i in range(n - 12)]
+    count = Counter(windows)
+    twice = {j for i, x in enumerate(windows) if count[x] > 1 for j in range(i, i + 13)}
+    return 2 * len(inside) >= n or 2 * len(twice) > n
+
+
+def test_repetition_is_one_rule_for_all_lengths():
+    rng = random.Random(5)
+    for n in [*range(9, 30), *range(195, 206), 290, 401, 600, 900]:
+        for pool in (2, 5, 12, 40, 66, 90, 150):
+            words = [b"w%d" % rng.randrange(pool) for _ in range(n)]
+            if rng.random() < 0.3:
+                words[:n // 2] = [b"v%d" % i for i in range(n // 2)]
+            if rng.random() < 0.3:
+                words = words[:n // 3] * 3
+            assert quality.repeats_itself(words) == slow_repeats(words), (n, pool)
+    line = [b"w%d" % rng.randrange(60) for _ in range(500)]  # never passes once it failed
+    verdicts = [quality.repeats_itself(line[:n]) for n in range(1, 500)]
+    assert verdicts.index(True) < 200 and all(verdicts[verdicts.index(True):])
+    probe = [b"w%d" % (i % 64) for i in range(200)]
+    assert quality.repeats_itself(probe) and quality.repeats_itself(probe + [b"new"])
+
+
+def test_sql_says_the_same_of_long_lines_and_phrases(spark):
+    rng = random.Random(6)
+    draw = lambda n, pool: [f"w{rng.randrange(pool)}" for _ in range(n)]
+    texts = [" ".join(draw(n, pool)) + "." for n in (60, 199, 200, 201, 260, 700)
+             for pool in (20, 64, 90, 200)]
+    texts += [" ".join(draw(300, 150) * 3) + ".", " ".join(draw(500, 170) + ["spam,", "ham"] * 150),
+              " ".join(draw(60, 900)) + ". See the privacy policy.", "Our terms of use.\n" * 2,
+              "By using it you accept our terms of use. " + GOOD, None, "", GOOD * 20]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {tuple(r) for r in quality.judge(docs).drop("clean_text").collect()}
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    result = con.execute(registry.SQL["op10_quality_rules"])
+    places = [[c[0] for c in result.description].index(c) for c in (
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "n_lost_words", "kept")]
+    assert found == {tuple(r[i] for i in places) for r in result.fetchall()}
+
+
 def test_documents(spark):
     clean = "\n".join(" ".join(f"w{i}{j}é" for j in range(11)) + "." for i in range(6))
     junk = "\n".join(" | ".join(f"w{i}{j}" for j in range(9)) for i in range(9))
