@@ -17,7 +17,7 @@ have as many as they need to have in common.  That loses no link.  No bucket is
 group of texts that are alike by little less than asked for still meets pair by pair.  A pair
 whose sizes or whose 240 signature bits rule out the similarity is dropped before its sets are
 compared in full: ``MOST_BITS`` is six standard deviations above what 0.75 gives (30, 5.1), and
-of 214,647 such pairs of sets of 4 to 2,048 shingles none had over 52 differing bits.
+of 214,647 such pairs of sets of 8 to 2,048 shingles none had over 52 differing bits.
 
 Words are runs of other than ASCII white space, A-Z lowered; a document's set has its distinct
 ``SHINGLE``-word shingles, or all its words as one if it has fewer, as 64-bit hashes.
