@@ -8,12 +8,62 @@ it runs; the memory is emptied when it has ``MOST`` words.
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 
 import numpy as np
 
 MOST = 1 << 20
+GAP = 65535  # the id of the space between words, which no token has
+
+LETTERS = [*range(0x61, 0x7B), 0xC3, *(b for b in range(0xA0, 0xBF) if b != 0xB7)]
+CAPITALS = [b for b in range(0x80, 0x9F) if b != 0x97]  # after 0xC3, small ones 32 above
+SIGNS = [b for b in range(0x21, 0x7F) if not chr(b).isalnum()]
+DIGITS = range(0x30, 0x3A)
+# Apostrophes start units of their own ('s, 'll), and are left to the tokenizer.
+PLAIN = bytes(b for b in [*LETTERS, *CAPITALS, *SIGNS, *DIGITS] if b != 0x27)
+KIND = np.zeros(256, np.uint8)
+KIND[LETTERS], KIND[DIGITS], KIND[SIGNS] = 1, 2, 3
+SMALL = np.arange(256, dtype=np.uint8)
+SMALL[CAPITALS] += 0x20
+END = np.arange(256, dtype=np.uint8)  # how a byte is written that ends a unit
+END[LETTERS] -= 0x20
+END[SIGNS] = [*range(1, 0x20), 0x7F]
+UNITS = r"[a-zà-þ]*[A-ZÀ-Þ]|[0-9 ]|[!-/:-@\[-`{-~]*[\x01-\x1f\x7f]"
+
+
+def byte_signs() -> dict[str, int]:
+    """The bytes that the characters of a byte-level vocabulary stand for."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(seen)]
+    return {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def plain_ranks(model: dict) -> dict[bytes, int]:
+    """Ids of the tokens that plain words are made of, by their bytes as ``END`` writes them.
+
+    Empty where the file is no byte-level BPE with ids in the order of its merges.
+    """
+    suffix, vocab = model.get("end_of_word_suffix"), model["vocab"]
+    if not suffix or model.get("type") != "BPE":
+        return {}
+    merged = [vocab["".join(m)] for m in model["merges"]]
+    if merged != sorted(set(merged)):
+        return {}
+    signs, out = byte_signs(), {b" ": GAP}
+    inner, last = {*LETTERS, *SIGNS}, {*LETTERS, *SIGNS, *DIGITS} - {0xC3}
+    for token, number in vocab.items():
+        ends = token.endswith(suffix)
+        units = token.removesuffix(suffix) if ends else token
+        if not units or not all(c in signs for c in units):
+            continue
+        data = [signs[c] for c in units]
+        if ends and data[-1] in last and inner.issuperset(data[:-1]):
+            out[bytes([*data[:-1], int(END[data[-1]])])] = number
+        elif not ends and inner.issuperset(data):
+            out[bytes(data)] = number
+    return out
 
 
 @lru_cache(maxsize=2)
@@ -48,21 +98,37 @@ class WordIds:
         if "abc" not in self.tokenizer.normalizer.normalize_str("ABC"):
             raise ValueError("the tokenizer does not lower its input")
         self.known: dict[bytes, bytes] = {}
+        self.plain = None
+        ranks = plain_ranks(json.loads(self.tokenizer.to_str())["model"])
+        if ranks:
+            import tiktoken
+
+            self.plain = tiktoken.Encoding(
+                "plain words", pat_str=UNITS, mergeable_ranks=ranks, special_tokens={})
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) > MOST:
             self.known.clear()
         new = [w for w in words if w not in self.known]
-        # A full stop or comma after a letter is a unit of its own.
-        ended = {w for w in new if w[-1:] in b".," and w[-2:-1].isalpha()}
-        plain = {w[:-1] if w in ended else w for w in new} | {b".", b","}
-        plain = [w for w in plain if w not in self.known]
+        if self.plain is not None:
+            plain = [w for w in new if not w.translate(None, PLAIN) and b"<|" not in w]
+            self.learn_plain(plain)
+            new = [w for w in new if w not in self.known]
         found = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in plain], add_special_tokens=False)
-        for word, one in zip(plain, found):
+            [w.decode() for w in new], add_special_tokens=False)
+        for word, one in zip(new, found):
             self.known[word] = np.array(one.ids, "<u2").tobytes()
-        for word in ended:
-            self.known[word] = self.known[word[:-1]] + self.known[word[-1:]]
+
+    def learn_plain(self, words: list[bytes]) -> None:
+        data = SMALL[np.frombuffer(b" ".join([*words, b""]), np.uint8)]
+        kind = KIND[data]
+        ends = np.append(kind[:-1] != kind[1:], False)
+        text = np.where(ends, END[data], data).tobytes().decode()
+        ids = self.plain.encode_to_numpy(text)
+        stop = np.flatnonzero(ids == GAP) * 2
+        blob = ids.astype("<u2").tobytes()
+        for word, start, end in zip(words, [0, *(stop + 2).tolist()], stop.tolist()):
+            self.known[word] = blob[start:end]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; a null text has none."""

@@ -1,5 +1,6 @@
 """Packing: every id once, no padding, the placement rule, and ids against the tokenizer."""
 
+import json
 import zlib
 from collections import defaultdict
 
@@ -9,7 +10,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from farelens.llm import packing
-from farelens.llm.wordpieces import WordIds
+from farelens.llm.wordpieces import WordIds, plain_ranks
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -92,3 +93,42 @@ def test_pieces(spark):
     assert len(ids) == pieces[0].doc_tokens == 9001 and ids[-1] == 2
     assert sum(p.length for p in by_doc[4]) == 4 and sum(p.length for p in by_doc[None]) == 1
     assert packing.pack(docs.limit(0), PATH).count() == 0
+
+
+MODEL = json.loads(Tokenizer.from_file(PATH).to_str())["model"]
+WORDS = WordIds(PATH)
+ORDER = {tuple(m): i for i, m in enumerate(MODEL["merges"])}
+
+
+def merged(units):
+    """A plain loop over the merges of the file."""
+    while True:
+        ranks = [ORDER.get(pair, len(ORDER)) for pair in zip(units, units[1:])]
+        if not ranks or min(ranks) == len(ORDER):
+            return units
+        at = ranks.index(min(ranks))
+        units = units[:at] + ["".join(units[at:at + 2])] + units[at + 2:]
+
+
+def test_every_plain_token_is_what_its_bytes_merge_to():
+    ranks = plain_ranks(MODEL)
+    assert len(ranks) > 40_000
+    used = set(ranks.values())
+    for token, number in MODEL["vocab"].items():
+        if number not in used:
+            continue
+        end = token.endswith("</w>")
+        units = list(token.removesuffix("</w>"))
+        units[-1] += "</w>" * end
+        assert merged(units) == [token]
+    # A merge comes after those that make its two sides.
+    made = {"".join(m): i for m, i in ORDER.items()}
+    assert all(made.get(a, -1) < i and made.get(b, -1) < i for (a, b), i in ORDER.items())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("aehinorstxyzéàüçßÿœ×÷0129.,;:!-()#*|<>'", min_size=1, max_size=24)))
+def test_joined_words_have_the_tokenizers_ids(words):
+    WORDS.known.clear()
+    found = WORDS.encode([" ".join(words)])[0].tolist()
+    assert found == WORDS.tokenizer.encode(" ".join(words), add_special_tokens=False).ids
