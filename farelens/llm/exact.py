@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from farelens.llm import golomb
-from farelens.llm.tables import sift, store, unused
+from farelens.llm.tables import lean, sift, store, unused
 
 BITS = 48
 CHUNK = 1 << 18  # hashes a sender holds before it sends
@@ -85,7 +85,7 @@ def suspects(hashes: DataFrame, owners: int) -> DataFrame:
                 yield pd.DataFrame({"h": values[hit].astype(np.int64) + start})
 
     sent = store(hashes.mapInArrow(
-        send, "sender long, owner int, sent binary, own binary"), "sent")
+        lean(send), "sender long, owner int, sent binary, own binary"), "sent")
     answers = sent.select("sender", "owner", "sent").groupBy("owner").applyInPandas(
         answer, "sender long, owner int, bitmap binary")
     return sent.join(answers, ["sender", "owner"]).mapInPandas(read, "h long")

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from farelens.llm.components import components
-from farelens.llm.tables import sift, store
+from farelens.llm.tables import lean, sift, store
 
 SHINGLE = 5
 DIM = 1 << 20
@@ -158,7 +158,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                     pa.array(bits, pa.list_(pa.int64()))],
                     names=["doc_id", "n_shingles", "set_id", "bands", "bits"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, "
+    return docs.mapInArrow(lean(run), "doc_id long, n_shingles long, set_id binary, "
                                 "bands array<long>, bits array<long>")
 
 
@@ -174,7 +174,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
                     [part.column(0), pa.array([xxhash.xxh3_128_digest(s) for s in sets]),
                      pa.array(sets, pa.binary())], names=["node", "set_id", "shingles"])
 
-    rows = docs.mapInArrow(run, "node long, set_id binary, shingles binary")
+    rows = docs.mapInArrow(lean(run), "node long, set_id binary, shingles binary")
     return rows.groupBy("node", "set_id").agg(F.first("shingles").alias("shingles"))
 
 
@@ -189,7 +189,7 @@ def similar(pairs: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
+    return pairs.select("u", "v", "su", "sv").mapInArrow(lean(run), "u long, v long")
 
 
 def prefixes(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -214,7 +214,7 @@ def prefixes(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     # Of a fingerprint a number is enough to tell the few sets of a node apart.
     each = sets.join(nodes, "node").select(
         "node", "component", F.xxhash64("set_id").alias("part"), "shingles").mapInArrow(
-        run, "node long, component long, part long, n long, shingle long")
+        lean(run), "node long, component long, part long, n long, shingle long")
     each = store(each, "shingles")
     # Others of the same component need no meeting, so a shingle must have two components.
     counted = each.groupBy("shingle").agg(

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from farelens.llm.tables import lean
 from farelens.llm.wordpieces import word_ids
 
 
@@ -190,4 +191,4 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 2, size: int = 4096,
         return rows(windows())
 
     chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return chosen.mapInArrow(run, PIECES + ", ids array<int>" * with_ids)
+    return chosen.mapInArrow(lean(run), PIECES + ", ids array<int>" * with_ids)

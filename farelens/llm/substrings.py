@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from farelens.llm import golomb
-from farelens.llm.tables import store
+from farelens.llm.tables import lean, store
 
 CHUNK = 4 << 20  # bytes of text
 BITS = 48
@@ -184,7 +184,7 @@ def chunked(docs: DataFrame, doc_id: str, text: str, window: int, owners: int) -
         if held:
             yield row(held)
 
-    return docs.mapInArrow(run, f"chunk long, rows binary, sent {_SENT}")
+    return docs.mapInArrow(lean(run), f"chunk long, rows binary, sent {_SENT}")
 
 
 def answers(sent: DataFrame, decide) -> DataFrame:
@@ -264,7 +264,7 @@ def remove(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", text: str
 
     once = table.join(first, "chunk", "left")
     second = grouped(answers(once.select("chunk", "rows", "sent", "first").mapInArrow(
-        extend, "chunk long, owner int, sent binary, ids binary"), smaller_elsewhere), "second")
+        lean(extend), "chunk long, owner int, sent binary, ids binary"), smaller_elsewhere), "second")
     place, count = docs.columns.index(text), (
         docs.columns.index(chars) if chars in docs.columns else None)
     digest_schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -315,7 +315,7 @@ def remove(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", text: str
                 yield pa.RecordBatch.from_arrays(columns, names=arrow.names)
 
     return once.join(second, "chunk", "left").select(
-        "rows", "sent", "first", "second").mapInArrow(finish, digest_schema if digest else schema)
+        "rows", "sent", "first", "second").mapInArrow(lean(finish), digest_schema if digest else schema)
 
 
 def judge(docs: DataFrame, window: int = 13, doc_id: str = "doc_id",

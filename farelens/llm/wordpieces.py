@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-MOST = 1 << 20
+MOST = 1 << 18
 GAP = 65535  # the id of the space between words, which no token has
 
 LETTERS = [*range(0x61, 0x7B), 0xC3, *(b for b in range(0xA0, 0xBF) if b != 0xB7)]
