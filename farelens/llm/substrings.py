@@ -8,8 +8,10 @@ document with a smaller id.  Windows are compared in two lengths:
    megabytes; a chunk sends the owners of hash ranges its distinct hashes, Golomb-coded, and
    gets back a bitmap of those that other chunks have.
 2. Twice that, the full length.  Only windows whose half-length hash occurs in two documents
-   are extended.  Chunks send their 64-bit hashes with the smallest id that has them and get
-   back a bitmap of those that a smaller id has elsewhere.
+   are extended.  Chunks send their hashes of 128 bits, of which the first half is coded and
+   the second is sent as it is, with the smallest id that has them, and get back a bitmap of
+   those that a smaller id has elsewhere.  Among 10^13 windows two different ones are taken
+   for equal with a probability below 1e-12.
 
 Nothing survives beyond: a longer repeat is a union of full windows, which are decided.
 
@@ -44,13 +46,19 @@ CHUNK = 4 << 20  # bytes of text
 BITS = 48
 MOST_WORDS = 1 << 20
 LAST = 2 ** 63 - 1
-_KEYS = np.random.default_rng(23).integers(0, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + (
-    np.uint64(1))
+# Odd factors, one per position, for either half of a window's hash.
+_KEYS, _MORE = np.random.default_rng(23).integers(
+    0, 2 ** 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SENT = "array<struct<owner:int,sent:binary,own:binary>>"
 _SENT_TYPE = pa.list_(pa.struct([("owner", pa.int32()), ("sent", pa.binary()),
                                  ("own", pa.binary())]))
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
 def windows(w: np.ndarray, length: int) -> np.ndarray:
     """Hashes of all windows of so many words."""
     n = len(w) - length + 1
@@ -59,8 +67,25 @@ def windows(w: np.ndarray, length: int) -> np.ndarray:
     out = np.full(n, length, np.uint64)
     for j in range(length):
         out += w[j:j + n] * _KEYS[j]
-    out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return out ^ (out >> np.uint64(32))
+    return mixed(out)
+
+
+def further_halves(w: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """The second half of the hashes of some windows, from the words' hashes mixed anew."""
+    again = mixed(w ^ np.uint64(0x9E3779B97F4A7C15))
+    out = np.full(len(starts), length, np.uint64)
+    for j in range(length):
+        out += again[starts + j] * _MORE[j]
+    return mixed(out)
+
+
+def grouped(hashes: np.ndarray, further: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts hashes of two halves, and where in it another one starts."""
+    order = np.lexsort((further, hashes))
+    a, b = hashes[order], further[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return order, new
 
 
 def half_hashes(w: np.ndarray, window: int) -> np.ndarray:
@@ -102,18 +127,23 @@ class Chunk:
         return values, count > 1
 
     def candidates(self, doc: int, window: int, repeated: np.ndarray,
-                   ) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and full hashes of the windows whose half-length hash is repeated."""
-        half = half_hashes(self.hashes[doc], window)
-        starts = np.flatnonzero(found_in(repeated, half)[1])
-        return starts, windows(self.hashes[doc], window)[starts]
-
-    def second_level(self, window: int, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct full hashes of the candidates, and the smallest id that has each."""
-        each = [self.candidates(d, window, repeated)[1] for d in self.by_id]
-        owner = np.repeat(self.order[self.by_id], [len(x) for x in each])
-        values, first = np.unique(np.concatenate(each), return_index=True)
-        return values, owner[first]
+                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and full hashes, in two halves, of the windows whose half-length hash is
+        repeated."""
+        w = self.hashes[doc]
+        starts = np.flatnonzero(found_in(repeated, half_hashes(w, window))[1])
+        return starts, windows(w, window)[starts], further_halves(w, starts, window)
+
+    def second_level(self, window: int, repeated: np.ndarray,
+                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct full hashes of the candidates, in two halves, sorted, and the smallest id
+        that has each."""
+        each = [self.candidates(d, window, repeated) for d in self.by_id]
+        ids = np.repeat(self.order[self.by_id], [len(x[0]) for x in each])
+        hashes, further = (np.concatenate([x[k] for x in each]) for k in (1, 2))
+        order, new = grouped(hashes, further)  # stable, so the smallest id comes first
+        first = order[new]
+        return hashes[first], further[first], ids[first]
 
 
 def found_in(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,6 +154,15 @@ def found_in(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, table[at] == values
 
 
+def places_of(table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, further: np.ndarray,
+              ) -> np.ndarray:
+    """Places of hashes of two halves in a sorted table that has them all."""
+    at = np.searchsorted(table[0], hashes)
+    while (miss := table[1][at] != further).any():  # equal in the first half only
+        at[miss] += 1
+    return at
+
+
 def pack_ids(ids: np.ndarray) -> bytes:
     """Ids as differences from the smallest, in as many bytes as the largest needs."""
     low = int(ids.min())
@@ -205,14 +244,21 @@ def elsewhere(received: list[np.ndarray], _: pd.DataFrame) -> list[np.ndarray]:
     return [found_in(twice, x)[1] for x in received]
 
 
+def in_order(part: np.ndarray) -> np.ndarray:
+    """Sorted numbers that may be equal, made distinct for the code by adding their places."""
+    return part + np.arange(len(part), dtype=np.uint64)
+
+
 def smaller_elsewhere(received: list[np.ndarray], group: pd.DataFrame) -> list[np.ndarray]:
     """Which hashes a smaller id has in another chunk."""
-    ids = [unpack_ids(x, len(v)) for x, v in zip(group["ids"], received)]
-    values, place = np.unique(np.concatenate(received), return_inverse=True)
-    least = np.full(len(values), LAST)
-    np.minimum.at(least, place, np.concatenate(ids))
-    ends = np.cumsum([len(x) for x in received])[:-1]
-    return [least[p] < i for p, i in zip(np.split(place, ends), ids)]
+    hashes = np.concatenate([x - np.arange(len(x), dtype=np.uint64) for x in received])
+    ids = np.concatenate([unpack_ids(x, len(v)) for x, v in zip(group["ids"], received)])
+    order, new = grouped(
+        hashes, np.concatenate([np.frombuffer(x, "<u8") for x in group["further"]]))
+    least = np.minimum.reduceat(ids[order], np.flatnonzero(new))
+    smaller = np.empty(len(ids), bool)
+    smaller[order] = least[np.cumsum(new) - 1] < ids[order]
+    return np.split(smaller, np.cumsum([len(x) for x in received])[:-1])
 
 
 def repeated_halves(sent: list[dict], replies: list[dict] | None, owners: int) -> np.ndarray:
@@ -237,34 +283,37 @@ def remove(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", text: str
     owners = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     table = store(chunked(docs, doc_id, text, window, owners), "chunks")
 
-    def grouped(replies: DataFrame, name: str) -> DataFrame:
+    def by_chunk(replies: DataFrame, name: str) -> DataFrame:
         # Bounded by the hashes of one chunk.
         return store(replies, name).groupBy("chunk").agg(
             F.collect_list(F.struct("owner", "bitmap")).alias(name))
 
-    first = grouped(answers(
+    first = by_chunk(answers(
         table.select("chunk", F.inline("sent")).drop("own"), elsewhere), "first")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 number, rows, sent, replies = (c[i].as_py() for c in batch.columns)
-                values, ids = Chunk(from_bytes(rows), doc_id, text).second_level(
+                values, further, ids = Chunk(from_bytes(rows), doc_id, text).second_level(
                     window, repeated_halves(sent, replies, owners))
                 parts, at = golomb.by_owner(values, owners, 64), 0
-                packed = []
+                packed, more = [], []
                 for _, part in parts:
                     packed.append(pack_ids(ids[at:at + len(part)]))
+                    more.append(further[at:at + len(part)].astype("<u8").tobytes())
                     at += len(part)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number] * len(parts), pa.int64()),
                      pa.array([o for o, _ in parts], pa.int32()),
-                     pa.array([golomb.encode(p) for _, p in parts], pa.binary()),
-                     pa.array(packed, pa.binary())], names=["chunk", "owner", "sent", "ids"])
+                     pa.array([golomb.encode(in_order(p)) for _, p in parts], pa.binary()),
+                     pa.array(more, pa.binary()), pa.array(packed, pa.binary())],
+                    names=["chunk", "owner", "sent", "further", "ids"])
 
     once = table.join(first, "chunk", "left")
-    second = grouped(answers(once.select("chunk", "rows", "sent", "first").mapInArrow(
-        lean(extend), "chunk long, owner int, sent binary, ids binary"), smaller_elsewhere), "second")
+    second = by_chunk(answers(once.select("chunk", "rows", "sent", "first").mapInArrow(
+        lean(extend), "chunk long, owner int, sent binary, further binary, ids binary"
+    ), smaller_elsewhere), "second")
     place, count = docs.columns.index(text), (
         docs.columns.index(chars) if chars in docs.columns else None)
     digest_schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -278,7 +327,7 @@ def remove(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", text: str
                 rows = from_bytes(rows)
                 chunk = Chunk(rows, doc_id, text)
                 halves = repeated_halves(sent, first_replies, owners)
-                values, ids = chunk.second_level(window, halves)
+                values, further, ids = chunk.second_level(window, halves)
                 covered, bitmaps, at = [], {x["owner"]: x["bitmap"] for x in replies or []}, 0
                 for owner, part in golomb.by_owner(values, owners, 64):
                     covered.append(golomb.unpack(bitmaps[owner], len(part)))
@@ -286,9 +335,9 @@ def remove(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", text: str
                 smaller = np.concatenate([np.zeros(0, bool), *covered])
                 gone = []
                 for d, words in enumerate(chunk.words):
-                    starts, hashes = chunk.candidates(d, window, halves)
-                    p, _ = found_in(values, hashes)
-                    hit = starts[smaller[p] | (ids[p] < chunk.order[d])] if len(p) else starts
+                    starts, *hashes = chunk.candidates(d, window, halves)
+                    p = places_of((values, further), *hashes)
+                    hit = starts[smaller[p] | (ids[p] < chunk.order[d])]
                     edge = np.zeros(len(words) + 1, np.int32)
                     np.add.at(edge, hit, 1)
                     np.add.at(edge, hit + window, -1)

@@ -5,9 +5,11 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
-from farelens.llm import substrings
+from farelens.llm import golomb, substrings
 
 
 def brute(rows, window=13):
@@ -70,3 +72,34 @@ def test_small_chunks_give_the_same(spark):
     whole = sorted(map(tuple, substrings.judge(docs).collect()))
     assert sorted(map(tuple, substrings.judge(docs.repartition(9)).collect())) == whole
     assert any(r[2] for r in whole)
+
+
+def test_equal_first_halves_of_hashes_change_nothing(spark, monkeypatch):
+    # Four values of the first half only, so that nearly all windows agree in it.
+    whole = substrings.windows
+    monkeypatch.setattr(substrings, "windows", lambda w, n: whole(w, n) % np.uint64(4))
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices("abcdefgh", k=rng.randrange(30))) + " p q r s t u v" * 2)
+            for i in range(40)]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t in rows])
+    chunk = substrings.Chunk(batch, "doc_id", "text")
+    repeated = np.arange(4, dtype=np.uint64)
+    hashes, further, ids = chunk.second_level(13, repeated)
+    assert len(set(hashes.tolist())) == 4 < len(ids)
+    parts = [slice(0, None, 2), slice(1, None, 2)]  # the even and the odd documents apart
+    sent = [substrings.Chunk(batch.take(pa.array(range(40)[p])), "doc_id", "text").second_level(
+        13, repeated) for p in parts]
+    group = pd.DataFrame({"ids": [substrings.pack_ids(x[2]) for x in sent],
+                          "further": [x[1].tobytes() for x in sent]})
+    received = [golomb.decode(golomb.encode(substrings.in_order(x[0]))) for x in sent]
+    smaller = substrings.smaller_elsewhere(received, group)
+    found = {}
+    for p, table, flags in zip(parts, sent, smaller):
+        part = substrings.Chunk(batch.take(pa.array(range(40)[p])), "doc_id", "text")
+        for d, words in enumerate(part.words):
+            starts, *pair = part.candidates(d, 13, repeated)
+            at = substrings.places_of(table[:2], *pair)
+            hit = starts[flags[at] | (table[2][at] < part.order[d])]
+            gone = {k for s in hit.tolist() for k in range(s, s + 13)}
+            found[int(part.order[d])] = [w.decode() for k, w in enumerate(words) if k not in gone]
+    assert [found[i] for i, _ in rows] == [kept for _, kept in brute(rows)]
