@@ -165,33 +165,41 @@ def daily_base(df: DataFrame) -> DataFrame:
                       & F.col("Costo_Prom_Boleto").isNotNull())
 
 
-def _index(days: DataFrame, value: str, base_year: int, missing: str) -> DataFrame:
-    """Ticket-weighted yearly mean of ``value`` over that of the base year."""
+def _index(days: DataFrame, value: str, base_year: int, missing: str | None) -> DataFrame:
+    """Ticket-weighted yearly mean of ``value`` over that of the base year.
+
+    Without data in the base year ``missing`` is the error; NULL gives unknown deflators.
+    """
     yearly = days.dropna(subset=[value]).groupBy("ANIO").agg(safe_div(
         F.sum(F.col(value) * F.col("Tot_Boletos")), F.sum("Tot_Boletos")).alias("idx"))
     base: Column = yearly.agg(F.max(F.when(F.col("ANIO") == base_year, F.col("idx")))).scalar()
-    known = F.coalesce(base, F.raise_error(F.lit(missing)).cast("double"))
+    known = base if missing is None else F.coalesce(
+        base, F.raise_error(F.lit(missing)).cast("double"))
     return yearly.select("ANIO", safe_div("idx", known).alias("deflator"))
 
 
-def fare_deflator(days: DataFrame, base_year: int = 2025) -> DataFrame:
-    """Yearly deflator from the base fare; a base year without data is an error."""
-    return _index(days, "Tarif_Base_Tramo", base_year, f"no base fare in base year {base_year}")
+def fare_deflator(days: DataFrame, base_year: int = 2025, strict: bool = True) -> DataFrame:
+    """Yearly deflator from the base fare; a base year without data is an error if ``strict``."""
+    return _index(days, "Tarif_Base_Tramo", base_year,
+                  f"no base fare in base year {base_year}" if strict else None)
 
 
 def stable_deflator(days: DataFrame, base_year: int = 2025, lead: tuple = (7, 30),
-                    occupancy: tuple = (30, 70)) -> DataFrame:
-    """Yearly deflator from the ticket cost on days of stable lead time and occupancy."""
+                    occupancy: tuple = (30, 70), strict: bool = True) -> DataFrame:
+    """Yearly deflator from the ticket cost on days of stable lead time and occupancy; a base
+    year without such days is an error if ``strict``."""
     stable = days.where(F.col("Dias_Anticip").between(*lead)
                         & F.col("Prom_Ocupacion").between(*occupancy))
     return _index(stable, "Costo_Prom_Boleto", base_year,
-                  f"no stable days in base year {base_year}")
+                  f"no stable days in base year {base_year}" if strict else None)
 
 
-def deflate(days: DataFrame, deflator: DataFrame) -> DataFrame:
-    """Ticket cost at base-year prices; a year without a deflator is an error."""
-    known = F.coalesce("deflator", F.raise_error(
-        F.concat(F.lit("no deflator for "), F.col("ANIO").cast("string"))).cast("double"))
+def deflate(days: DataFrame, deflator: DataFrame, strict: bool = True) -> DataFrame:
+    """Ticket cost at base-year prices; a year without a deflator is an error if ``strict``, else
+    its cost is unknown."""
+    known = F.coalesce("deflator", F.raise_error(F.concat(
+        F.lit("no deflator for "), F.col("ANIO").cast("string"))).cast("double")) if strict else (
+        F.col("deflator"))
     return days.join(deflator, "ANIO", "left").withColumn("deflator", known).withColumn(
         "PRECIO_AJUST", safe_div("Costo_Prom_Boleto", "deflator"))
 
@@ -211,26 +219,30 @@ def loglog_design(days: DataFrame, price: str = "PRECIO_AJUST",
     return logs, names
 
 
-def adjusted_days(days: DataFrame, method: str, base_year: int) -> DataFrame:
+def adjusted_days(days: DataFrame, method: str, base_year: int, strict: bool = True) -> DataFrame:
     """A ``daily_base`` with the price each adjustment method works on."""
     if method == "year_fe":
         return days.withColumn("PRECIO_AJUST", F.col("Costo_Prom_Boleto"))
     if method == "tarifa_base":
-        return deflate(days, fare_deflator(days, base_year))
+        return deflate(days, fare_deflator(days, base_year, strict), strict)
     if method == "interno":
-        return deflate(days, stable_deflator(days, base_year))
+        return deflate(days, stable_deflator(days, base_year, strict=strict), strict)
     raise ValueError("method must be 'year_fe', 'tarifa_base' or 'interno'")
 
 
 def price_elasticity(days: DataFrame, method: str = "year_fe", base_year: int = 2025,
-                     by_year: bool = True, years: Sequence[int] | None = None) -> DataFrame:
+                     by_year: bool = True, years: Sequence[int] | None = None,
+                     strict: bool = True) -> DataFrame:
     """Log-log price elasticity over all days, and by year, with 95 percent intervals and
     plain and robust errors.
 
     ``days`` is a ``daily_base``, best a stored one, as it is read several times.  The year
     effects need the list of years; unless given it is read from the frame.
+
+    A method that the days hold no basis for, such as stable days in the base year, is an
+    error.  With ``strict=False`` it gives no row, and years without a deflator are left out.
     """
-    adjusted = adjusted_days(days, method, base_year)
+    adjusted = adjusted_days(days, method, base_year, strict)
     if method == "year_fe" and years is None:
         years = sorted(r[0] for r in days.select("ANIO").distinct().dropna().collect())
     pooled, names = loglog_design(adjusted, years=years if method == "year_fe" else ())
