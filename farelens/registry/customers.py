@@ -63,9 +63,18 @@ oracle.define("clustered", """
 SELECT EMAIL, CAST(SBol_Vend % 5 AS INTEGER) AS "Cluster" FROM cust_metrics WHERE SBol_Vend > 1""")
 
 
+# What the entries read of the training set.
+TRAIN_COLUMNS = [
+    *ID, "EMAIL", "ORIGEN_DESTINO", "FECHA_OPERACION", "FECHA_CORRIDA", "BOLETOS_VEND", "VENTA",
+    "PORCENT_PROMO", "HORAS_ANTICIPACION", "VENTA_ANTICIPADA", "KMS_TRAMO",
+    *[column for column, _ in C.MODES],
+]
+
+
 def train(spark, d):
     """The customer training set, stored, as most entries here start from it."""
-    return stored("customer_train", lambda s, x: S.customer_train_set(tickets(s, x)), spark, d)
+    return stored("customer_train", lambda s, x: S.customer_train_set(tickets(s, x)).select(
+        *TRAIN_COLUMNS), spark, d, even=False)
 
 
 def features(spark, d):

@@ -9,8 +9,8 @@ from farelens import bindings as B
 from farelens import schemas
 from farelens.functions.fixed import GOOD_HOURS, GOOD_MONTHS, GOOD_SEATS, GOOD_WEEKDAYS
 from farelens.registry.base import (
-    by_transaction, entry, extracted_loyalty, extracted_sales, extracted_trips, loyalty, money,
-    rounded, sales, settled, trips,
+    entry, extracted_loyalty, extracted_sales, extracted_trips, loyalty, money,
+    rounded, sales, settled, trips, with_trips,
 )
 from farelens.session import scratch_path
 from farelens.sources import extracts, projections as P, readers
@@ -86,7 +86,7 @@ def s06(spark, d):
         GOOD_MONTHS, GOOD_HOURS, GOOD_WEEKDAYS,
         {str(cap): seats for cap, seats in GOOD_SEATS.items()})], schemas.RULES)
     readers.write_table(rules, path, "json")
-    seats = by_transaction(spark, d)["sales_trips"].rows().select("CAPACIDAD_ASIENTOS_TRAMO", "NUM_ASIENTO")
+    seats = with_trips(spark, d).rows().select("CAPACIDAD_ASIENTOS_TRAMO", "NUM_ASIENTO")
     good = readers.seat_rules(readers.read_rules(spark, path))
     return seats.join(good, ["CAPACIDAD_ASIENTOS_TRAMO", "NUM_ASIENTO"]).groupBy(
         "CAPACIDAD_ASIENTOS_TRAMO", "NUM_ASIENTO").agg(F.count(F.lit(1)).alias("BOLETOS"))

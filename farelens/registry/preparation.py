@@ -14,7 +14,8 @@ from farelens.operators import prep
 from farelens.plans import datasets as S
 from farelens.registry import oracle
 from farelens.registry.base import (
-    by_trip, combined, entry, loyalty, rounded, sales, tickets, trips, with_loyalty,
+    by_route_day, combined, entry, loyalty, rounded, sales, tickets, trips, with_loyalty,
+    with_trips,
 )
 from farelens.sources import extracts
 
@@ -317,7 +318,7 @@ _LEG_REPLACE = ", ".join(f"round({c}, 2) AS {c}" for c in _LEG_ROUND)
 
 @entry("a01_trip_collapse", f"SELECT * REPLACE ({_LEG_REPLACE}) FROM legs")
 def a01(spark, d):
-    found = by_trip(spark, d)["trips"].map(prep.collapse_trips).rows()
+    found = by_route_day(spark, d)["trips"].map(prep.collapse_trips).rows()
     return rounded(found, *_LEG_ROUND, digits=2)
 
 
@@ -325,8 +326,7 @@ def a01(spark, d):
 SELECT {_ID}, ORIGEN_CORRIDA, EMPRESA, PAX_SUBEN, round(TARIFA_BASE_TRAMO, 2)
   AS TARIFA_BASE_TRAMO FROM sales_legs""")
 def j01(spark, d):
-    found = by_trip(spark, d)
-    df = prep.co_join_trips(found["sales"], found["trips"])
+    df = with_trips(spark, d).rows()
     return rounded(df.select(*ID, "ORIGEN_CORRIDA", "EMPRESA", "PAX_SUBEN", "TARIFA_BASE_TRAMO"),
                    "TARIFA_BASE_TRAMO", digits=2)
 
