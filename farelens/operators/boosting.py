@@ -7,8 +7,9 @@ bounded by ``classes * nodes * features * bins`` whatever the number of rows.  G
 multiples of 2^-24, so that sums are exact and the model does not depend on how the rows are
 partitioned.
 
-The rows' scores are written to the shared folder with every ``keep`` rounds; in between, tasks
-add the few trees since then, so a lost executor costs its tasks alone.
+The rows' scores are written to the shared folder with every ``keep`` rounds.  In between the rows
+of the round are cached with what the trees since then add, so no level goes through them again;
+a lost executor costs its tasks and those few rounds.
 """
 
 from __future__ import annotations
@@ -192,21 +193,20 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str = "Cluster
     if len(classes) < 2:
         raise ValueError("there must be two classes at least")
     edges = bin_edges(rows, [f"x{i}" for i in range(len(features))], bins)
-    state = _binned(rows, edges, classes)
+    state = _binned(rows, edges, classes).persist()
     k, width = len(classes), 2 ** (depth + 1) - 1
     model = BoostedClasses(features, classes, np.zeros(k), np.full((0, width), LEAF, np.int32),
                            np.zeros((0, width)), np.zeros((0, width)))
-    # The same trees with bins in place of values, which is what the rows hold.
-    by_bin = BoostedClasses(features, classes, np.zeros(k), model.feature, model.cut, model.weight)
-    written = 0
+    before = None
     for done in range(rounds):
         feature = np.full((k, width), LEAF, np.int32)
         cut, weight = np.zeros((k, width)), np.zeros((k, width))
-        fresh = BoostedClasses(features, classes, by_bin.start, by_bin.feature[written:],
-                               by_bin.cut[written:], by_bin.weight[written:])
         open_nodes = [(c, 0) for c in range(k)]
         for level in range(depth + 1):
-            sums = _node_sums(state, fresh, feature, cut, open_nodes, len(features), bins)
+            sums = _node_sums(state, feature, cut, open_nodes, len(features), bins)
+            if before is not None:
+                before.unpersist()
+                before = None
             following = []
             for (c, node), (g, h) in zip(open_nodes, sums):
                 if level == 0:
@@ -228,14 +228,17 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str = "Cluster
         for c, node in zip(*np.nonzero(feature != LEAF)):
             values[c, node] = edges[feature[c, node]][int(cut[c, node])]
         model = _grown(model, feature, values, weight)
-        by_bin = _grown(by_bin, feature, cut, weight)
         if (feature == LEAF).all():
             break
-        if (done + 1) % keep == 0 and done + 1 < rounds:
-            state = _rescored(state, BoostedClasses(
-                features, classes, np.zeros(k), by_bin.feature[written:], by_bin.cut[written:],
-                by_bin.weight[written:]))
-            written = len(by_bin.feature)
+        if done + 1 < rounds:
+            before = state
+            grown = _rescored(state, BoostedClasses(features, classes, np.zeros(k), feature, cut,
+                                                    weight), settle=(done + 1) % keep == 0)
+            state = _stored(grown) if (done + 1) % keep == 0 else grown
+            state = state.persist()
+    state.unpersist()
+    if before is not None:
+        before.unpersist()
     return model
 
 
@@ -252,7 +255,8 @@ def _grown(model: BoostedClasses, feature: np.ndarray, cut: np.ndarray,
 
 
 def _binned(rows: DataFrame, edges: list[np.ndarray], classes: list[int]) -> DataFrame:
-    """``y`` (place of the class), ``bins`` (a byte per feature) and ``score`` (0 per class)."""
+    """``y`` (place of the class), ``bins`` (a byte per feature), ``score`` and ``fresh`` (0 per
+    class)."""
     order = np.array(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,26 +264,54 @@ def _binned(rows: DataFrame, edges: list[np.ndarray], classes: list[int]) -> Dat
             found = np.column_stack([
                 np.searchsorted(ends, batch.column(i + 1).to_numpy(zero_copy_only=False))
                 for i, ends in enumerate(edges)]).astype(np.uint8)
-            yield _state(np.searchsorted(order, batch.column(0).to_numpy()), found,
-                         np.zeros((len(found), len(order))))
+            none = np.zeros((len(found), len(order)))
+            yield _state(np.searchsorted(order, batch.column(0).to_numpy()), found, none, none)
 
     return _stored(rows.mapInArrow(run, STATE))
 
 
-STATE = "y int, bins binary, score binary"
+# ``fresh`` is what the trees add that ``score`` does not hold yet.
+STATE = "y int, bins binary, score binary, fresh binary"
+# Rows that a task looks at together: sums for all open nodes are worth many rows.
+TOGETHER = 1 << 16
 
 
-def _state(labels: np.ndarray, bins: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([
-        pa.array(labels, pa.int32()), pa.array([x.tobytes() for x in bins], pa.binary()),
-        pa.array([x.tobytes() for x in scores], pa.binary())], names=["y", "bins", "score"])
+def _packed(values: np.ndarray) -> pa.Array:
+    """A binary value for each row of ``values``."""
+    width = values.shape[1] * values.itemsize
+    ends = np.arange(len(values) + 1, dtype=np.int32) * np.int32(width)
+    data = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(pa.binary(), len(values),
+                                 [None, pa.py_buffer(ends), pa.py_buffer(data)])
 
 
-def _opened(batch: pa.RecordBatch, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = batch.num_rows
-    bins, scores = (np.frombuffer(b"".join(batch.column(i).to_pylist()), kind).reshape(n, -1)
-                    for i, kind in ((1, np.uint8), (2, np.float64)))
-    return batch.column(0).to_numpy(), bins, scores.reshape(n, classes)
+def _unpacked(column: pa.Array, kind: type) -> np.ndarray:
+    """The rows behind binary values of one length."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:][:len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+    return data.view(kind).reshape(len(column), -1)
+
+
+def _state(labels: np.ndarray, bins: np.ndarray, scores: np.ndarray,
+           fresh: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(labels, pa.int32()), _packed(bins), _packed(scores), _packed(fresh)],
+        names=["y", "bins", "score", "fresh"])
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Labels, bins, scores and what is added to them, of some ``TOGETHER`` rows at a time."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append((batch.column(0).to_numpy(), *[
+                _unpacked(batch.column(i), kind)
+                for i, kind in ((1, np.uint8), (2, np.float64), (3, np.float64))]))
+        if sum(len(part[0]) for part in held) >= TOGETHER:
+            yield tuple(np.concatenate(parts) for parts in zip(*held))
+            held = []
+    if held:
+        yield tuple(np.concatenate(parts) for parts in zip(*held))
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -288,22 +320,26 @@ def _stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(STATE).parquet(path)
 
 
-def _rescored(state: DataFrame, trees: BoostedClasses) -> DataFrame:
-    """The rows with what ``trees`` add to their scores."""
+def _rescored(state: DataFrame, trees: BoostedClasses, settle: bool) -> DataFrame:
+    """The rows with what a round's ``trees`` add; ``settle`` puts all of it into the scores."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                labels, bins, scores = _opened(batch, len(trees.classes))
-                yield _state(labels, bins, scores + trees.scores(bins))
+        for labels, bins, scores, fresh in _opened(batches):
+            fresh = fresh + trees.scores(bins)
+            if settle:
+                scores, fresh = scores + fresh, np.zeros_like(fresh)
+            yield _state(labels, bins, scores, fresh)
 
-    return _stored(state.mapInArrow(run, STATE))
+    return state.mapInArrow(run, STATE)
 
 
-def _node_sums(state: DataFrame, fresh: BoostedClasses, feature: np.ndarray, cut: np.ndarray,
+def _node_sums(state: DataFrame, feature: np.ndarray, cut: np.ndarray,
                nodes: list[tuple[int, int]], width: int, bins: int,
                ) -> list[tuple[np.ndarray, np.ndarray]]:
-    """First and second derivatives of each open node's rows, by feature and bin."""
-    k = len(fresh.classes)
+    """First and second derivatives of each open node's rows, by feature and bin.
+
+    The nodes of a class stand next to each other.
+    """
+    k = len(feature)
     place = np.full(feature.shape, -1, np.int64)
     for i, (c, node) in enumerate(nodes):
         place[c, node] = i
@@ -312,20 +348,21 @@ def _node_sums(state: DataFrame, fresh: BoostedClasses, feature: np.ndarray, cut
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, len(nodes) * cells), np.int64)
         offsets = np.arange(width) * bins
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            labels, found, scores = _opened(batch, k)
-            g, h = gradients(scores + fresh.scores(found), labels)
+        for labels, found, scores, fresh in _opened(batches):
+            g, h = gradients(scores + fresh, labels)
             at_bin = found + offsets
             for c in range(k):
+                mine = place[c][place[c] >= 0]
+                if not mine.size:
+                    continue
+                first, end = mine.min() * cells, (mine.max() + 1) * cells
                 own = place[c, _nodes(found, feature[c], cut[c])]
                 rows = np.flatnonzero(own >= 0)
-                slots = (own[rows, None] * cells + at_bin[rows]).ravel()
+                slots = (own[rows, None] * cells - first + at_bin[rows]).ravel()
                 for i, x in enumerate((g, h)):
-                    # Sums of a batch stay below 2^53, so they are exact in doubles.
-                    total[i] += np.bincount(slots, np.repeat(x[rows, c], width),
-                                            total.shape[1]).astype(np.int64)
+                    # Sums of these rows stay below 2^53, so they are exact in doubles.
+                    total[i, first:end] += np.bincount(slots, np.repeat(x[rows, c], width),
+                                                       end - first).astype(np.int64)
         slots = np.flatnonzero(total.any(axis=0))
         yield pa.RecordBatch.from_arrays([
             pa.array(slots, pa.int64()), pa.array(total[0, slots], pa.int64()),
