@@ -2,7 +2,8 @@
 
 The rows are cut into bins once.  A round grows one tree for every class, all of them together,
 level by level: each task sums the gradients of its rows by (class, node, feature, bin), Spark
-adds the tasks' sums, and the driver picks the best split of every open node.  What travels is
+adds the tasks' sums, and the driver picks the best split of every open node.  Of two siblings
+only the one with less weight is summed; the other has what is left of the parent.  What travels is
 bounded by ``classes * nodes * features * bins`` whatever the number of rows.  Gradients are whole
 multiples of 2^-24, so that sums are exact and the model does not depend on how the rows are
 partitioned.
@@ -201,27 +202,34 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str = "Cluster
     for done in range(rounds):
         feature = np.full((k, width), LEAF, np.int32)
         cut, weight = np.zeros((k, width)), np.zeros((k, width))
-        open_nodes = [(c, 0) for c in range(k)]
+        open_nodes = asked = [(c, 0) for c in range(k)]
+        above: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         for level in range(depth + 1):
-            sums = _node_sums(state, feature, cut, open_nodes, len(features), bins)
+            sums = dict(zip(asked, _node_sums(state, feature, cut, asked, len(features), bins)))
             if before is not None:
                 before.unpersist()
                 before = None
-            following = []
-            for (c, node), (g, h) in zip(open_nodes, sums):
+            here, following, asked = {}, [], []
+            for c, node in open_nodes:
+                here[c, node] = g, h = _own_sums(sums, above, c, node)
                 if level == 0:
                     weight[c, node] = _step(g[0].sum(), h[0].sum(), rate, l2)
                 gain, f, last = best_split(g, h, l2, least) if depth else (0.0, 0, 0)
                 if gain <= 1e-9 or last >= len(edges[f]):
                     continue
                 feature[c, node], cut[c, node], weight[c, node] = f, last, 0.0
-                for child, part in ((2 * node + 1, slice(0, last + 1)),
-                                    (2 * node + 2, slice(last + 1, None))):
-                    weight[c, child] = _step(g[f, part].sum(), h[f, part].sum(), rate, l2)
-                    # A node that cannot give both sides their share is not looked at again.
-                    if level + 1 < depth and h[f, part].sum() >= 2 * least * UNIT:
-                        following.append((c, child))
-            open_nodes = following
+                children, parts = (2 * node + 1, 2 * node + 2), (slice(0, last + 1),
+                                                                 slice(last + 1, None))
+                shares = [h[f, part].sum() for part in parts]
+                for child, part, share in zip(children, parts, shares):
+                    weight[c, child] = _step(g[f, part].sum(), share, rate, l2)
+                # A node that cannot give both sides their share is not looked at again.
+                again = [(c, child) for child, share in zip(children, shares)
+                         if level + 1 < depth and share >= 2 * least * UNIT]
+                if again:
+                    following += again
+                    asked.append((c, children[int(shares[1] < shares[0])]))
+            open_nodes, above = following, here
             if not open_nodes:
                 break
         values = cut.copy()
@@ -242,6 +250,14 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str = "Cluster
     return model
 
 
+def _own_sums(sums: dict, above: dict, c: int, node: int) -> tuple[np.ndarray, np.ndarray]:
+    """A node's sums, which are its parent's without its sibling's if only that one was summed."""
+    if (c, node) in sums:
+        return sums[c, node]
+    parent, sibling = above[c, (node - 1) // 2], sums[c, node + 1 if node % 2 else node - 1]
+    return parent[0] - sibling[0], parent[1] - sibling[1]
+
+
 def _step(g: int, h: int, rate: float, l2: float) -> float:
     """Weight of a leaf with these sums."""
     return -rate * (g / UNIT) / (h / UNIT + l2)

@@ -36,3 +36,17 @@ def test_no_level_goes_through_older_trees_again(spark, monkeypatch):
     assert len(model.feature) == len(often.feature) == 15
     assert np.array_equal(model.feature, often.feature)
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_one_of_two_siblings_is_summed(spark, monkeypatch):
+    asked, summed = [], G._node_sums
+    monkeypatch.setattr(G, "_node_sums", lambda state, feature, cut, nodes, *rest: asked.append(
+        list(nodes)) or summed(state, feature, cut, nodes, *rest))
+    rng = np.random.default_rng(4)
+    rows = [(int(a * 3 + b * 2) % 3, a, b) for a, b in rng.random((300, 2)).tolist()]
+    train = spark.createDataFrame(rows, "Cluster int, a double, b double")
+    model = G.fit_boosted(train, ["a", "b"], rounds=2, depth=4)
+    assert (model.feature != G.LEAF).sum() > 6
+    for nodes in asked:
+        parents = [(c, (node - 1) // 2) for c, node in nodes if node]
+        assert len(set(parents)) == len(parents)
