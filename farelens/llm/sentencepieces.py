@@ -4,12 +4,13 @@ A text becomes words: spaces are marks (U+2581), and a word is a run of marks wi
 follows up to the next mark or line end; no piece crosses such a border.  Words are met once
 per chunk of documents, then once in all:
 
-1. A chunk of documents stores its distinct words and each document as places among them.
+1. A chunk of documents stores its distinct words and each document as places among them, in
+   buckets of the chunk, so that it is not shuffled when the ids come back.
 2. Words go to an owner, are made distinct, and are exploded into all substrings that may be
    a piece.  An equi-join with the piece table (as large as the vocabulary file, hence
    broadcast) leaves the lattice's edges, which are grouped by word again.
 3. A higher-order ``aggregate`` folds the edges into the word's ids.
-4. Owners return the ids to the chunks, which put the documents together.
+4. Owners return the ids to the chunks, two bytes each, which put the documents together.
 
 The fold is the model's own rule.  For a unigram model it is Viterbi's: positions from left to
 right with the best score and the best edge into each.  A BPE model is defined by merges, and
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from farelens.llm.tables import store
+from farelens.llm.tables import lean, store_buckets
 
 MARK = "▁"
 CHUNK = 8 << 20  # characters
@@ -155,29 +156,29 @@ def _bytes(text: str, vocabulary: Vocabulary) -> str:
 def _ids(word: str, borders: str, vocabulary: Vocabulary) -> str:
     """SQL for the ids between neighbouring ``borders``."""
     return f"""
-        flatten(transform(sequence(0, size({borders}) - 2), k ->
-            CASE WHEN exists(edges, x -> x.s = {borders}[k] AND x.e = {borders}[k + 1])
-            THEN array(get(filter(edges, x -> x.s = {borders}[k] AND x.e = {borders}[k + 1]), 0).id)
-            ELSE {_bytes(f"substring({word}, {borders}[k] + 1, {borders}[k + 1] - {borders}[k])",
-                         vocabulary)} END))"""
+        transform(array({borders}), cuts -> flatten(transform(sequence(0, size(cuts) - 2), k ->
+            transform(array(get(filter(edges, x -> x.s = cuts[k] AND x.e = cuts[k + 1]), 0).id),
+                id -> CASE WHEN id IS NOT NULL THEN array(id) ELSE {_bytes(
+                    f"substring({word}, cuts[k] + 1, cuts[k + 1] - cuts[k])", vocabulary)} END)[0]
+            )))[0]"""
 
 
 def fold_merges(edges: DataFrame, vocabulary: Vocabulary, word: str = "word") -> DataFrame:
     """Replace ``edges`` by ``ids``: merge the best pair until none is left."""
-    masked = edges.withColumn("pairs", F.expr("""
-        transform(filter(edges, x -> x.e - x.s > 1), x -> struct(
-            shiftleft(1L, x.s) | shiftleft(1L, x.e) AS ends,
-            (shiftleft(1L, x.e) - 1) & ~(shiftleft(1L, x.s + 1) - 1) AS inner))"""))
+    # Bound as a lambda's argument, the pairs and the mask are worked out once a word; a column
+    # would be put into the lambda that reads it, and worked out for each of its steps.
     # A pair has borders at both ends of its edge and one between.
     whole = f"shiftleft(1L, char_length({word}) + 1) - 1"
-    merged = masked.withColumn("mask", F.expr(f"""
-        aggregate(sequence(1, char_length({word})), {whole}, (m, i) -> m & ~coalesce(
+    cut = edges.withColumn("borders", F.expr(f"""
+        transform(array(transform(filter(edges, x -> x.e - x.s > 1), x -> struct(
+            shiftleft(1L, x.s) | shiftleft(1L, x.e) AS ends,
+            (shiftleft(1L, x.e) - 1) & ~(shiftleft(1L, x.s + 1) - 1) AS inner))), pairs ->
+        transform(array(aggregate(sequence(1, char_length({word})), {whole}, (m, i) -> m & ~coalesce(
             get(filter(pairs, x -> m & x.ends = x.ends AND bit_count(m & x.inner) = 1), 0).inner,
-            0L))"""))
-    cut = merged.withColumn("borders", F.expr(
-        f"filter(sequence(0, char_length({word})), i -> shiftright(mask, i) & 1 = 1)"))
+            0L))), mask ->
+        filter(sequence(0, char_length({word})), i -> shiftright(mask, i) & 1 = 1))[0])[0]"""))
     return cut.withColumn("ids", F.expr(_ids(word, "borders", vocabulary))).drop(
-        "edges", "pairs", "mask", "borders")
+        "edges", "borders")
 
 
 def fold_viterbi(edges: DataFrame, vocabulary: Vocabulary, word: str = "word") -> DataFrame:
@@ -207,32 +208,44 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary, keys: tuple[str, ...]
     return fold(lattice(words, vocabulary, keys), vocabulary, keys[-1])
 
 
-def chunked(docs: DataFrame, prefix: bool, owners: int) -> DataFrame:
-    """``chunk, doc_ids, ends, places, sent``: documents as places among the chunk's distinct
-    words, which are listed by owner."""
-    sent_type = pa.list_(pa.struct([("owner", pa.int32()), ("words", pa.list_(pa.string()))]))
+def owners_of(words: list[str], owners: int) -> np.ndarray:
+    return np.array([zlib.crc32(w.encode()) % owners for w in words], np.int64)
+
+
+def pack_places(places: np.ndarray) -> bytes:
+    """Places among words that are numbered as they first occur.
+
+    A word's first place is 0, as it is the next number, and others are one more than they were.
+    Bytes of equal weight stand together.
+    """
+    first = np.zeros(len(places), bool)
+    first[np.unique(places, return_index=True)[1]] = True
+    values = np.where(first, 0, places + 1).astype("<u4")
+    return pa.compress(values.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+
+
+def unpack_places(blob: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(blob, 4 * n, "zstd", asbytes=True), np.uint8)
+    values = np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+    return np.where(values == 0, np.cumsum(values == 0) - 1, values - 1)
 
+
+def chunked(docs: DataFrame, prefix: bool) -> DataFrame:
+    """``chunk, doc_ids, ends, places, words``: documents as places among the chunk's distinct
+    words, which are parted by the space, as no word has one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         known: dict[str, int] = {}
         ids, ends, places, size = [], [0], [], 0
 
         def row() -> pa.RecordBatch:
-            words = list(known)
-            owner = np.array([zlib.crc32(w.encode()) % owners for w in words], np.int64)
-            order = np.argsort(owner, kind="stable")
-            new = np.empty(len(words), np.uint32)
-            new[order] = np.arange(len(words), dtype=np.uint32)
-            parts = np.split(order, np.flatnonzero(np.diff(owner[order])) + 1)
-            sent = [{"owner": int(owner[p[0]]), "words": [words[i] for i in p]}
-                    for p in parts if len(p)]
-            flat = new[np.concatenate([np.zeros(0, np.int64), *places])]
+            flat = np.concatenate([np.zeros(0, np.int64), *places])
             return pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
                  pa.array([ends], pa.list_(pa.int64())),
-                 pa.array([pa.compress(flat.astype("<u4").tobytes(), "zstd", asbytes=True)]),
-                 pa.array([sent], sent_type)],
-                names=["chunk", "doc_ids", "ends", "places", "sent"])
+                 pa.array([pack_places(flat) if len(flat) else b""], pa.binary()),
+                 pa.array([" ".join(known)], pa.string())],
+                names=["chunk", "doc_ids", "ends", "places", "words"])
 
         for batch in batches:
             for doc, text in zip(batch.column(0), batch.column(1)):
@@ -251,9 +264,26 @@ def chunked(docs: DataFrame, prefix: bool, owners: int) -> DataFrame:
         if ids:
             yield row()
 
-    return docs.mapInArrow(
-        run, "chunk long, doc_ids array<long>, ends array<long>, places binary, "
-             "sent array<struct<owner:int,words:array<string>>>")
+    return docs.mapInArrow(lean(run), "chunk long, doc_ids array<long>, ends array<long>, "
+                                      "places binary, words string")
+
+
+def sent(table: DataFrame, owners: int) -> DataFrame:
+    """``owner, line``: the words of a chunk that an owner gets, after the chunk's number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, words in zip(*(c.to_pylist() for c in batch.columns)):
+                words = words.split(" ")
+                owner = owners_of(words, owners)
+                order = np.argsort(owner, kind="stable")
+                parts = np.split(order, np.flatnonzero(np.diff(owner[order])) + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([owner[p[0]] for p in parts], pa.int32()),
+                     pa.array([" ".join([str(number), *(words[i] for i in p)]) for p in parts])],
+                    names=["owner", "line"])
+
+    return table.where("words <> ''").select("chunk", "words").mapInArrow(
+        lean(run), "owner int, line string")
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id",
@@ -264,36 +294,62 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id",
     # Rows that are dealt by owner serve for words, for edges by word, and for the way back.
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     owners = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = store(chunked(docs.select(F.col(doc_id).cast("long").alias("doc_id"),
-                                      F.col(text).alias("text")), vocabulary.prefix, owners),
-                  "words")
-    dealt = table.select("chunk", F.inline("sent")).repartition("owner").select(
-        "owner", "chunk", F.posexplode("words").alias("place", "word"))
+    table = store_buckets(chunked(docs.select(F.col(doc_id).cast("long").alias("doc_id"),
+                                              F.col(text).alias("text")), vocabulary.prefix),
+                          "words", "chunk")
+    # Both uses explode alike and need both columns, and no key is null, which the joins would
+    # ask of one side only, so they share one exchange.
+    lines = sent(table, owners).where("owner IS NOT NULL").repartition("owner").select(
+        "owner", F.split("line", " ").alias("line"))
+    dealt = lines.select(
+        "owner", F.coalesce(F.col("line")[0].cast("long"), F.lit(-1)).alias("chunk"),
+        F.posexplode("line").alias("place", "word")).where("place > 0")
     short = F.char_length("word") <= LONGEST
     encoded = encode_words(dealt.where(short).select("owner", "word").distinct(), vocabulary,
                            ("owner", "word"))
+    # A word's ids as hexadecimal digits; none where the word is too long for the fold.
+    digits = 4 if len(vocabulary.texts) <= 1 << 16 else 8
     ids = dealt.join(encoded, ["owner", "word"], "left").select(
         "chunk", "owner", "place", F.coalesce("ids", F.when(
-            short, F.expr(_bytes("word", vocabulary)))).alias("ids"))
-    returned = ids.groupBy("chunk", "owner").agg(
-        F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("ids"))
+            short, F.expr(_bytes("word", vocabulary)))).alias("ids")).select(
+        "chunk", "owner", F.struct(
+            "place", F.coalesce(F.expr("lpad(hex(size(ids)), 4, '0')"), F.lit("0000")).alias("n"),
+            F.expr(f"coalesce(array_join(transform(ids, x -> lpad(hex(x), {digits}, '0')), ''), '')"
+                   ).alias("ids")).alias("x"))
+    returned = ids.groupBy("chunk", "owner").agg(F.sort_array(F.collect_list("x")).alias("x"))
     # Bounded by the words of one chunk.
-    returned = returned.select("chunk", F.struct("owner", F.col("ids.ids").alias("ids")).alias("r")
-                               ).groupBy("chunk").agg(F.sort_array(F.collect_list("r")).alias("r"))
+    returned = returned.select("chunk", F.struct(
+        "owner", F.unhex(F.array_join("x.n", "")).alias("n"),
+        F.unhex(F.array_join("x.ids", "")).alias("ids")).alias("r")
+    ).groupBy("chunk").agg(F.sort_array(F.collect_list("r")).alias("r"))
+    kind = f">u{digits // 2}"
+
+    def own_ids(words: list[str], replies: list[dict]) -> list[list[int] | None]:
+        """Ids of each word as the owners gave them back, None for none."""
+        sizes = np.frombuffer(b"".join(x["n"] for x in replies), ">u2").astype(np.int64)
+        flat = np.frombuffer(b"".join(x["ids"] for x in replies), kind).tolist()
+        order = np.argsort(owners_of(words, owners), kind="stable").tolist()
+        found: list[list[int] | None] = [None] * len(words)
+        end = 0
+        for i, n in zip(order, sizes.tolist()):
+            if n:
+                found[i] = flat[end:end + n]
+                end += n
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_ids, ends, places, sent, replies in zip(*(c.to_pylist() for c in batch.columns)):
-                words = [w for part in sent or [] for w in part["words"]]
-                found = [x for part in replies or [] for x in part["ids"]]
+            for doc_ids, ends, places, words, replies in zip(
+                    *(c.to_pylist() for c in batch.columns)):
+                words = words.split(" ") if words else []
+                found = own_ids(words, replies or [])
                 codes, good = [], np.ones(len(words), bool)
                 for i, (word, own) in enumerate(zip(words, found)):
                     own = merge_long(word, vocabulary) if own is None else own
                     good[i] = b"".join(vocabulary.texts[x] for x in own) == word.replace(
                         MARK, " ").encode()
                     codes.append(np.array(own, "<i4").tobytes())
-                flat = np.frombuffer(pa.decompress(places, 4 * ends[-1], "zstd", asbytes=True)
-                                     if ends[-1] else b"", "<u4")
+                flat = unpack_places(places, ends[-1]) if ends[-1] else np.zeros(0, np.int64)
                 for start in range(0, len(doc_ids), 64):
                     part = range(start, min(start + 64, len(doc_ids)))
                     each = [flat[ends[d]:ends[d + 1]] for d in part]
@@ -307,8 +363,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id",
                         names=["doc_id", "n_ids", "ids", "round_trip"])
 
     return table.join(returned, "chunk", "left").select(
-        "doc_ids", "ends", "places", "sent", "r").mapInArrow(
-            run, "doc_id long, n_ids long, ids array<int>, round_trip boolean")
+        "doc_ids", "ends", "places", "words", "r").mapInArrow(
+            lean(run), "doc_id long, n_ids long, ids array<int>, round_trip boolean")
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:

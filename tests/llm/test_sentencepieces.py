@@ -1,8 +1,10 @@
 """Ids against the library (merges) and against brute force (Viterbi), and decoding."""
 
 import random
+import re
 from itertools import combinations
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -68,3 +70,22 @@ def test_viterbi_is_the_best_sum(spark, seed):
         assert b"".join(texts[i] for i in r.ids) == r.word.encode()
         total = sum({i: s for i, s in pieces.values()}.get(i, worst) for i in r.ids)
         assert abs(total - best) < 1e-9
+
+
+def test_places_come_back():
+    places = np.array([0, 1, 0, 2, 2, 1, 3, 0], np.int64)
+    assert sp.unpack_places(sp.pack_places(places), len(places)).tolist() == places.tolist()
+
+
+def test_chunks_are_not_shuffled_again(spark):
+    """The documents of a chunk stay where they were stored; words go to owners once."""
+    docs = spark.createDataFrame([(i, f"word{i} and {'y' * 70}") for i in range(20)],
+                                 "doc_id long, text string").repartition(4)
+    encoded = sp.encode(docs, sp.read_model(PATH))
+    found = encoded.collect()
+    assert len(found) == 20 and all(r.round_trip for r in found)
+    plan = encoded._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    exchanges = re.findall(r"\(\d+\) Exchange\n.*\nArguments: (.*?),", plan)
+    assert not any("places" in x for x in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: (.*)", plan))
+    assert len(exchanges) >= 2 and "SelectedBucketsCount" in plan and "ReusedExchange" in plan
