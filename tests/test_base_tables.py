@@ -3,7 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from farelens import bindings as B
+from farelens.operators import prep
 from farelens.operators.joins import Bucketed, co_joined
+from farelens.registry import base
 from farelens.session import co_located
 from farelens.sources import stored as stored_module
 from farelens.sources.stored import stored, stored_buckets
@@ -69,3 +72,38 @@ def test_a_frame_out_of_a_join_is_stored_as_it_is(spark, tmp_path, monkeypatch):
     for even in (True, False):
         stored(f"t{even}", _rows(50, 3), spark, str(tmp_path), even=even)
     assert "Exchange" in plans[0] and "Exchange" not in plans[1]
+
+
+def test_extracts_share_one_table_in_buckets(spark, tmp_path, monkeypatch):
+    """Sales, trips and loyalty records are the same line items; rows at the border of a year and
+    without a day are as in the plain extracts."""
+    d = str(tmp_path)
+    spark.range(400).selectExpr(
+        "id AS l_orderkey", "id % 37 AS l_partkey", "id % 41 AS l_suppkey", "1 AS l_linenumber",
+        "5D AS l_quantity", "100D AS l_extendedprice", "0.1D AS l_discount", "0.2D AS l_tax",
+        "'N' AS l_returnflag", "'b' AS p_brand", "'LARGE' AS p_type", "3 AS p_size",
+        "9D AS p_retailprice", "'O' AS o_orderstatus", "'2-HIGH' AS o_orderpriority",
+        "id % 5 AS c_custkey", "'c' AS c_name", "'BUILDING' AS c_mktsegment",
+        "IF(id % 3 = 0, 'ASIA', IF(id % 7 = 0, NULL, 'AFRICA')) AS ORIGEN",
+        "IF(id % 2 = 0, 'AFRICA', 'AMERICA') AS DESTINO",
+        "IF(id % 11 = 0, NULL, date_add(DATE'1995-12-28', CAST(id % 8 AS INT))) AS FECHA_CORRIDA",
+        "date_add(DATE'1995-12-28', CAST(id % 8 - id % 5 AS INT)) AS FECHA_OPERACION",
+    ).write.parquet(f"{d}/star")
+    monkeypatch.setattr(B, "_joined_star", lambda s, x: s.read.parquet(f"{x}/star"))
+    written, write = [], stored_module._written
+    monkeypatch.setattr(stored_module, "_written", lambda *a: written.append(a[1]) or write(*a))
+    for got, want in ((base.sales, base.extracted_sales), (base.trips, base.extracted_trips),
+                      (base.loyalty, base.extracted_loyalty)):
+        rows = got(spark, d).collect()
+        assert rows and sorted(map(str, rows)) == sorted(map(str, want(spark, d).collect()))
+    assert written == ["lines"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with co_located(spark):
+            found = {name: Bucketed(x.keys, x.cold)
+                     for name, x in base.by_route_day(spark, d).items()}
+            plan = prep.co_join_loyalty(prep.co_join_trips(
+                found["sales"], found["trips"]), found["loyalty"]).rows()
+            assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
