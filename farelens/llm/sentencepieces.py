@@ -131,19 +131,34 @@ def merge_long(word: str, vocabulary: Vocabulary) -> list[int]:
 def lattice(words: DataFrame, vocabulary: Vocabulary, keys: tuple[str, ...] = ("word",)
             ) -> DataFrame:
     """``words`` (distinct, by ``keys``, of which the last is the word) with ``edges``, all
-    substrings that are pieces: ``rank, s, e, id, score``, the best score and then the leftmost
-    start first."""
+    substrings that are pieces, the best score and then the leftmost start first.
+
+    An edge is a struct ``s, e, id, score`` after its rank for a unigram model.  Merges only
+    compare scores, so there it is one number: rank, start, end and id, see ``_START``.
+    """
     spark = words.sparkSession
+    ranks = {x: r for r, x in enumerate(sorted({-x for _, x in vocabulary.pieces.values()}))}
     table = spark.createDataFrame(
-        [(p, i, s) for p, (i, s) in vocabulary.pieces.items()], "piece string, id int, score double")
+        [(p, i, s, ranks[-s]) for p, (i, s) in vocabulary.pieces.items()],
+        "piece string, id int, score double, rank long")
     word = keys[-1]
-    parts = words.withColumn("part", F.explode(F.expr(f"""
-        flatten(transform(sequence(0, char_length({word}) - 1), s -> transform(
-            sequence(s + 1, least(char_length({word}), s + {vocabulary.longest})),
-            e -> struct(s, e, substring({word}, s + 1, e - s) AS piece))))""")))
-    edges = parts.select(*keys, "part.*").join(F.broadcast(table), "piece").select(
-        *keys, F.struct((-F.col("score")).alias("rank"), "s", "e", "id", "score").alias("edge"))
-    return edges.groupBy(*keys).agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    # One row a start, then one an end: what stands between is compiled, unlike a lambda.
+    parts = words.withColumn("s", F.explode(F.expr(f"sequence(0, char_length({word}) - 1)"))
+                             ).withColumn("e", F.explode(F.expr(
+        f"sequence(s + 1, least(char_length({word}), s + {vocabulary.longest}))")))
+    edge = F.struct((-F.col("score")).alias("rank"), "s", "e", "id", "score") if (
+        vocabulary.unigram) else F.expr(
+        "shiftleft(rank, 40) + shiftleft(CAST(s AS LONG), 34) + shiftleft(CAST(e AS LONG), 28) + id")
+    edges = parts.select(*keys, "s", "e", F.expr(f"substring({word}, s + 1, e - s)").alias("piece")
+                         ).join(F.broadcast(table), "piece").select(*keys, edge.alias("edge"))
+    # The word first, as rows are sorted by the first bytes of the first key.
+    return edges.groupBy(*reversed(keys)).agg(
+        F.sort_array(F.collect_list("edge")).alias("edges"))
+
+
+# Parts of an edge in one number: rank of the score (23 bits), start and end (6 each), id (28).
+_START, _END, _ID = (f"CAST(shiftright(x, {n}) & {m} AS INT)" for n, m in (
+    (34, 63), (28, 63), (0, (1 << 28) - 1)))
 
 
 def _bytes(text: str, vocabulary: Vocabulary) -> str:
@@ -155,9 +170,13 @@ def _bytes(text: str, vocabulary: Vocabulary) -> str:
 
 def _ids(word: str, borders: str, vocabulary: Vocabulary) -> str:
     """SQL for the ids between neighbouring ``borders``."""
+    found = ("get(filter(edges, x -> x.s = cuts[k] AND x.e = cuts[k + 1]), 0).id"
+             if vocabulary.unigram else
+             "transform(array(get(filter(edges, x -> shiftright(x, 28) & 4095 = "
+             f"64 * cuts[k] + cuts[k + 1]), 0)), x -> {_ID})[0]")
     return f"""
         transform(array({borders}), cuts -> flatten(transform(sequence(0, size(cuts) - 2), k ->
-            transform(array(get(filter(edges, x -> x.s = cuts[k] AND x.e = cuts[k + 1]), 0).id),
+            transform(array({found}),
                 id -> CASE WHEN id IS NOT NULL THEN array(id) ELSE {_bytes(
                     f"substring({word}, cuts[k] + 1, cuts[k + 1] - cuts[k])", vocabulary)} END)[0]
             )))[0]"""
@@ -167,15 +186,17 @@ def fold_merges(edges: DataFrame, vocabulary: Vocabulary, word: str = "word") ->
     """Replace ``edges`` by ``ids``: merge the best pair until none is left."""
     # Bound as a lambda's argument, the pairs and the mask are worked out once a word; a column
     # would be put into the lambda that reads it, and worked out for each of its steps.
-    # A pair has borders at both ends of its edge and one between.
+    # A pair has borders at both ends of its edge and one between.  When none is left, the sign
+    # is set, and the steps that remain look at nothing.
     whole = f"shiftleft(1L, char_length({word}) + 1) - 1"
     cut = edges.withColumn("borders", F.expr(f"""
-        transform(array(transform(filter(edges, x -> x.e - x.s > 1), x -> struct(
-            shiftleft(1L, x.s) | shiftleft(1L, x.e) AS ends,
-            (shiftleft(1L, x.e) - 1) & ~(shiftleft(1L, x.s + 1) - 1) AS inner))), pairs ->
-        transform(array(aggregate(sequence(1, char_length({word})), {whole}, (m, i) -> m & ~coalesce(
-            get(filter(pairs, x -> m & x.ends = x.ends AND bit_count(m & x.inner) = 1), 0).inner,
-            0L))), mask ->
+        transform(array(transform(filter(edges, x -> {_END} - {_START} > 1), x -> struct(
+            shiftleft(1L, {_START}) | shiftleft(1L, {_END}) AS ends,
+            (shiftleft(1L, {_END}) - 1) & ~(shiftleft(1L, {_START} + 1) - 1) AS inner))), pairs ->
+        transform(array(aggregate(sequence(1, char_length({word})), {whole}, (m, i) -> IF(m < 0, m,
+            coalesce(m & ~get(filter(pairs, x -> m & x.ends = x.ends
+                                     AND bit_count(m & x.inner) = 1), 0).inner,
+                     m | shiftleft(1L, 63))))), mask ->
         filter(sequence(0, char_length({word})), i -> shiftright(mask, i) & 1 = 1))[0])[0]"""))
     return cut.withColumn("ids", F.expr(_ids(word, "borders", vocabulary))).drop(
         "edges", "borders")

@@ -89,3 +89,21 @@ def test_chunks_are_not_shuffled_again(spark):
     exchanges = re.findall(r"\(\d+\) Exchange\n.*\nArguments: (.*?),", plan)
     assert not any("places" in x for x in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: (.*)", plan))
     assert len(exchanges) >= 2 and "SelectedBucketsCount" in plan and "ReusedExchange" in plan
+
+
+def test_edges_of_merges_are_single_numbers(spark):
+    """All substrings that are pieces, by rank of the score, start and end; equal scores tie."""
+    scores = {"a": -9.0, "b": -9.0, "c": -8.0, "ab": -1.0, "bc": -1.0, "abc": -3.0, "ca": -2.0}
+    pieces = {p: (i + 300, x) for i, (p, x) in enumerate(scores.items())}
+    vocabulary = sp.Vocabulary(pieces, [], 0, False, False)
+    words = ["abcab", "c", "dd", "cab" * 20]
+    found = {r.word: r.edges for r in sp.lattice(
+        spark.createDataFrame([(1, w) for w in words], "owner int, word string"), vocabulary,
+        ("owner", "word")).collect()}
+    ranks = {x: r for r, x in enumerate(sorted({-x for x in scores.values()}))}
+    for w in words:
+        want = sorted((ranks[-pieces[w[s:e]][1]], s, e, pieces[w[s:e]][0])
+                      for s in range(len(w)) for e in range(s + 1, min(len(w), s + 3) + 1)
+                      if w[s:e] in pieces)
+        assert [(x >> 40, x >> 34 & 63, x >> 28 & 63, x & (1 << 28) - 1)
+                for x in found.get(w, [])] == want
