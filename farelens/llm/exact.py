@@ -25,13 +25,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from farelens.llm import golomb
-from farelens.llm.tables import lean, sift, store, unused
+from farelens.llm.tables import freed, lean, sift, store, unused
 
 BITS = 48
 CHUNK = 1 << 18  # hashes a sender holds before it sends
@@ -67,28 +66,31 @@ def suspects(hashes: DataFrame, owners: int) -> DataFrame:
         if held:
             yield flush()
 
-    def answer(group: pd.DataFrame) -> pd.DataFrame:
-        received = [golomb.decode(x) for x in group["sent"]]
+    def answer(group: pa.Table) -> pa.Table:
+        received = [golomb.decode(x) for x in group["sent"].to_pylist()]
         values, count = np.unique(np.concatenate(received), return_counts=True)
         twice = values[count > 1]
-        return pd.DataFrame({
+        return pa.table({
             "sender": group["sender"], "owner": group["owner"],
-            "bitmap": [golomb.pack(np.isin(x, twice, assume_unique=True)) for x in received]})
+            "bitmap": pa.array([golomb.pack(np.isin(x, twice, assume_unique=True))
+                                for x in received], pa.binary())})
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.itertuples():
-                values = golomb.decode(row.sent)
-                hit = golomb.unpack(row.bitmap, len(values)) | golomb.unpack(
-                    row.own, len(values))
-                start = golomb.range_start(row.owner, owners, BITS)
-                yield pd.DataFrame({"h": values[hit].astype(np.int64) + start})
+            for row in batch.to_pylist():
+                values = golomb.decode(row["sent"])
+                hit = golomb.unpack(row["bitmap"], len(values)) | golomb.unpack(
+                    row["own"], len(values))
+                start = golomb.range_start(row["owner"], owners, BITS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values[hit].astype(np.int64) + start, pa.int64())], names=["h"])
 
     sent = store(hashes.mapInArrow(
         lean(send), "sender long, owner int, sent binary, own binary"), "sent")
-    answers = sent.select("sender", "owner", "sent").groupBy("owner").applyInPandas(
-        answer, "sender long, owner int, bitmap binary")
-    return sent.join(answers, ["sender", "owner"]).mapInPandas(read, "h long")
+    # In Arrow, as workers keep what they import, and pandas is 24 MB of each.
+    answers = sent.select("sender", "owner", "sent").groupBy("owner").applyInArrow(
+        freed(answer), "sender long, owner int, bitmap binary")
+    return sent.join(answers, ["sender", "owner"]).mapInArrow(lean(read), "h long")
 
 
 def mark(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -29,10 +29,9 @@ one space; an empty table gives no rows; columns beside id and text are carried
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -40,11 +39,11 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from farelens.llm import golomb
-from farelens.llm.tables import lean, store
+from farelens.llm.tables import freed, lean, store
 
 CHUNK = 4 << 20  # bytes of text
 BITS = 48
-MOST_WORDS = 1 << 20
+MOST_WORDS = 1 << 16  # words whose hashes are remembered
 LAST = 2 ** 63 - 1
 # Odd factors, one per position, for either half of a window's hash.
 _KEYS, _MORE = np.random.default_rng(23).integers(
@@ -107,8 +106,7 @@ class Chunk:
     def __init__(self, batch: pa.RecordBatch, doc_id: str, text: str):
         ids = batch.column(batch.schema.get_field_index(doc_id)).to_pylist()
         self.order = np.array([LAST if i is None else i for i in ids], np.int64)
-        self.words = [(x or "").encode().split() for x in
-                      batch.column(batch.schema.get_field_index(text)).to_pylist()]
+        self.texts = batch.column(batch.schema.get_field_index(text))
         self.by_id = np.argsort(self.order, kind="stable")
         known: dict[bytes, int] = {}
         self.hashes = []
@@ -120,6 +118,11 @@ class Chunk:
             self.hashes.append(
                 np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
 
+    @property
+    def words(self) -> Iterator[list[bytes]]:
+        """Of each document, split anew: held as objects they take many times the text's bytes."""
+        return ((x.as_py() or "").encode().split() for x in self.texts)
+
     def first_level(self, window: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct half-length hashes, and whether two documents here have them."""
         each = [np.unique(half_hashes(w, window)) for w in self.hashes]
@@ -228,16 +231,17 @@ def chunked(docs: DataFrame, doc_id: str, text: str, window: int, owners: int) -
 
 def answers(sent: DataFrame, decide) -> DataFrame:
     """``chunk, owner, bitmap``: each owner decides on the hashes that it was sent."""
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        received = [golomb.decode(x) for x in group["sent"]]
-        flags = decide(received, group)
-        return pd.DataFrame({"chunk": group["chunk"], "owner": group["owner"],
-                             "bitmap": [golomb.pack(x) for x in flags]})
+    def run(group: pa.Table) -> pa.Table:
+        received = [golomb.decode(x) for x in group["sent"].to_pylist()]
+        flags = decide(received, group.drop_columns(["sent"]).to_pydict())
+        return pa.table({"chunk": group["chunk"], "owner": group["owner"], "bitmap": pa.array(
+            [golomb.pack(x) for x in flags], pa.binary())})
 
-    return sent.groupBy("owner").applyInPandas(run, "chunk long, owner int, bitmap binary")
+    # In Arrow, as workers keep what they import, and pandas is 24 MB of each.
+    return sent.groupBy("owner").applyInArrow(freed(run), "chunk long, owner int, bitmap binary")
 
 
-def elsewhere(received: list[np.ndarray], _: pd.DataFrame) -> list[np.ndarray]:
+def elsewhere(received: list[np.ndarray], _: Mapping) -> list[np.ndarray]:
     """Which hashes another chunk has sent too."""
     values, count = np.unique(np.concatenate(received), return_counts=True)
     twice = values[count > 1]
@@ -249,7 +253,7 @@ def in_order(part: np.ndarray) -> np.ndarray:
     return part + np.arange(len(part), dtype=np.uint64)
 
 
-def smaller_elsewhere(received: list[np.ndarray], group: pd.DataFrame) -> list[np.ndarray]:
+def smaller_elsewhere(received: list[np.ndarray], group: Mapping) -> list[np.ndarray]:
     """Which hashes a smaller id has in another chunk."""
     hashes = np.concatenate([x - np.arange(len(x), dtype=np.uint64) for x in received])
     ids = np.concatenate([unpack_ids(x, len(v)) for x, v in zip(group["ids"], received)])
@@ -334,11 +338,11 @@ def remove(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", text: str
                     at += len(part)
                 smaller = np.concatenate([np.zeros(0, bool), *covered])
                 gone = []
-                for d, words in enumerate(chunk.words):
+                for d, w in enumerate(chunk.hashes):
                     starts, *hashes = chunk.candidates(d, window, halves)
                     p = places_of((values, further), *hashes)
                     hit = starts[smaller[p] | (ids[p] < chunk.order[d])]
-                    edge = np.zeros(len(words) + 1, np.int32)
+                    edge = np.zeros(len(w) + 1, np.int32)
                     np.add.at(edge, hit, 1)
                     np.add.at(edge, hit + window, -1)
                     gone.append(np.cumsum(edge[:-1]) > 0)
@@ -347,7 +351,7 @@ def remove(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", text: str
                 if digest:
                     yield pa.RecordBatch.from_arrays(
                         [rows.column(rows.schema.get_field_index(doc_id)).cast(pa.int64()),
-                         pa.array([len(w) for w in chunk.words], pa.int64()),
+                         pa.array([len(w) for w in chunk.hashes], pa.int64()),
                          pa.array([int(g.sum()) for g in gone], pa.int64()),
                          pa.array([hashlib.sha256(b" ".join(w) if k is None else k).hexdigest()
                                    for w, k in zip(chunk.words, kept)])],

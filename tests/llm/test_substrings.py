@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
-from farelens.llm import golomb, substrings
+from farelens.llm import exact, golomb, substrings
 
 
 def brute(rows, window=13):
@@ -103,3 +103,15 @@ def test_equal_first_halves_of_hashes_change_nothing(spark, monkeypatch):
             gone = {k for s in hit.tolist() for k in range(s, s + 13)}
             found[int(part.order[d])] = [w.decode() for k, w in enumerate(words) if k not in gone]
     assert [found[i] for i, _ in rows] == [kept for _, kept in brute(rows)]
+
+
+def test_words_are_not_held(spark):
+    """A chunk keeps hashes and the texts as they came, not a Python object for each word."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": [2, 1, None], "text": ["a b  c", None, ""]})
+    chunk = substrings.Chunk(batch, "doc_id", "text")
+    assert not any(isinstance(x, list) and x and isinstance(x[0], list)
+                   for x in vars(chunk).values())
+    assert list(chunk.words) == list(chunk.words) == [[b"a", b"b", b"c"], [], []]
+    assert [len(x) for x in chunk.hashes] == [3, 0, 0]
+    for module in (substrings, exact):  # workers import what the module does
+        assert not hasattr(module, "pd")
