@@ -43,7 +43,7 @@ from farelens.llm.tables import freed, lean, store
 
 CHUNK = 4 << 20  # bytes of text
 BITS = 48
-MOST_WORDS = 1 << 16  # words whose hashes are remembered
+MOST_WORDS = 1 << 18  # words whose hashes are remembered
 LAST = 2 ** 63 - 1
 # Odd factors, one per position, for either half of a window's hash.
 _KEYS, _MORE = np.random.default_rng(23).integers(
@@ -346,15 +346,16 @@ def remove(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", text: str
                     np.add.at(edge, hit, 1)
                     np.add.at(edge, hit + window, -1)
                     gone.append(np.cumsum(edge[:-1]) > 0)
+                # A text that loses nothing is joined only for its digest.
                 kept = [b" ".join(w for w, g in zip(words, marks.tolist()) if not g)
-                        if marks.any() else None for words, marks in zip(chunk.words, gone)]
+                        if marks.any() else b" ".join(words) if digest else None
+                        for words, marks in zip(chunk.words, gone)]
                 if digest:
                     yield pa.RecordBatch.from_arrays(
                         [rows.column(rows.schema.get_field_index(doc_id)).cast(pa.int64()),
                          pa.array([len(w) for w in chunk.hashes], pa.int64()),
                          pa.array([int(g.sum()) for g in gone], pa.int64()),
-                         pa.array([hashlib.sha256(b" ".join(w) if k is None else k).hexdigest()
-                                   for w, k in zip(chunk.words, kept)])],
+                         pa.array([hashlib.sha256(k).hexdigest() for k in kept])],
                         names=["doc_id", "n_words", "n_removed", "kept_sha256"])
                     continue
                 columns = list(rows.columns)
