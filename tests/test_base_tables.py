@@ -107,3 +107,26 @@ def test_extracts_share_one_table_in_buckets(spark, tmp_path, monkeypatch):
             assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _lines(spark, path):
+    spark.range(300).selectExpr(
+        "id", "IF(id % 3 = 0, 'ASIA', 'AFRICA') AS ORIGEN",
+        "IF(id % 2 = 0, 'AFRICA', 'AMERICA') AS DESTINO",
+        "date_add(DATE'1995-12-28', CAST(id % 8 AS INT)) AS FECHA_CORRIDA",
+        "date_add(DATE'1995-12-28', CAST(id % 8 - id % 5 AS INT)) AS FECHA_OPERACION",
+    ).write.parquet(path)
+    return lambda s, x: s.read.parquet(path)
+
+
+def test_lines_of_the_routes_do_without_the_whole_star(spark, tmp_path, monkeypatch):
+    """Only these line items are written, unless the star is there; the rows are the same."""
+    monkeypatch.setattr(B, "_joined_star", _lines(spark, str(tmp_path / "star")))
+    written, write = [], stored_module.write_table
+    monkeypatch.setattr(stored_module, "write_table",
+                        lambda df, *a, **how: written.append(df.count()) or write(df, *a, **how))
+    first = sorted(map(str, B.route_lines(spark, str(tmp_path / "a")).collect()))
+    assert 0 < len(first) < 300 and written == [len(first)]
+    stored("star", B._joined_star, spark, str(tmp_path / "b"), even=False)
+    assert sorted(map(str, B.route_lines(spark, str(tmp_path / "b")).collect())) == first
+    assert written == [len(first), 300]
