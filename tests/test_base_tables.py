@@ -130,3 +130,15 @@ def test_lines_of_the_routes_do_without_the_whole_star(spark, tmp_path, monkeypa
     stored("star", B._joined_star, spark, str(tmp_path / "b"), even=False)
     assert sorted(map(str, B.route_lines(spark, str(tmp_path / "b")).collect())) == first
     assert written == [len(first), 300]
+
+
+def test_routes_are_chosen_before_the_parts_are_joined(spark, tmp_path, monkeypatch):
+    """Line items of other routes are not shuffled for their part."""
+    d, seen = str(tmp_path), {}
+    for name, columns in B.TABLES.items():
+        spark.createDataFrame([], columns).write.parquet(f"{d}/{name}.parquet")
+    monkeypatch.setattr(B, "stored", lambda name, build, s, x, **how: seen.setdefault(
+        name, build(s, x)))
+    B.route_lines(spark, d)
+    plan = seen["route_lines"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("p_partkey") < plan.index("AFRICA-AMERICA") < plan.index("o_orderkey")
