@@ -2,11 +2,12 @@
 
 The rows are cut into bins once.  A round grows one tree for every class, all of them together,
 level by level: each task sums the gradients of its rows by (class, node, feature, bin), Spark
-adds the tasks' sums, and the driver picks the best split of every open node.  Of two siblings
-only the one with less weight is summed; the other has what is left of the parent.  What travels is
-bounded by ``classes * nodes * features * bins`` whatever the number of rows.  Gradients are whole
-multiples of 2^-24, so that sums are exact and the model does not depend on how the rows are
-partitioned.
+adds the tasks' sums, and the driver picks the best split of every open node.  A task sums by the
+combinations of the bins of a few features at once, and then over all but one of them.  Of two
+siblings only the one with less weight is summed; the other has what is left of the parent.  What
+travels is bounded by ``classes * nodes * features * bins`` whatever the number of rows.  Gradients
+are whole multiples of 2^-24, so that sums are exact and the model does not depend on how the rows
+are partitioned; they are dealt evenly, as many to each core.
 
 The rows' scores are written to the shared folder with every ``keep`` rounds.  In between the rows
 of the round are cached with what the trees since then add, so no level goes through them again;
@@ -16,6 +17,7 @@ a lost executor costs its tasks and those few rounds.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -120,12 +122,13 @@ def _leaves(values: np.ndarray, feature: np.ndarray, cut: np.ndarray,
 
 def gradients(scores: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and second derivatives of the softmax loss, in whole units."""
-    odds = np.exp(scores - scores.max(axis=1, keepdims=True))
-    share = odds / odds.sum(axis=1, keepdims=True)
-    target = np.zeros_like(share)
-    target[np.arange(len(labels)), labels] = 1
-    return (np.rint((share - target) * UNIT).astype(np.int64),
-            np.rint(share * (1 - share) * UNIT).astype(np.int64))
+    by_class = np.ascontiguousarray(scores.T)
+    odds = np.exp(by_class - by_class.max(axis=0))
+    share = odds / odds.sum(axis=0)
+    off = share.copy()
+    off[labels, np.arange(len(labels))] -= 1
+    return (np.rint(off * UNIT).astype(np.int64).T,
+            np.rint(share * (1 - share) * UNIT).astype(np.int64).T)
 
 
 def best_split(g: np.ndarray, h: np.ndarray, l2: float, least: float) -> tuple[float, int, int]:
@@ -190,11 +193,13 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str = "Cluster
     path = scratch_path(spark, "boosting-rows")
     rows.write.parquet(path)
     rows = spark.read.parquet(path)
-    classes = [r.y for r in rows.select("y").distinct().orderBy("y").collect()]
+    sizes = {r.y: r.n for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    classes, tasks = sorted(sizes), _tasks(spark, sum(sizes.values()))
     if len(classes) < 2:
         raise ValueError("there must be two classes at least")
     edges = bin_edges(rows, [f"x{i}" for i in range(len(features))], bins)
-    state = _binned(rows, edges, classes).persist()
+    used = [len(ends) + 1 for ends in edges]
+    state = _binned(rows, edges, classes).repartition(tasks).persist()
     k, width = len(classes), 2 ** (depth + 1) - 1
     model = BoostedClasses(features, classes, np.zeros(k), np.full((0, width), LEAF, np.int32),
                            np.zeros((0, width)), np.zeros((0, width)))
@@ -205,7 +210,7 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str = "Cluster
         open_nodes = asked = [(c, 0) for c in range(k)]
         above: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         for level in range(depth + 1):
-            sums = dict(zip(asked, _node_sums(state, feature, cut, asked, len(features), bins)))
+            sums = dict(zip(asked, _node_sums(state, feature, cut, asked, used, bins)))
             if before is not None:
                 before.unpersist()
                 before = None
@@ -242,7 +247,7 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str = "Cluster
             before = state
             grown = _rescored(state, BoostedClasses(features, classes, np.zeros(k), feature, cut,
                                                     weight), settle=(done + 1) % keep == 0)
-            state = _stored(grown) if (done + 1) % keep == 0 else grown
+            state = _stored(grown).repartition(tasks) if (done + 1) % keep == 0 else grown
             state = state.persist()
     state.unpersist()
     if before is not None:
@@ -271,23 +276,30 @@ def _grown(model: BoostedClasses, feature: np.ndarray, cut: np.ndarray,
 
 
 def _binned(rows: DataFrame, edges: list[np.ndarray], classes: list[int]) -> DataFrame:
-    """``y`` (place of the class), ``bins`` (a byte per feature), ``score`` and ``fresh`` (0 per
-    class)."""
+    """Blocks of ``y`` (place of the class), ``bins`` (a byte per feature), ``score`` and ``fresh``
+    (0 per class)."""
     order = np.array(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.column_stack([
-                np.searchsorted(ends, batch.column(i + 1).to_numpy(zero_copy_only=False))
-                for i, ends in enumerate(edges)]).astype(np.uint8)
-            none = np.zeros((len(found), len(order)))
-            yield _state(np.searchsorted(order, batch.column(0).to_numpy()), found, none, none)
+        for part in _opened(map(binned, batches)):
+            yield from _blocks(*part)
 
-    return _stored(rows.mapInArrow(run, STATE))
+    def binned(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = np.column_stack([
+            np.searchsorted(ends, batch.column(i + 1).to_numpy(zero_copy_only=False))
+            for i, ends in enumerate(edges)]).astype(np.uint8)
+        none = np.zeros((len(found), len(order)))
+        return _state(np.searchsorted(order, batch.column(0).to_numpy()), found, none, none)
+
+    return _stored(rows.mapInArrow(run, BLOCK))
 
 
 # ``fresh`` is what the trees add that ``score`` does not hold yet.
-STATE = "y int, bins binary, score binary, fresh binary"
+STATE = pa.schema([("y", pa.int32()), ("bins", pa.binary()), ("score", pa.binary()),
+                   ("fresh", pa.binary())])
+# Every level passes all of it to Python tasks, so many rows of the state are one row for Spark.
+BLOCK = "rows binary"
+BLOCK_BYTES = 1 << 18
 # Rows that a task looks at together: sums for all open nodes are worth many rows.
 TOGETHER = 1 << 16
 
@@ -312,7 +324,21 @@ def _state(labels: np.ndarray, bins: np.ndarray, scores: np.ndarray,
            fresh: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(labels, pa.int32()), _packed(bins), _packed(scores), _packed(fresh)],
-        names=["y", "bins", "score", "fresh"])
+        schema=STATE)
+
+
+def _blocks(*part: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of a state in blocks of some ``BLOCK_BYTES``."""
+    each = max(1, BLOCK_BYTES // sum(x[:1].nbytes for x in part))
+    for start in range(0, len(part[0]), each):
+        rows = _state(*(x[start:start + each] for x in part)).serialize().to_pybytes()
+        yield pa.RecordBatch.from_arrays([pa.array([rows], pa.binary())], names=["rows"])
+
+
+def _unblocked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """What ``_opened`` gives of the rows in blocks."""
+    return _opened(pa.ipc.read_record_batch(rows.as_buffer(), STATE)
+                   for batch in batches for rows in batch.column(0))
 
 
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -333,65 +359,119 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...
 def _stored(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "boosting-state")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(STATE).parquet(path)
+    return df.sparkSession.read.schema(BLOCK).parquet(path)
 
 
 def _rescored(state: DataFrame, trees: BoostedClasses, settle: bool) -> DataFrame:
     """The rows with what a round's ``trees`` add; ``settle`` puts all of it into the scores."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for labels, bins, scores, fresh in _opened(batches):
-            fresh = fresh + trees.scores(bins)
+        for labels, bins, scores, fresh in _unblocked(batches):
+            columns = np.ascontiguousarray(bins.T)
+            fresh = fresh + np.column_stack([
+                weight[_nodes(columns, feature, cut)]
+                for feature, cut, weight in zip(trees.feature, trees.cut, trees.weight)])
             if settle:
                 scores, fresh = scores + fresh, np.zeros_like(fresh)
-            yield _state(labels, bins, scores, fresh)
+            yield from _blocks(labels, bins, scores, fresh)
+
+    return state.mapInArrow(run, BLOCK)
+
+
+def _tasks(spark: SparkSession, rows: int) -> int:
+    """Tasks that go through the rows: a core gets as many rows as any other, and few at a time."""
+    cores = spark.sparkContext.defaultParallelism
+    return min(cores * math.ceil(rows / (cores * MOST)), max(1, math.ceil(rows / LEAST)))
+
+
+# Rows that are worth a task of their own, and rows that a task has at most.
+LEAST, MOST = 1 << 13, 1 << 19
+# Slots whose sums a task adds up.
+SLOTS = 1 << 14
+# Cells that the combined bins of features may have, over all nodes that are asked for.
+CELLS = 1 << 17
+
 
-    return state.mapInArrow(run, STATE)
+def _combined(sizes: Sequence[int], most: int) -> list[list[int]]:
+    """Neighbouring features whose bins have ``most`` combinations, or a feature by itself."""
+    groups, cells = [], most
+    for f, size in enumerate(sizes):
+        if groups and cells * size <= most:
+            groups[-1].append(f)
+            cells *= size
+        else:
+            groups.append([f])
+            cells = size
+    return groups
 
 
 def _node_sums(state: DataFrame, feature: np.ndarray, cut: np.ndarray,
-               nodes: list[tuple[int, int]], width: int, bins: int,
+               nodes: list[tuple[int, int]], sizes: Sequence[int], bins: int,
                ) -> list[tuple[np.ndarray, np.ndarray]]:
     """First and second derivatives of each open node's rows, by feature and bin.
 
-    The nodes of a class stand next to each other.
+    The nodes of a class stand next to each other.  ``sizes`` has the number of bins that each
+    feature uses.
     """
-    k = len(feature)
+    k, width = len(feature), len(sizes)
     place = np.full(feature.shape, -1, np.int64)
     for i, (c, node) in enumerate(nodes):
         place[c, node] = i
-    cells = width * bins
+    groups = [(group, [sizes[f] for f in group]) for group in _combined(sizes, CELLS // len(nodes))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, len(nodes) * cells), np.int64)
-        offsets = np.arange(width) * bins
-        for labels, found, scores, fresh in _opened(batches):
+        sums = [np.zeros((2, len(nodes), math.prod(shape)), np.int64) for _, shape in groups]
+        for labels, found, scores, fresh in _unblocked(batches):
             g, h = gradients(scores + fresh, labels)
-            at_bin = found + offsets
+            codes = [np.ravel_multi_index([found[:, f] for f in group], shape)
+                     for group, shape in groups]
+            columns = np.ascontiguousarray(found.T)
             for c in range(k):
                 mine = place[c][place[c] >= 0]
                 if not mine.size:
                     continue
-                first, end = mine.min() * cells, (mine.max() + 1) * cells
-                own = place[c, _nodes(found, feature[c], cut[c])]
+                first, end = mine.min(), mine.max() + 1
+                own = place[c, _nodes(columns, feature[c], cut[c])]
                 rows = np.flatnonzero(own >= 0)
-                slots = (own[rows, None] * cells - first + at_bin[rows]).ravel()
-                for i, x in enumerate((g, h)):
-                    # Sums of these rows stay below 2^53, so they are exact in doubles.
-                    total[i, first:end] += np.bincount(slots, np.repeat(x[rows, c], width),
-                                                       end - first).astype(np.int64)
+                own = own[rows] - first
+                weights = [x[rows, c].astype(np.float64) for x in (g, h)]
+                for total, code in zip(sums, codes):
+                    cells = total.shape[2]
+                    slots = own * cells + code[rows]
+                    for i, x in enumerate(weights):
+                        # Sums of these rows stay below 2^53, so they are exact in doubles.
+                        total[i, first:end] += np.bincount(
+                            slots, x, (end - first) * cells).astype(np.int64).reshape(-1, cells)
+        total = np.zeros((2, len(nodes), width, bins), np.int64)
+        for (group, shape), found in zip(groups, sums):
+            found = found.reshape(2, len(nodes), *shape)
+            for i, f in enumerate(group):
+                others = tuple(2 + j for j in range(len(group)) if j != i)
+                total[:, :, f, :sizes[f]] = found.sum(axis=others)
+        total = total.reshape(2, -1)
         slots = np.flatnonzero(total.any(axis=0))
         yield pa.RecordBatch.from_arrays([
             pa.array(slots, pa.int64()), pa.array(total[0, slots], pa.int64()),
             pa.array(total[1, slots], pa.int64())], names=["slot", "g", "h"])
 
-    sums = state.mapInArrow(run, "slot long, g long, h long").groupBy("slot").agg(
-        F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
-    out = np.zeros((2, len(nodes) * cells), np.int64)
+    # A task has a slot once, so there is nothing to combine before the exchange.
+    parts = 1 + len(nodes) * width * bins // SLOTS
+    sums = state.mapInArrow(run, "slot long, g long, h long").repartition(parts, "slot").groupBy(
+        "slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
+    out = np.zeros((2, len(nodes) * width * bins), np.int64)
     out[:, sums["slot"].to_numpy()] = sums["g"].to_numpy(), sums["h"].to_numpy()
     shaped = out.reshape(2, len(nodes), width, bins)
     return [(shaped[0, i], shaped[1, i]) for i in range(len(nodes))]
 
 
-def _nodes(values: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
-    """The node each row is in, in a tree that is still growing."""
-    return _leaves(values, feature, cut, np.arange(len(feature)))
+def _nodes(columns: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """The node each row is in, in a tree that is still growing; ``columns`` has a row per
+    feature."""
+    at = np.zeros(columns.shape[1], np.int64)
+    rows = {0: np.arange(columns.shape[1])}
+    for node in range(len(feature)):
+        if node in rows and feature[node] != LEAF:
+            mine = rows.pop(node)
+            right = columns[feature[node], mine] > cut[node]
+            for child, part in ((2 * node + 1, mine[~right]), (2 * node + 2, mine[right])):
+                at[part], rows[child] = child, part
+    return at
