@@ -39,6 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from farelens.llm.tables import lean, store_buckets
+from farelens.session import apart
 
 MARK = "▁"
 CHUNK = 8 << 20  # characters
@@ -311,13 +312,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id",
            text: str = "text") -> DataFrame:
     """``doc_id, n_ids, ids, round_trip`` of every row; the last tells whether decoding the ids
     gives the text back."""
-    spark = docs.sparkSession
     # Rows that are dealt by owner serve for words, for edges by word, and for the way back.
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    spark = apart(docs.sparkSession, {"spark.sql.requireAllClusterKeysForCoPartition": "false"})
     owners = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = store_buckets(chunked(docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                                               F.col(text).alias("text")), vocabulary.prefix),
-                          "words", "chunk")
+                          "words", "chunk", reader=spark)
     # Both uses explode alike and need both columns, and no key is null, which the joins would
     # ask of one side only, so they share one exchange.
     lines = sent(table, owners).where("owner IS NOT NULL").repartition("owner").select(
